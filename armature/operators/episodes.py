@@ -1,14 +1,18 @@
 """Episode-ordered operators that cut long episodes into segments.
 
-An episode is (dataset_name, episode_id) ordered by `timestep`. Nothing here partitions by episode alone: rows are
-grouped by (episode, segment), where `segment = timestep div SEGMENT_ROWS`. A usual episode is one segment; an episode
-that holds a large share of the table is many, spread over the cluster. What has to cross a segment border does so
+An episode is (dataset_name, episode_id) ordered by `timestep`. Usual episodes have at most SEGMENT_ROWS steps: then every
+operator is a window over the episode, all windows share one partitioning, and a chain of them costs one shuffle.
+
+Where an episode is longer - it may hold a large share of the table - nothing is partitioned by episode alone. Rows are
+grouped by (episode, segment) with `segment = timestep div SEGMENT_ROWS`, and what has to cross a segment border does so
 explicitly:
 
 * `with_neighbours` copies the few rows next to a border into the adjacent segment (lag / lead by a constant);
 * `fill_from_previous` / `fill_from_next` exchange one summary row per segment (unbounded scans);
-* `with_episode_facts` does the same for whole-episode aggregates, and joins them on (episode, segment), so the join has
-  the same partitioning as the windows.
+* `with_episode_facts` does the same for whole-episode aggregates, and joins them on (episode, segment).
+
+Which case holds is measured once, when steps are numbered, and travels with the table as metadata of the `timestep`
+column. A table without that note takes the segmented path.
 """
 
 from __future__ import annotations
@@ -22,12 +26,45 @@ from armature.operators.ordering import time_block, with_position
 
 EPISODE = ("dataset_name", "episode_id")
 SEGMENT_ROWS = 1 << 15
+LONGEST = "longest_episode"
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group: one scan of the key columns, combined before the shuffle."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
+def longest_episode(df: DataFrame) -> int | None:
+    return df.schema["timestep"].metadata.get(LONGEST)
+
+
+def _fits(df: DataFrame, rows: int) -> bool:
+    longest = longest_episode(df)
+    return longest is not None and longest <= rows
+
 
+def with_timestep(df: DataFrame, timestep: Column, longest: int | None) -> DataFrame:
+    """Set the step index and the note on the longest episode."""
+    note = {} if longest is None else {LONGEST: longest}
+    return df.withColumn("timestep", timestep.cast("int")).withMetadata("timestep", note)
 
-def add_timestep(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None) -> DataFrame:
-    """0-based step index inside each episode. `order` must be unique within an episode."""
+
+def add_timestep(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None, longest: int | None = None,
+    rows: int = SEGMENT_ROWS,
+) -> DataFrame:
+    """0-based step index inside each episode. `order` must be unique within an episode.
+
+    `longest` is the size of the largest episode if it is known already.
+    """
+    longest = largest_group(df, keys) if longest is None else longest
+    if longest <= rows:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return with_timestep(df, F.row_number().over(w) - 1, longest)
     block = time_block(F.col(order[0])) if block is None else block
-    return with_position(df, keys, order, block, "timestep").withColumn("timestep", F.col("timestep").cast("int"))
+    placed = with_position(df, keys, order, block, "timestep")
+    return with_timestep(placed, F.col("timestep"), longest)
 
 
 def segment_of(timestep: Column, rows: int = SEGMENT_ROWS) -> Column:
@@ -44,6 +81,12 @@ def with_neighbours(
 
     Offsets must be smaller than a segment.
     """
+
+    def moved(w):
+        return [F.lag(c, -o).over(w).alias(n) if o < 0 else F.lead(c, o).over(w).alias(n) for n, (c, o) in shifted.items()]
+
+    if _fits(df, rows):
+        return df.select("*", *moved(Window.partitionBy(*keys).orderBy("timestep")))
     back = max([0, *[-o for _, o in shifted.values()]])
     ahead = max([0, *[o for _, o in shifted.values()]])
     if max(back, ahead) >= rows:
@@ -57,30 +100,32 @@ def with_neighbours(
         copies = F.when(inner >= rows - back, F.array_append(copies, seg + 1)).otherwise(copies)
     spread = df.select("*", F.explode(copies).alias("__segment"))
     w = Window.partitionBy(*keys, "__segment").orderBy("timestep")
-    added = [F.lag(col, -o).over(w).alias(n) if o < 0 else F.lead(col, o).over(w).alias(n) for n, (col, o) in shifted.items()]
-    return spread.select("*", *added).filter(F.col("__segment") == seg).drop("__segment")
+    return spread.select("*", *moved(w)).filter(F.col("__segment") == seg).drop("__segment")
 
 
 def _fill(df, values: Mapping[str, Column], forward: bool, keys, rows) -> DataFrame:
-    named = df.select("*", segment_of(F.col("timestep"), rows).alias("__segment"), *[c.alias(f"__v_{n}") for n, c in values.items()])
-    by_step = F.col("timestep") if forward else F.col("timestep").desc()
-    inside = Window.partitionBy(*keys, "__segment").orderBy(by_step).rowsBetween(Window.unboundedPreceding, 0)
+    named = df.select("*", *[c.alias(f"__v_{n}") for n, c in values.items()])
+    order = lambda c: F.col(c) if forward else F.col(c).desc()
+    held = [f"__v_{n}" for n in values]
+    if _fits(df, rows):
+        w = Window.partitionBy(*keys).orderBy(order("timestep")).rowsBetween(Window.unboundedPreceding, 0)
+        return named.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(w).alias(n) for n in values]).drop(*held)
+    named = named.withColumn("__segment", segment_of(F.col("timestep"), rows))
+    inside = Window.partitionBy(*keys, "__segment").orderBy(order("timestep")).rowsBetween(Window.unboundedPreceding, 0)
     local = named.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(inside).alias(f"__in_{n}") for n in values])
     pick = F.max_by if forward else F.min_by
     summary = named.groupBy(*keys, "__segment").agg(
         *[pick(F.col(f"__v_{n}"), F.when(F.col(f"__v_{n}").isNotNull(), F.col("timestep"))).alias(f"__s_{n}") for n in values]
     )
-    by_segment = F.col("__segment") if forward else F.col("__segment").desc()
-    across = Window.partitionBy(*keys).orderBy(by_segment).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*keys).orderBy(order("__segment")).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         *keys, "__segment", *[F.last(f"__s_{n}", ignorenulls=True).over(across).alias(f"__out_{n}") for n in values]
     )
     joined = local.join(carried, [*keys, "__segment"])
-    drop = ["__segment"]
     for n in values:
         joined = joined.withColumn(n, F.coalesce(f"__in_{n}", f"__out_{n}"))
-        drop += [f"__v_{n}", f"__in_{n}", f"__out_{n}"]
-    return joined.drop(*drop)
+        held += [f"__in_{n}", f"__out_{n}"]
+    return joined.drop("__segment", *held)
 
 
 def fill_from_previous(df, values: Mapping[str, Column], keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
@@ -103,9 +148,11 @@ def with_episode_facts(
 
     The combiner is "max", "min", "sum", "first" or "last" (in step order).
     """
+    whole = Window.partitionBy(*keys)
+    if _fits(df, rows):
+        return df.select("*", *[agg.over(whole).alias(n) for n, (agg, _) in facts.items()])
     seg = segment_of(F.col("timestep"), rows)
     per_segment = df.groupBy(*keys, seg.alias("__segment")).agg(*[agg.alias(n) for n, (agg, _) in facts.items()])
-    whole = Window.partitionBy(*keys)
     ordered = whole.orderBy("__segment").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def combined(name: str, how: str) -> Column:
@@ -118,7 +165,8 @@ def with_episode_facts(
 
 
 def with_length(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
-    return with_episode_facts(df, {"episode_len": ((F.max("timestep") + 1).cast("int"), "max")}, keys, rows)
+    counted = with_episode_facts(df, {"episode_len": (F.max("timestep"), "max")}, keys, rows)
+    return counted.withColumn("episode_len", (F.col("episode_len") + 1).cast("int"))
 
 
 def in_parts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = EPISODE, order: str = "timestep", rows: int = 1024) -> DataFrame:

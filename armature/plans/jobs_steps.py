@@ -88,7 +88,7 @@ def observed(df):
     W.sql(
         "v_steps",
         f"""SELECT {KEY}, image_primary, '' AS image_wrist, timestep AS obs_timestep, language_instruction,
-        {sql_wide([f'CAST(CAST(a{i} AS FLOAT) AS DOUBLE)' for i in range(7)], 'a')}, {sql_wide([*STATES[:6], '0e0', 's7'], 'p')} FROM v_steps""",
+        {sql_wide([f'CAST(CAST(a{i} AS FLOAT) AS DOUBLE)' for i in range(7)], 'a')}, {sql_wide([f'CAST(CAST({x} AS FLOAT) AS DOUBLE)' for x in [*STATES[:6], '0e0', 's7']], 'p')} FROM v_steps""",
     ),
 )
 def restructure(spark, d):
@@ -223,12 +223,12 @@ RELATIVE_SQL = f"""SELECT *, coalesce(
 
 @job(
     "binarize_gripper",
-    W.sql("v_short", "SELECT dataset_name, episode_id, day, timestep, gripper FROM b", b=BINARY_SQL.format(p="episode_id, day", t="v_short")),
+    W.sql("v_short", "SELECT dataset_name, episode_id, CAST(day AS VARCHAR) AS day, timestep, gripper FROM b", b=BINARY_SQL.format(p="episode_id, day", t="v_short")),
 )
 def binarize_gripper(spark, d):
     keys = ["dataset_name", "episode_id", "day"]
     out = motion.binarize_gripper(W.short_steps(spark, d), F.col("action")[6], keys=keys)
-    return out.select(*keys, "timestep", "gripper")
+    return out.select("dataset_name", "episode_id", F.col("day").cast("string").alias("day"), "timestep", "gripper")
 
 
 @job("invert_gripper", W.sql("v_steps", f"SELECT event_id, {sql_r6('1 - a6', 'gripper')} FROM v_steps"))
@@ -259,10 +259,12 @@ def relabel(spark, d):
 
 @job(
     "drop_first_step",
-    W.sql("v_short", "SELECT dataset_name, episode_id, day, CAST(timestep - 1 AS INT) AS timestep, event_id FROM v_short WHERE timestep > 0"),
+    W.sql("v_short", "SELECT dataset_name, episode_id, CAST(day AS VARCHAR) AS day, CAST(timestep - 1 AS INT) AS timestep, event_id FROM v_short WHERE timestep > 0"),
 )
 def drop_first_step(spark, d):
-    return motion.drop_first_step(W.short_steps(spark, d)).select("dataset_name", "episode_id", "day", "timestep", "event_id")
+    return motion.drop_first_step(W.short_steps(spark, d)).select(
+        "dataset_name", "episode_id", F.col("day").cast("string").alias("day"), "timestep", "event_id"
+    )
 
 
 @job(

@@ -5,10 +5,10 @@ Every view exists twice: as a DataFrame (used by the jobs) and as SQL text (used
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from armature.operators.episodes import add_timestep
+from armature.operators.episodes import SEGMENT_ROWS, add_timestep, largest_group
 from armature.operators.ordering import counter_block, time_block, with_position
 from armature.sources.tables import table
 
@@ -58,15 +58,29 @@ def step_rows(spark: SparkSession, d: str) -> DataFrame:
     return _step_values(table(spark, d, "events"))
 
 
+_sizes: dict[tuple, int] = {}
+
+
+def _largest(df: DataFrame, d: str, name: str, keys: list[str]) -> int:
+    """Size of the largest group, measured once per table and session."""
+    at = (df.sparkSession.sparkContext.applicationId, d, name)
+    if at not in _sizes:
+        _sizes[at] = largest_group(df, keys)
+    return _sizes[at]
+
+
 def steps(spark: SparkSession, d: str) -> DataFrame:
     """One episode per user, in time order."""
-    return add_timestep(step_rows(spark, d), ["dataset_name", "episode_id"], ["ts", "event_id"])
+    keys = ["dataset_name", "episode_id"]
+    rows = step_rows(spark, d)
+    return add_timestep(rows, keys, ["ts", "event_id"], longest=_largest(rows, d, "steps", keys))
 
 
 def short_steps(spark: SparkSession, d: str) -> DataFrame:
     """Episodes of one user and day: lengths 1 to 10."""
     daily = step_rows(spark, d).withColumn("day", F.to_date("ts"))
-    return add_timestep(daily, ["dataset_name", "episode_id", "day"], ["ts", "event_id"])
+    keys = ["dataset_name", "episode_id", "day"]
+    return add_timestep(daily, keys, ["ts", "event_id"], longest=_largest(daily, d, "short", keys))
 
 
 def noop_steps(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +101,10 @@ def mixture(spark: SparkSession) -> DataFrame:
 def turns(spark: SparkSession, d: str) -> DataFrame:
     """Chat turns without the optional system turn."""
     said = table(spark, d, "conversations").filter(F.col("role") != "system")
-    rows = with_position(said, ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
+    if _largest(said, d, "turns", ["conv_id"]) <= SEGMENT_ROWS:
+        rows = said.withColumn("turn_idx", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1)
+    else:
+        rows = with_position(said, ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
     return rows.select(
         "conv_id",
         F.col("turn_idx").cast("int").alias("turn_idx"),
