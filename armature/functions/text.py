@@ -6,12 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What Python calls whitespace, as a character class that Java and RE2 read alike.
+SPACE = r"\t-\r\x1c- \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
 def strip_right(s: Column) -> Column:
-    return F.regexp_replace(s, r"\s+\z", "")
+    return F.regexp_replace(s, f"[{SPACE}]+\\z", "")
 
 
 def strip(s: Column) -> Column:
-    return F.regexp_replace(strip_right(s), r"\A\s+", "")
+    return F.regexp_replace(strip_right(s), f"\\A[{SPACE}]+", "")
 
 
 def without_image_tag(s: Column) -> Column:
@@ -20,7 +24,7 @@ def without_image_tag(s: Column) -> Column:
 
 def word_count(s: Column) -> Column:
     """Number of whitespace-separated words of the whole text, without building them as an array of copies."""
-    return F.regexp_count(s, F.lit(r"\S+")).cast("long")
+    return F.regexp_count(s, F.lit(f"[^{SPACE}]+")).cast("long")
 
 
 def task_slug(s: Column) -> Column:

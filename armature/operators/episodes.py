@@ -71,6 +71,24 @@ def segment_of(timestep: Column, rows: int = SEGMENT_ROWS) -> Column:
     return F.floor(timestep / rows).cast("long")
 
 
+def _spread(df: DataFrame, back: int, ahead: int, rows: int) -> DataFrame:
+    """Rows with `__segment`; those within `back` / `ahead` of a border appear in the adjacent segment as well."""
+    if max(back, ahead) >= rows:
+        raise ValueError("offset reaches beyond the adjacent segment")
+    seg = segment_of(F.col("timestep"), rows)
+    inner = F.col("timestep") - seg * rows
+    copies = F.array(seg)
+    if ahead:  # the first rows of a segment are what the previous one looks ahead to
+        copies = F.when((inner < ahead) & (seg > 0), F.array(seg, seg - 1)).otherwise(copies)
+    if back:
+        copies = F.when(inner >= rows - back, F.array_append(copies, seg + 1)).otherwise(copies)
+    return df.select("*", F.explode(copies).alias("__segment"))
+
+
+def _own(df: DataFrame, rows: int) -> DataFrame:
+    return df.filter(F.col("__segment") == segment_of(F.col("timestep"), rows)).drop("__segment")
+
+
 def with_neighbours(
     df: DataFrame,
     shifted: Mapping[str, tuple[str, int]],
@@ -89,18 +107,25 @@ def with_neighbours(
         return df.select("*", *moved(Window.partitionBy(*keys).orderBy("timestep")))
     back = max([0, *[-o for _, o in shifted.values()]])
     ahead = max([0, *[o for _, o in shifted.values()]])
-    if max(back, ahead) >= rows:
-        raise ValueError("offset reaches beyond the adjacent segment")
-    t, seg = F.col("timestep"), segment_of(F.col("timestep"), rows)
-    inner = t - seg * rows
-    copies = F.array(seg)
-    if ahead:  # the first rows of a segment are what the previous one looks ahead to
-        copies = F.when((inner < ahead) & (seg > 0), F.array(seg, seg - 1)).otherwise(copies)
-    if back:
-        copies = F.when(inner >= rows - back, F.array_append(copies, seg + 1)).otherwise(copies)
-    spread = df.select("*", F.explode(copies).alias("__segment"))
-    w = Window.partitionBy(*keys, "__segment").orderBy("timestep")
-    return spread.select("*", *moved(w)).filter(F.col("__segment") == seg).drop("__segment")
+    spread = _spread(df, back, ahead, rows)
+    return _own(spread.select("*", *moved(Window.partitionBy(*keys, "__segment").orderBy("timestep"))), rows)
+
+
+def with_rolling_means(
+    df: DataFrame,
+    means: Mapping[str, tuple[str, int]],
+    keys: Sequence[str] = EPISODE,
+    rows: int = SEGMENT_ROWS,
+) -> DataFrame:
+    """Add means over the last n steps, this one included: name -> (column, n). Fewer steps at the start of an episode."""
+
+    def rolled(w):
+        return [F.avg(c).over(w.rowsBetween(1 - n, 0)).alias(name) for name, (c, n) in means.items()]
+
+    if _fits(df, rows):
+        return df.select("*", *rolled(Window.partitionBy(*keys).orderBy("timestep")))
+    spread = _spread(df, max(n for _, n in means.values()) - 1, 0, rows)
+    return _own(spread.select("*", *rolled(Window.partitionBy(*keys, "__segment").orderBy("timestep"))), rows)
 
 
 def _fill(df, values: Mapping[str, Column], forward: bool, keys, rows) -> DataFrame:

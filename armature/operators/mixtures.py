@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from armature.functions.chance import uniform
 from armature.operators.ordering import COUNTER_BLOCK, counter_block, random_block, with_position, with_random_position
-from armature.operators.smallside import pin_small
+from armature.operators.smallside import cut_lineage, pin_small
 from armature.operators.statistics import dataset_sizes
 
 
@@ -63,15 +63,26 @@ def _cumulative(weights: DataFrame) -> list[tuple[str, float, int]]:
     return bounds
 
 
-def pick_datasets(positions: DataFrame, weights: DataFrame, seed: int) -> DataFrame:
-    """Give every position a dataset: the interval of the cumulative weights that its uniform number falls into."""
+def sizes_by_name(frames: DataFrame) -> dict[str, int]:
+    """Frames per dataset, one number for each name of the mixture."""
+    return {r["dataset_name"]: r["n"] for r in frames.groupBy("dataset_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def pick_datasets(positions: DataFrame, weights: DataFrame, seed: int, sizes: dict[str, int] | None = None) -> DataFrame:
+    """Give every position a dataset: the interval of the cumulative weights that its uniform number falls into.
+
+    A handful of literal bounds in one CASE: no join. `sizes` replaces the datasets' transition counts where frames were
+    filtered out.
+    """
     bounds = _cumulative(weights)
+    if sizes is not None:
+        bounds = [(name, upper, sizes.get(name, 0)) for name, upper, _ in bounds]
     u = F.col("__u")
     name, size = F.lit(bounds[-1][0]), F.lit(bounds[-1][2])
     for dataset, upper, n in reversed(bounds[:-1]):
         name, size = F.when(u < upper, dataset).otherwise(name), F.when(u < upper, n).otherwise(size)
     drawn = positions.withColumn("__u", uniform(seed, "p"))
-    return drawn.select("p", name.alias("dataset_name"), size.cast("long").alias("__size"))
+    return drawn.select("p", name.alias("dataset_name"), size.cast("long").alias("__size")).filter("__size > 0")
 
 
 def epoch_orders(frames: DataFrame, key: Sequence[str], epochs: DataFrame, seed: int) -> DataFrame:
@@ -87,14 +98,16 @@ def epoch_orders(frames: DataFrame, key: Sequence[str], epochs: DataFrame, seed:
     )
 
 
-def sample_frames(frames: DataFrame, key: Sequence[str], weights: DataFrame, n: int, seed: int) -> DataFrame:
+def sample_frames(
+    frames: DataFrame, key: Sequence[str], weights: DataFrame, n: int, seed: int, sizes: dict[str, int] | None = None
+) -> DataFrame:
     """An epoch of `n` frames: position p, its dataset, which pick of that dataset it is, and the frame.
 
     Pick k of a dataset is frame `k mod size` of that dataset's order in epoch `k div size`.
     """
     spark = frames.sparkSession
     positions = spark.range(n).withColumnRenamed("id", "p")
-    picks = pick_datasets(positions, weights, seed)
+    picks = pick_datasets(positions, weights, seed, sizes)
     numbered = with_position(picks, ["dataset_name"], ["p"], F.floor(F.col("p") / COUNTER_BLOCK).cast("long"), "k")
     located = numbered.withColumns(
         {"epoch": F.floor(F.col("k") / F.col("__size")).cast("long"), "idx": F.col("k") % F.col("__size")}
@@ -105,6 +118,12 @@ def sample_frames(frames: DataFrame, key: Sequence[str], weights: DataFrame, n:
     return located.join(epoch_orders(frames, key, epochs, seed), ["dataset_name", "epoch", "idx"])
 
 
+def fixed_buffer(frames: DataFrame, key: Sequence[str], size: int, seed: int) -> DataFrame:
+    """The first `size` frames of a shuffle, kept on shared storage so that every later pass sees the same ones."""
+    drawn = frames.withColumn("__u", uniform(seed, *key))
+    return cut_lineage(drawn.orderBy("__u", *key).limit(size).drop("__u"))
+
+
 def buffered_order(frames: DataFrame, stored: str, buffer: int, seed: int, key: Sequence[str]) -> DataFrame:
     """Shuffle only inside consecutive runs of `buffer` rows of the stored order: adds `buffer_no`, `position`."""
     numbered = with_position(frames, [], [stored], counter_block(F.col(stored)), "__at")

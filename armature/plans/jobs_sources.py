@@ -218,7 +218,7 @@ def rollout_sink(spark, d):
 )
 def metrics_log_source_sink(spark, d):
     path, header = sinks.scratch(spark, "metrics"), sinks.scratch(spark, "hparams")
-    records = W.metrics(spark, d).drop("ts")
+    records = W.metrics(spark, d).drop("ts").withColumnRenamed("timestep", "batch_idx")
     runs = records.select("run_id").distinct().withColumn("hparams", F.struct(F.lit(16).alias("batch_size")))
     sinks.append_metrics(records, path, runs, header)
     back = tables.metric_log(spark, path, records.schema)

@@ -98,10 +98,18 @@ def mixture(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "pos int, dataset_name string, weight double")
 
 
+def _said(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "conversations").filter(F.col("role") != "system")
+
+
+def longest_chat(spark: SparkSession, d: str) -> int:
+    return _largest(_said(spark, d), d, "turns", ["conv_id"])
+
+
 def turns(spark: SparkSession, d: str) -> DataFrame:
     """Chat turns without the optional system turn."""
-    said = table(spark, d, "conversations").filter(F.col("role") != "system")
-    if _largest(said, d, "turns", ["conv_id"]) <= SEGMENT_ROWS:
+    said = _said(spark, d)
+    if longest_chat(spark, d) <= SEGMENT_ROWS:
         rows = said.withColumn("turn_idx", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1)
     else:
         rows = with_position(said, ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
@@ -146,13 +154,12 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rollouts(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").select(
+    return table(spark, d, "orders").select(
         F.col("o_orderpriority").alias("task"),
         F.col("o_orderkey").alias("run_order"),
         (F.col("o_orderstatus") == "F").alias("success"),
         (F.col("o_orderkey") % 300).cast("int").alias("n_steps"),
     )
-    return orders
 
 
 def rollouts_with_trial(spark: SparkSession, d: str) -> DataFrame:
@@ -172,8 +179,11 @@ def metric_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, d: str) -> DataFrame:
-    numbered = with_position(metric_rows(spark, d), ["run_id"], ["ts", "event_id"], time_block(F.col("ts"), 60), "batch_idx")
-    return numbered.withColumn("batch_idx", F.col("batch_idx").cast("int")).drop("event_id")
+    """One log per run, `timestep` = batch index."""
+    rows = metric_rows(spark, d)
+    longest = _largest(rows, d, "metrics", ["run_id"])
+    block = time_block(F.col("ts"), 60)
+    return add_timestep(rows, ["run_id"], ["ts", "event_id"], block, longest).drop("event_id")
 
 
 SQL = {
