@@ -44,8 +44,8 @@ def rolling_metrics(log: DataFrame, window: int, accumulation: int, run: str = "
     `log` is ordered by `timestep` inside each run.
     """
     timed = with_neighbours(log, {"__before": ("ts", -1)}, [run])
-    seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / 1e6
-    timed = timed.withColumn("step_time", seconds("ts") - seconds("__before")).drop("__before")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    timed = timed.withColumn("step_time", (micros("ts") - micros("__before")) / 1e6).drop("__before")
     return with_rolling_means(
         timed,
         {

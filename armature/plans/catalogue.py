@@ -6,6 +6,7 @@ from armature.plans import (  # noqa: F401
     jobs_mixture,
     jobs_sources,
     jobs_steps,
+    jobs_streams,
     jobs_tokens,
     jobs_trajectories,
 )

@@ -41,11 +41,11 @@ def verify_images_exist(spark, d):
 
 @job(
     "merge_corpora",
-    """SELECT doc_id AS id, lang, n_chars, NULL::VARCHAR AS image FROM documents WHERE doc_id % 3 = 0
+    """SELECT doc_id AS id, lang, CAST(n_chars AS DOUBLE) AS n_chars, NULL::VARCHAR AS image FROM documents WHERE doc_id % 3 = 0
     UNION ALL SELECT doc_id, lang, NULL, concat(CAST(doc_id AS VARCHAR), '.jpg') FROM documents WHERE doc_id % 3 <> 2""",
 )
 def merge_corpora(spark, d):
-    docs = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "n_chars")
+    docs = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("n_chars").cast("double").alias("n_chars"))
     chat = docs.filter(F.col("id") % 3 == 0)
     visual = docs.filter(F.col("id") % 3 != 2).select("id", "lang", F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("image"))
     return C.merge_corpora(chat, visual)
@@ -98,16 +98,16 @@ def image_format_manifest(spark, d):
 
 SIZE, REPLICAS, SEED = 32, 4, 13
 PLAN = {
-    "shuffled": f"""SELECT *, row_number() OVER (PARTITION BY is_multimodal ORDER BY {W.draw(SEED, 'is_multimodal', 'example_id')}, example_id) - 1 AS at,
+    "shuffled": f"""SELECT *, row_number() OVER (PARTITION BY is_multimodal ORDER BY {W.draw(SEED, 'is_multimodal', 'example_id')}, example_id) - 1 AS seat,
       count(*) OVER (PARTITION BY is_multimodal) AS n FROM v_examples""",
-    "full_": f"""SELECT example_id, is_multimodal, n_words, at FROM shuffled
-      UNION ALL SELECT example_id, is_multimodal, n_words, at + n FROM shuffled WHERE at < ((-n) % {SIZE} + {SIZE}) % {SIZE}""",
-    "plan": f"""SELECT *, CAST(row_number() OVER (PARTITION BY is_multimodal, batch_no ORDER BY n_words DESC, at) - 1 AS INT) AS slot
-      FROM (SELECT *, CAST(floor(at / {SIZE}) AS BIGINT) AS batch_no FROM full_)""",
-    "batches": f"""SELECT *, row_number() OVER (ORDER BY {W.draw(SEED, "'batch'", 'is_multimodal', 'batch_no')}, is_multimodal, batch_no) - 1 AS at FROM
+    "full_": f"""SELECT example_id, is_multimodal, n_words, seat FROM shuffled
+      UNION ALL SELECT example_id, is_multimodal, n_words, seat + n FROM shuffled WHERE seat < ((-n) % {SIZE} + {SIZE}) % {SIZE}""",
+    "plan": f"""SELECT *, CAST(row_number() OVER (PARTITION BY is_multimodal, batch_no ORDER BY n_words DESC, seat) - 1 AS INT) AS slot
+      FROM (SELECT *, CAST(floor(seat / {SIZE}) AS BIGINT) AS batch_no FROM full_)""",
+    "batches": f"""SELECT *, row_number() OVER (ORDER BY {W.draw(SEED, "'batch'", 'is_multimodal', 'batch_no')}, is_multimodal, batch_no) - 1 AS seat FROM
       (SELECT is_multimodal, batch_no, max(n_words + CASE WHEN is_multimodal THEN 576 ELSE 0 END) AS longest FROM plan GROUP BY ALL)""",
-    "placed": """SELECT *, CASE WHEN at = top THEN 0 WHEN at = 0 THEN top ELSE at END AS epoch_batch
-      FROM batches, (SELECT at AS top FROM batches ORDER BY longest DESC, at LIMIT 1)""",
+    "placed": """SELECT *, CASE WHEN seat = top THEN 0 WHEN seat = 0 THEN top ELSE seat END AS epoch_batch
+      FROM batches, (SELECT seat AS top FROM batches ORDER BY longest DESC, seat LIMIT 1)""",
 }
 
 
@@ -162,9 +162,9 @@ def check_batch_cover(spark, d):
     "distributed_sampler",
     W.sql(
         "v_examples",
-        """SELECT example_id, CAST(at % 7 AS INT) AS "rank", CAST(floor(at / 7) AS BIGINT) AS "index" FROM
-        (SELECT example_id, at FROM s UNION ALL SELECT example_id, at + n FROM s WHERE at < ((-n) % 7 + 7) % 7)""",
-        s=f"SELECT example_id, row_number() OVER (ORDER BY {W.draw(17, 'example_id')}, example_id) - 1 AS at, count(*) OVER () AS n FROM v_examples",
+        """SELECT example_id, CAST(seat % 7 AS INT) AS "rank", CAST(floor(seat / 7) AS BIGINT) AS "index" FROM
+        (SELECT example_id, seat FROM s UNION ALL SELECT example_id, seat + n FROM s WHERE seat < ((-n) % 7 + 7) % 7)""",
+        s=f"SELECT example_id, row_number() OVER (ORDER BY {W.draw(17, 'example_id')}, example_id) - 1 AS seat, count(*) OVER () AS n FROM v_examples",
     ),
 )
 def distributed_sampler(spark, d):

@@ -23,9 +23,9 @@ def job(name: str, sql: str | None = None):
     return add
 
 
-def r6(c: Column | str) -> Column:
+def r6(c: Column | str, digits: int = 6) -> Column:
     """Six digits, no negative zero."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
+    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
 
 
 def wide(vector: Column | str, prefix: str, width: int) -> list[Column]:
@@ -34,8 +34,8 @@ def wide(vector: Column | str, prefix: str, width: int) -> list[Column]:
     return [r6(v[i]).alias(f"{prefix}{i}") for i in range(width)]
 
 
-def sql_r6(expression: str, name: str) -> str:
-    return f"round({expression}, 6) + 0e0 AS {name}"
+def sql_r6(expression: str, name: str, digits: int = 6) -> str:
+    return f"round({expression}, {digits}) + 0e0 AS {name}"
 
 
 def sql_wide(expressions: list[str], prefix: str) -> str:

@@ -16,7 +16,7 @@ ACTION_DIM = 7
 STATE_DIM = 8
 
 
-def _step_values(events: DataFrame) -> DataFrame:
+def step_values(events: DataFrame) -> DataFrame:
     """Row-wise part of a step: everything but its index."""
     value, event_id = F.col("value"), F.col("event_id")
     kind = F.col("event_type")
@@ -55,7 +55,7 @@ def _step_values(events: DataFrame) -> DataFrame:
 
 def step_rows(spark: SparkSession, d: str) -> DataFrame:
     """Steps without their index, for jobs that never look at order: no shuffle at all."""
-    return _step_values(table(spark, d, "events"))
+    return step_values(table(spark, d, "events"))
 
 
 _sizes: dict[tuple, int] = {}
@@ -153,8 +153,8 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def rollouts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select(
+def rollout_values(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderpriority").alias("task"),
         F.col("o_orderkey").alias("run_order"),
         (F.col("o_orderstatus") == "F").alias("success"),
@@ -162,13 +162,17 @@ def rollouts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def rollouts(spark: SparkSession, d: str) -> DataFrame:
+    return rollout_values(table(spark, d, "orders"))
+
+
 def rollouts_with_trial(spark: SparkSession, d: str) -> DataFrame:
     numbered = with_position(rollouts(spark, d), ["task"], ["run_order"], counter_block(F.col("run_order")), "trial")
     return numbered.withColumn("trial", F.col("trial").cast("int"))
 
 
-def metric_rows(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").select(
+def metric_values(events: DataFrame) -> DataFrame:
+    return events.select(
         F.concat(F.lit("run_"), (F.col("user_id") % 3).cast("string")).alias("run_id"),
         "event_id",
         "ts",
@@ -178,6 +182,10 @@ def metric_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def metric_rows(spark: SparkSession, d: str) -> DataFrame:
+    return metric_values(table(spark, d, "events"))
+
+
 def metrics(spark: SparkSession, d: str) -> DataFrame:
     """One log per run, `timestep` = batch index."""
     rows = metric_rows(spark, d)
