@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.functions import vectors as V
+from armature.operators.episodes import largest_group
 from armature.operators.smallside import pin_small
 
 PROBABILITIES = (0.01, 0.99)
 #: Rank error of the bracketing sketch is at most rows / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 100_000
+#: Datasets up to this size get their quantiles in the same pass as the moments; the enclosing only pays off beyond.
+ONE_PASS_ROWS = 4 * SKETCH_ACCURACY
 
 
 def bracket_aggregates(value: str, probabilities: Sequence[float], accuracy: int) -> list[Column]:
@@ -95,8 +98,14 @@ def with_proprio(steps: DataFrame) -> DataFrame:
     return steps.withColumn("proprio", F.transform("action", lambda _: F.lit(0.0)))
 
 
-def dimension_statistics(steps: DataFrame, approximate: bool = False) -> DataFrame:
-    """Long form: dataset_name, key, dim, mean, std, min, max, q01, q99."""
+def dimension_statistics(
+    steps: DataFrame, approximate: bool = False, largest: int | None = None, one_pass_rows: int = ONE_PASS_ROWS,
+    accuracy: int = SKETCH_ACCURACY,
+) -> DataFrame:
+    """Long form: dataset_name, key, dim, mean, std, min, max, q01, q99.
+
+    `largest` is the number of steps of the largest dataset if it is known; otherwise one column is scanned for it.
+    """
     values = long_values(with_proprio(steps))
     group = ["dataset_name", "key", "dim"]
     moments = [
@@ -108,11 +117,16 @@ def dimension_statistics(steps: DataFrame, approximate: bool = False) -> DataFra
     if approximate:
         sketch = F.percentile_approx("value", list(PROBABILITIES), 10_000)
         return values.groupBy(*group).agg(*moments, sketch[0].alias("q01"), sketch[1].alias("q99"))
+    if largest is None:
+        largest = largest_group(steps, ["dataset_name"])
+    if largest <= one_pass_rows:
+        both = F.percentile("value", F.array(*[F.lit(p) for p in PROBABILITIES]))
+        return values.groupBy(*group).agg(*moments, both.alias("__q")).select(
+            *group, "mean", "std", "min", "max", F.col("__q")[0].alias("q01"), F.col("__q")[1].alias("q99")
+        )
     # pass 1: moments and sketch together, one row per (dataset, key, dim); pass 2: the ranks the sketch enclosed
-    first = pin_small(
-        values.groupBy(*group).agg(*moments, *bracket_aggregates("value", PROBABILITIES, SKETCH_ACCURACY))
-    )
-    quantiles = exact_quantiles(values, group, "value", first_pass=first)
+    first = pin_small(values.groupBy(*group).agg(*moments, *bracket_aggregates("value", PROBABILITIES, accuracy)))
+    quantiles = exact_quantiles(values, group, "value", accuracy=accuracy, first_pass=first)
     wide = quantiles.groupBy(*group).agg(
         F.max(F.when(F.col("p") == 0.01, F.col("quantile"))).alias("q01"),
         F.max(F.when(F.col("p") == 0.99, F.col("quantile"))).alias("q99"),

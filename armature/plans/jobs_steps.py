@@ -395,9 +395,7 @@ def swap_exterior_images(spark, d):
 @job("decode_codepoint_language", "SELECT doc_id, text FROM documents")
 def decode_codepoint_language(spark, d):
     """Encode every text as padded code points, then decode it again."""
-    chars = F.filter(F.split("text", ""), lambda c: c != "")
-    # code point of a character = its UTF-32 form read as a number
-    points = F.transform(chars, lambda c: F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("int"))
+    points = F.transform(F.split("text", ""), lambda c: F.ascii(c))
     padded = F.concat(points, F.array_repeat(F.lit(0), 3))
     rows = tables.table(spark, d, "documents").select("doc_id", padded.alias("cp"))
     return rows.select("doc_id", text.from_code_points(F.col("cp")).alias("text"))

@@ -84,7 +84,7 @@ GATE_SQL = """WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS at_
 
 @job("rate_gate", GATE_SQL)
 def rate_gate(spark, d):
-    return gating.rate_gate(ticks(tables.table(spark, d, "events")), "user_id", GATE_HERTZ)
+    return gating.rate_gate(ticks(tables.table(spark, d, "events")), "user_id", GATE_HERTZ, slot_seconds=5 * 86_400)
 
 
 @job("stream_rate_gate", GATE_SQL)
