@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.operators.ordering import counter_block, with_position, with_random_position
-from armature.operators.smallside import pin_small
+from armature.operators.smallside import cut_lineage, pin_small
 
 #: Image patches an image adds to an example when batches are compared by length.
 PATCHES = 576
@@ -79,14 +79,13 @@ def batch_order(batches: DataFrame, seed: int) -> DataFrame:
     """One row per batch with its place in the epoch: random, except that the batch holding the longest example (image
     patches included) swaps places with the first. Of equal lengths the earlier batch wins."""
     weight = F.col("n_words") + F.when(F.col("is_multimodal"), PATCHES).otherwise(0)
-    table = batches.groupBy("is_multimodal", "batch_no").agg(F.max(weight).alias("longest"))
+    # one narrow row per batch, read several times below
+    table = cut_lineage(batches.groupBy("is_multimodal", "batch_no").agg(F.max(weight).alias("longest")))
     placed = with_random_position(table, [], ["is_multimodal", "batch_no"], seed, "__at", [F.lit("batch"), "is_multimodal", "batch_no"])
-    top = pin_small(placed.agg(F.max_by("__at", F.struct("longest", -F.col("__at"))).alias("__top")).withColumn("__one", F.lit(1)))
-    swapped = placed.withColumn("__one", F.lit(1)).join(top, "__one")
-    at, first = F.col("__at"), F.col("__top")
-    return swapped.withColumn(
-        "epoch_batch", F.when(at == first, 0).when(at == 0, first).otherwise(at).cast("long")
-    ).drop("__one", "__top", "__at")
+    first = F.lit(placed.agg(F.max_by("__at", F.struct("longest", -F.col("__at")))).first()[0])
+    at = F.col("__at")
+    order = F.when(at == first, F.lit(0)).when(at == 0, first).otherwise(at).cast("long")
+    return placed.withColumn("epoch_batch", order).drop("__at")
 
 
 def replica_slices(batches: DataFrame, order: DataFrame, size: int, replicas: int) -> DataFrame:

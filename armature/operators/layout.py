@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from armature.functions import vectors as V
+from armature.operators.smallside import pin_small
 from armature.sources import catalog
 
 
@@ -91,7 +92,7 @@ def select_cameras(config: catalog.DatasetConfig, views: Sequence[str], depth: b
 
 def encoding_gate(steps: DataFrame, configs: DataFrame) -> DataFrame:
     """Keep datasets whose action layout can be loaded and attach both masks. `configs` is the catalog table."""
-    gated = steps.join(F.broadcast(configs.filter("loadable").select("dataset_name", "action_encoding")), "dataset_name")
+    gated = steps.join(pin_small(configs.filter("loadable").select("dataset_name", "action_encoding")), "dataset_name")
 
     def mask(last: bool) -> Column:
         chosen = F.lit(None).cast("array<boolean>")

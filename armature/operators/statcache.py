@@ -29,7 +29,7 @@ def statistics_with_cache(steps: DataFrame, path: str, state_keys: str, recipe:
     known = cached(spark, path)
     missing = wanted if known is None else wanted.join(known.select("cache_key"), "cache_key", "left_anti")
     todo = steps.join(missing.select("dataset_name"), "dataset_name", "left_semi")
-    fresh = dataset_statistics(todo).join(missing, "dataset_name").withColumn("computed_at", F.current_timestamp())
+    fresh = dataset_statistics(todo).join(missing, "dataset_name")
     fresh.write.mode("append").parquet(path)
     hits = None if known is None else known.select("cache_key", F.lit(True).alias("was_cached"))
     found = spark.read.parquet(path).join(wanted, ["dataset_name", "cache_key"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from armature.operators import batching as B
 from armature.operators import corpus as C
+from armature.operators.smallside import cut_lineage
 from armature.plans import views as W
 from armature.plans.jobs_tokens import SPACE, strip_sql
 from armature.plans.registry import job
@@ -115,6 +116,11 @@ def plan(spark, d):
     return B.modality_batches(W.examples(spark, d), SIZE, SEED)
 
 
+def kept_plan(spark, d):
+    """The plan as a table: narrow rows that several steps read."""
+    return cut_lineage(plan(spark, d))
+
+
 @job("split_modality_batches", W.sql("v_examples", "SELECT example_id, is_multimodal, n_words, batch_no, slot FROM plan", **PLAN))
 def split_modality_batches(spark, d):
     return plan(spark, d).select("example_id", "is_multimodal", "n_words", "batch_no", "slot")
@@ -140,7 +146,7 @@ def merge_and_order_batches(spark, d):
     ),
 )
 def assign_replicas(spark, d):
-    batches = plan(spark, d)
+    batches = kept_plan(spark, d)
     out = B.replica_slices(batches, B.batch_order(batches, SEED), SIZE, REPLICAS)
     return out.select("example_id", "is_multimodal", "index", "rank")
 

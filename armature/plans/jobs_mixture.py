@@ -14,6 +14,7 @@ from armature.plans import views as W
 from armature.plans.jobs_sources import ACTIONS
 from armature.plans.jobs_trajectories import GRIPPER_MASK, WIDE_STATS, normalized_sql
 from armature.plans.registry import job, r6, sql_r6, sql_wide, wide
+from armature.sources.tables import table
 
 KEYS = ["dataset_name", "episode_id", "timestep"]
 
@@ -155,7 +156,7 @@ def proportional_quota(spark, d):
     ),
 )
 def seeded_epochs(spark, d):
-    rows = W.examples(spark, d).select("example_id")
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("example_id"))
     one = lambda e: with_random_position(rows, [], ["example_id"], B.epoch_seed(7, e)).select(F.lit(e).alias("epoch"), "example_id", "position")
     return one(0).unionByName(one(1))
 

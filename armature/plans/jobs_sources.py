@@ -168,8 +168,9 @@ def demo_table_source_sink(spark, d):
     demos = motion.without_noops(flagged.filter("final_grip > 0").drop("final_grip"))
     ended = E.with_episode_facts(demos, {"last_step": (F.max("demo_step"), "max")})
     last = (F.col("demo_step") == F.col("last_step")).cast("int")
-    sinks.write_demos(ended.withColumns({"done": last, "reward": last}).drop("last_step"), path)
-    return tables.episodes(spark, path).select(
+    finished = ended.withColumns({"done": last, "reward": last}).drop("last_step")
+    sinks.write_demos(finished, path)
+    return tables.episodes(spark, path, schema=finished.schema).select(
         "dataset_name", "episode_id", "timestep", "demo_step", r6("a0").alias("a0"), r6("a1").alias("a1"), "grip", "done", "reward"
     )
 

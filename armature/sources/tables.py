@@ -35,9 +35,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df if _scan_tasks[at] >= cores else df.repartition(cores)
 
 
-def episodes(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
-    """A steps table partitioned by dataset_name; naming the dataset prunes the other partitions."""
-    steps = spark.read.parquet(path)
+def episodes(spark: SparkSession, path: str, dataset: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """A steps table partitioned by dataset_name; naming the dataset prunes the other partitions.
+
+    With a schema given, a table that nobody has written rows to is read as an empty one.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    steps = reader.parquet(path)
     return steps if dataset is None else steps.filter(steps.dataset_name == dataset)
 
 
