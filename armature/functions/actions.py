@@ -34,8 +34,8 @@ def gripper_motion(x: Column) -> Column:
 
 
 def bin_edge(i: Column) -> Column:
-    """Lower edge of bin `i` (1-based), bit-equal to the i-th of 256 evenly spaced points."""
-    return F.when(i == BINS, F.lit(HIGH)).otherwise(F.lit(LOW) + (i - 1) * F.lit((HIGH - LOW) / (BINS - 1)))
+    """Lower edge of bin `i` (1-based), bit-equal to the i-th of 256 evenly spaced points, the last included."""
+    return F.lit(LOW) + (i - 1) * F.lit((HIGH - LOW) / (BINS - 1))
 
 
 def action_bin(x: Column) -> Column:

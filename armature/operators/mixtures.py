@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.functions.chance import uniform
-from armature.operators.ordering import COUNTER_BLOCK, counter_block, random_block, with_position, with_random_position
+from armature.operators.ordering import COUNTER_BLOCK, even_block, with_position, with_random_position
 from armature.operators.smallside import cut_lineage, pin_small
 from armature.operators.statistics import dataset_sizes
 
@@ -17,7 +17,7 @@ def split_by_episode(steps: DataFrame, train_percent: int = 95, keys: Sequence[s
     """Train / val by whole episodes in stored (id) order: the first `train_percent` % of a dataset train."""
     dataset, episode = keys
     found = steps.select(*keys).distinct()
-    numbered = with_position(found, [dataset], [episode], counter_block(F.col(episode)), "__idx")
+    numbered = with_position(found, [dataset], [episode], even_block(steps, episode), "__idx")
     counts = pin_small(found.groupBy(dataset).agg(F.count(F.lit(1)).alias("__n")))
     cut = F.floor(F.col("__n") * train_percent / F.lit(100.0) + 0.5)
     sides = numbered.join(counts, dataset).select(*keys, F.when(F.col("__idx") < cut, "train").otherwise("val").alias("split"))
@@ -126,7 +126,7 @@ def fixed_buffer(frames: DataFrame, key: Sequence[str], size: int, seed: int) ->
 
 def buffered_order(frames: DataFrame, stored: str, buffer: int, seed: int, key: Sequence[str]) -> DataFrame:
     """Shuffle only inside consecutive runs of `buffer` rows of the stored order: adds `buffer_no`, `position`."""
-    numbered = with_position(frames, [], [stored], counter_block(F.col(stored)), "__at")
+    numbered = with_position(frames, [], [stored], even_block(frames, stored), "__at")
     runs = numbered.withColumns(
         {"buffer_no": F.floor(F.col("__at") / buffer).cast("long"), "__u": uniform(seed, *key)}
     )

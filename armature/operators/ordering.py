@@ -29,6 +29,18 @@ def counter_block(key: Column, rows: int = COUNTER_BLOCK) -> Column:
     return F.floor(key / rows).cast("long")
 
 
+def even_block(df: DataFrame, key: str, blocks: int = RANDOM_BLOCKS) -> Column:
+    """Blocks of equal width over the range of an integer key, measured by one scan of that column.
+
+    However sparse the ids are, the table of block sizes stays at `blocks` rows per group.
+    """
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return F.lit(0).cast("long")
+    width = max(1, -(-(high - low + 1) // blocks))
+    return F.floor((F.col(key) - low) / width).cast("long")
+
+
 def time_block(ts: Column, seconds: int = 3600) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / seconds).cast("long")
 

@@ -126,7 +126,23 @@ def split_modality_batches(spark, d):
     return plan(spark, d).select("example_id", "is_multimodal", "n_words", "batch_no", "slot")
 
 
-@job("length_bucket_assign")
+# one recursion step per slot: the lightest bucket (first of equals) takes the next example of its batch
+ROOM = SIZE // REPLICAS
+DEAL = f"""SELECT is_multimodal, batch_no, CAST(0 AS INT) AS turn, CAST([0, 0, 0, 0] AS DOUBLE[]) AS w, [0, 0, 0, 0] AS c, CAST(NULL AS BIGINT) AS example_id,
+    CAST(NULL AS BIGINT) AS n_words, CAST(NULL AS INT) AS bucket, CAST(NULL AS INT) AS slot FROM plan WHERE slot = 0
+  UNION ALL SELECT is_multimodal, batch_no, turn + 1,
+    list_transform([1, 2, 3, 4], lambda i: CASE WHEN i <> b THEN w[i] WHEN c[i] + 1 = {ROOM} THEN CAST('Infinity' AS DOUBLE) ELSE w[i] + words END),
+    list_transform([1, 2, 3, 4], lambda i: CASE WHEN i = b THEN c[i] + 1 ELSE c[i] END), e, words, CAST(b - 1 AS INT), CAST((b - 1) * {ROOM} + c[b] AS INT)
+  FROM (SELECT d.is_multimodal, d.batch_no, d.turn, d.w, d.c, p.example_id AS e, p.n_words AS words, list_position(d.w, list_min(d.w)) AS b
+        FROM deal d JOIN plan p ON p.is_multimodal = d.is_multimodal AND p.batch_no = d.batch_no AND p.slot = d.turn)"""
+
+
+@job(
+    "length_bucket_assign",
+    W.sql(
+        "v_examples", "SELECT example_id, is_multimodal, n_words, batch_no, bucket, slot FROM deal WHERE bucket IS NOT NULL", **PLAN, deal=DEAL
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def length_bucket_assign(spark, d):
     return B.length_buckets(plan(spark, d), REPLICAS).select("example_id", "is_multimodal", "n_words", "batch_no", "bucket", "slot")
 

@@ -12,7 +12,7 @@ from armature.operators import prompts as P
 from armature.operators import statistics as T
 from armature.operators import tokens as K
 from armature.operators import trajectories as J
-from armature.operators.ordering import counter_block, with_position
+from armature.operators.ordering import counter_block, even_block, with_position
 from armature.operators.smallside import pin_small
 from armature.plans import views as W
 from armature.plans.jobs_sources import ACTIONS
@@ -301,7 +301,8 @@ def padded_text(df, *keys):
 @job("pad_collate_lm", W.sql("v_turns", f"SELECT conv_id, batch_no, slot, image IS NOT NULL AS has_image, {PADDED} FROM padded", **CHAT_TOKENS, **padded_sql("ex", "conv_id", 8, 480)))
 def pad_collate_lm(spark, d):
     examples = K.chat_examples(W.turns(spark, d), "vicuna", CHAT_LENGTH)
-    return padded_text(K.pad_batches(B.in_batches(examples, "conv_id", 8), "batch_no", 480), "conv_id")
+    block = even_block(tables.table(spark, d, "conversations"), "conv_id")
+    return padded_text(K.pad_batches(B.in_batches(examples, "conv_id", 8, block), "batch_no", 480), "conv_id")
 
 
 @job(

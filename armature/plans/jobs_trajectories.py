@@ -32,7 +32,11 @@ def dataset_statistics(spark, d):
     return exploded(T.dataset_statistics(with_state(spark, d)))
 
 
-@job("approx_statistics")
+# the sketch is exact while a dataset has fewer steps than its accuracy, and answers with values that occur
+DISCRETE_SQL = STATS_SQL.replace("quantile_cont", "quantile_disc")
+
+
+@job("approx_statistics", W.sql("v_steps", f"SELECT dataset_name, key, dim, {STAT_COLUMNS} FROM st", long=LONG_STEPS, st=DISCRETE_SQL))
 def approx_statistics(spark, d):
     return exploded(T.dataset_statistics(with_state(spark, d), approximate=True))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from armature.operators.episodes import SEGMENT_ROWS, add_timestep, largest_group
-from armature.operators.ordering import counter_block, time_block, with_position
+from armature.operators.ordering import counter_block, even_block, time_block, with_position
 from armature.sources.tables import table
 
 ACTION_DIM = 7
@@ -167,7 +167,8 @@ def rollouts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rollouts_with_trial(spark: SparkSession, d: str) -> DataFrame:
-    numbered = with_position(rollouts(spark, d), ["task"], ["run_order"], counter_block(F.col("run_order")), "trial")
+    rows = rollouts(spark, d)
+    numbered = with_position(rows, ["task"], ["run_order"], even_block(rows, "run_order"), "trial")
     return numbered.withColumn("trial", F.col("trial").cast("int"))
 
 

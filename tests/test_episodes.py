@@ -167,6 +167,15 @@ def test_running_totals_cross_blocks(spark):
     assert got == {i: sum(j % 4 for j in range(i + 1)) for i in range(100)}
 
 
+def test_sparse_ids_stay_in_few_blocks(spark):
+    ids = [i * 10**15 + 3 for i in range(200)]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    block = ordering.even_block(df, "k", 16)
+    assert df.select(block).distinct().count() <= 17
+    got = dict(ordering.with_position(df, [], ["k"], block).collect())
+    assert got == {k: i for i, k in enumerate(ids)}
+
+
 def test_long_episode_is_numbered_in_blocks(spark):
     data = [(1, i * 13 % 1000) for i in range(1000)] + [(2, 5)]
     df = spark.createDataFrame(data, "episode_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
