@@ -55,31 +55,31 @@ def exact_quantiles(
         *[F.when(tiny, F.col("__max")).otherwise(F.col("__b")[2 * i + 1]).alias(f"__hi{i}") for i in range(len(probabilities))],
     )
     v = F.col(value)
-    tagged = df.join(bounds, group).filter(v.isNotNull())
-    hits = F.array(
-        *[
-            F.when(v < F.col(f"__lo{i}"), F.struct(F.lit(p).alias("p"), F.lit(None).cast("double").alias("v")))
-            .when(v <= F.col(f"__hi{i}"), F.struct(F.lit(p).alias("p"), v.cast("double").alias("v")))
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    counted = (
-        tagged.select(*group, "__n", F.explode(F.array_compact(hits)).alias("__hit"))
-        .groupBy(*group, "__n", F.col("__hit.p").alias("p"), F.col("__hit.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    w = Window.partitionBy(*group, "p").orderBy(F.col("v").asc_nulls_first())
-    upto = counted.withColumn("hi", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rank = (F.col("__n") - 1) * F.col("p")
-    low = F.floor(rank)
-    high = F.least(low + 1, F.col("__n") - 1)
-    holds = lambda r: (F.col("hi") > r) & (F.col("hi") - F.col("c") <= r)
-    ends = upto.groupBy(*group, "__n", "p").agg(
-        F.max(F.when(holds(low), F.col("v"))).alias("__a"), F.max(F.when(holds(high), F.col("v"))).alias("__z")
-    )
-    return ends.select(
-        *group, "p", (F.col("__a") + (F.col("__z") - F.col("__a")) * (rank - low)).alias("quantile")
+    ranges = [(F.col(f"__lo{i}"), F.col(f"__hi{i}")) for i in range(len(probabilities))]
+    inside = F.lit(False)
+    for low, high in ranges:
+        inside = inside | ((v >= low) & (v <= high))
+    # values outside all ranges are only counted, at the upper end of the last range below them
+    passed = [F.when(v > high, high) for _, high in ranges]
+    floor_of = F.greatest(*passed) if len(passed) > 1 else passed[0]
+    folded = df.join(bounds, group).filter(v.isNotNull()).select(
+        *group, "__n", F.when(inside, v).otherwise(floor_of).cast("double").alias("__v"), (~inside).alias("__outside")
     )
+    counted = folded.groupBy(*group, "__n", "__v", "__outside").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*group).orderBy(F.col("__v").asc_nulls_first(), "__outside")
+    upto = counted.withColumn("__upto", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((F.col("__upto") > rank) & (F.col("__upto") - F.col("__c") <= rank), F.col("__v")))
+
+    ends, found = [], []
+    for i, p in enumerate(probabilities):
+        rank = (F.col("__n") - 1) * F.lit(float(p))
+        low = F.floor(rank)
+        ends += [at_rank(low).alias(f"__a{i}"), at_rank(F.least(low + 1, F.col("__n") - 1)).alias(f"__z{i}")]
+        between = F.col(f"__a{i}") + (F.col(f"__z{i}") - F.col(f"__a{i}")) * (rank - low)
+        found.append(F.struct(F.lit(float(p)).alias("p"), between.alias("quantile")))
+    return upto.groupBy(*group, "__n").agg(*ends).select(*group, F.inline(F.array(*found)))
 
 
 def long_values(steps: DataFrame, keys: Sequence[str] = ("action", "proprio")) -> DataFrame:

@@ -53,3 +53,15 @@ def write_frame_shards(frames: DataFrame, path: str, rows_per_shard: int, positi
         .option("maxRecordsPerFile", rows_per_shard)
         .parquet(path)
     )
+
+
+def write_corpus(corpus: DataFrame, path: str, rows_per_file: int = 100_000, position: str = "position") -> None:
+    """A shuffled corpus as JSON lines: files follow each other in `position` order, and so do the lines inside them."""
+    (
+        corpus.repartitionByRange(position)
+        .sortWithinPartitions(position)
+        .drop(position)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
+        .json(path)
+    )
