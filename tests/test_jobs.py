@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from armature.plans import catalogue
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="supplied tables are not here")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +48,7 @@ def test_job_equals_sql(spark, duck, name):
 
 
 def test_names():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"pixel_batch_job"}
 
