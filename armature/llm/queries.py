@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import simhash
+from armature.llm import langid, quality, simhash, textkit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """SimHash of four-word shingles, links at four or fewer differing bits, components."""
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, bits=4)
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn from folds 0 and 2 of the id's crc32 modulo 3, predict for every document."""
+    docs = table(spark, folder, "documents")
+    fold = textkit.fold_number(F.col("doc_id"), 3)
+    model = langid.train(docs.filter(fold != 1), "text", "lang", "doc_id")
+    found = langid.identify(docs, model, "text", keep=["doc_id"])
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_quality_gam")
+def op8_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn from labels outside fold 2 of the id's crc32 modulo 4, score every document."""
+    docs = table(spark, folder, "documents")
+    fold = textkit.fold_number(F.col("doc_id"), 4)
+    labels = table(spark, folder, "labels").filter(fold != 2)
+    model = quality.train(docs, labels)
+    found = quality.score(docs, model, "text", threshold=0.7, keep=["doc_id"])
+    return found.select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
