@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import langid, quality, simhash, textkit
+from armature.llm import langid, quality, rules, simhash, textkit, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,20 @@ def op8_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, labels)
     found = quality.score(docs, model, "text", threshold=0.7, keep=["doc_id"])
     return found.select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op3_line_rules")
+def op3_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Line rules and document verdicts for every text."""
+    found = rules.apply_rules(table(spark, folder, "documents"), "text", keep=["doc_id"])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_lines", "lost_share")
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn from labels outside fold 1 of the id's crc32 modulo 3, score every document."""
+    docs = table(spark, folder, "documents")
+    fold = textkit.fold_number(F.col("doc_id"), 3)
+    model = toxicity.train(docs, table(spark, folder, "labels").filter(fold != 1))
+    found = toxicity.detect(docs, model, "text", threshold=0.7, keep=["doc_id"])
+    return found.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
