@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import langid, quality, rules, simhash, textkit, toxicity
+from armature.llm import decontaminate, langid, mixing, quality, rules, simhash, textkit, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,16 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, folder, "labels").filter(fold != 1))
     found = toxicity.detect(docs, model, "text", threshold=0.7, keep=["doc_id"])
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, a row per document and item."""
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+
+
+@query("op6_source_mixing")
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights 5, 2, 1 over the sources, 150 % of all words, at most twice a source or document."""
+    found = mixing.mix(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
