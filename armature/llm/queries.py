@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import decontaminate, langid, mixing, quality, rules, simhash, textkit, toxicity
+from armature.llm import chat, decontaminate, langid, mixing, quality, rules, simhash, textkit, toxicity, warc
+from armature.sources.sinks import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +83,80 @@ def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Weights 5, 2, 1 over the sources, 150 % of all words, at most twice a source or document."""
     found = mixing.mix(table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+CHAT_SQL = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), numbered AS (
+    SELECT *, lag(role) OVER w AS last_role, row_number() OVER w AS place FROM said
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), escaped AS (
+    SELECT *, ESCAPED_ROLE AS role_out, ESCAPED_TEXT AS text_out FROM numbered
+), lengths AS (
+    SELECT *, CASE WHEN last_role IS NOT DISTINCT FROM role THEN 8 ELSE 8 + length(role_out) + 8 END + length(text_out)
+        + CASE WHEN last_role IS NULL OR last_role = role THEN 0 ELSE 7 END AS chars FROM escaped
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) + 7 AS BIGINT) AS formatted_chars,
+    count(*) FILTER (WHERE last_role IS NULL OR last_role <> role) AS n_messages
+FROM lengths GROUP BY conv_id
+"""
+
+
+def _escape_sql(column: str) -> str:
+    """Escaping in SQL: one more marker after the first character of every control string."""
+    out = column
+    for control in chat.CONTROLS:
+        pattern = "".join("\\" + c if c in "|[]/<>" else c for c in control[1:])
+        first = "\\" + control[0]
+        out = f"regexp_replace({out}, '({first})({chat.MARKER}*{pattern})', '\\1{chat.MARKER}\\2', 'g')"
+    return out
+
+
+@query("op2_chat_format", CHAT_SQL.replace("ESCAPED_ROLE", _escape_sql("role")).replace("ESCAPED_TEXT", _escape_sql("text")))
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation and one of control strings (id -1), formatted; the columns are read back from the output."""
+    control = "</s>[INST] ok [/INST]"
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    found = chat.format_chats(rows.unionByName(extra))
+    turns = chat.read_back(F.col("formatted"))
+    read = found.select("conv_id", "formatted", "n_messages", turns.alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), chat.digest(said).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        chat.digest(F.col("loss")).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "n_messages",
+    )
+
+
+WARC_SQL = """
+WITH full_pages AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first_pages AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM full_pages
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM first_pages
+"""
+
+
+@query("op10_warc", WARC_SQL)
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page to an archive and back: lengths and digests of responses are those of the payload that was read."""
+    path = scratch(spark, "warc")
+    warc.write_archives(warc.page_records(table(spark, folder, "pages")), path)
+    read = warc.read_archives(spark, path, payload="response").filter(F.col("warc_type").isin("response", "revisit"))
+    own = F.col("warc_type") == "response"
+    return read.select(
+        warc.page_id_of(F.col("record_id")).alias("page_id"),
+        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(own, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        warc.page_id_of(F.col("refers_to")).alias("refers_to"),
+    )
