@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import chat, decontaminate, langid, mixing, quality, rules, simhash, textkit, toxicity, warc
+from armature.llm import chat, decontaminate, langid, mixing, quality, rollups, rules, simhash, textkit, toxicity, warc
 from armature.sources.sinks import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,37 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ROLLUP_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, source, lang FROM documents
+), held AS (
+    SELECT source, CASE WHEN doc_id % 7 = 2 THEN NULL ELSE lang END AS lang, 'pieces-2' AS tokenizer, length(text) AS chars,
+        len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS tokens
+    FROM docs WHERE doc_id % 5 <> 3
+    UNION ALL
+    SELECT source, lang, 'words-1', length(text), len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM docs WHERE doc_id % 5 <> 3
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(chars) AS BIGINT) AS chars
+FROM held GROUP BY source, lang, tokenizer
+"""
+
+
+@query("op9_token_rollups", ROLLUP_SQL)
+def op9_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents counted under two tokenizer versions, kept up by batches, each of which is sent twice: an insert of all,
+    a revision that drops the language of every seventh document under the second version, and a delete of every fifth."""
+    docs = table(spark, folder, "documents")
+    store = rollups.Store(spark, scratch(spark, "rollups"))
+    rows = rollups.counted(docs, {"words-1": rollups.words, "pieces-2": rollups.pieces})
+    unnamed = docs.filter("doc_id % 7 = 2").withColumn("lang", F.lit(None).cast("string"))
+    revised = rollups.counted(unnamed, {"pieces-2": rollups.pieces})
+    for _ in range(2):
+        store.put("all documents", rows)
+        store.put("languages withdrawn", revised)
+        store.delete("sources withdrawn", docs.filter("doc_id % 5 = 3").select("doc_id"))
+    return store.totals()
+
+
 WARC_SQL = """
 WITH full_pages AS (
     SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
