@@ -2,8 +2,8 @@
 
 Token weights are log-odds of the toxic against the clean labelled texts, shrunk by a Dirichlet prior: a base for every token
 and a part in proportion to its counts in both. A token counts once per text and a copied text once, so that no single text
-makes a term. Only tokens whose weight is `z_least` standard errors above zero are terms, and a drift is taken from every token
-so that clean text scores negative on average. A linear scan finds all maximal segments of positive score (Ruzzo and
+makes a term. Only tokens whose weight is so many standard errors above zero that chance
+would give `false_terms` of them are terms, and a drift is taken from every token so that clean text scores negative on average. A linear scan finds all maximal segments of positive score (Ruzzo and
 Tompa). Scores of segments in random clean text follow an extreme-value law: an S in a text of n tokens is expected
 K n exp(-lambda S) times by chance, with lambda from the clean token frequencies and K from clean texts. The segments of a
 text are put together by the sum statistic of that law, and a logistic curve on the sample makes it a probability.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,10 @@ class Bounds:
 class Settings:
     prior: float = 200.0
     base: float = 0.5
-    z_least: float = 3.0
-    least_weight: float = 1.0
+    false_terms: float = 50.0
+    least_weight: float = 3.0
     highest_weight: float = 8.0
-    drift: float = 0.15
+    drift: float = 0.3
     significant: float = 0.05
 
 
@@ -107,14 +108,14 @@ def passages(texts: pa.Array, hashes: np.ndarray, weights: np.ndarray, drift: fl
     return size, found, words
 
 
-def evidence(size: float, scores: list[float], decay: float, log_k: float) -> float:
+def evidence(size: float, scores: list[float], decay: float, log_k: float, significant: float = Settings.significant) -> float:
     """Minus log of the chance that clean text of this length has segments as good: the best r of them together, least over
-    r, with a factor r for the choice."""
+    r, with a factor r for the choice. Segments that are expected `significant` times or more by chance count for nothing."""
     normal = sorted((decay * s - log_k - math.log(max(1.0, size)) for s in scores), reverse=True)
     best, total = 0.0, 0.0
     for r, x in enumerate(normal, 1):
         total += x
-        if x <= 0:
+        if x <= -math.log(significant):
             break
         best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r) - math.log(r))
     return best
@@ -153,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str
     prior = settings.base + settings.prior * (F.col("c") + F.col("t")) / both
     odds = lambda n, total: F.log((F.col(n) + prior) / (F.lit(float(total) + settings.prior) - F.col(n) - prior))
     weighed = counts.withColumn("w", odds("t", toxic[1]) - odds("c", clean[1])).withColumn("z", F.col("w") / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior)))
-    terms = weighed.filter((F.col("z") >= settings.z_least) & (F.col("w") >= settings.least_weight)).orderBy(F.desc("z"), "token").limit(bounds.terms).toPandas()
+    least = NormalDist().inv_cdf(max(0.5, 1 - settings.false_terms / max(1, counts.count())))
+    terms = weighed.filter((F.col("z") >= least) & (F.col("w") >= settings.least_weight)).orderBy(F.desc("z"), "token").limit(bounds.terms).toPandas()
     if not len(terms):
         return nothing
     hashes = terms["token"].to_numpy(np.int64).view(np.uint64)
