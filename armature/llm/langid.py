@@ -4,7 +4,8 @@ For every language a suffix automaton of a labelled text of bounded length is bu
 automaton: a phrase is the longest run that occurs somewhere in the language's text. A phrase costs about log2 of the length
 of that text, so the cost of a text is phrases x log2(length), and the language with the least cost wins.
 
-Texts are lower-cased and reduced to letters and digits with single gaps between them, as UTF-8 bytes, so any script works.
+Texts are lower-cased and reduced to the letters and digits that the training texts have, with single gaps between them; a
+text in a script of no language keeps nothing and speaks for none.
 The automata are flat transition tables in which a missing transition already leads to where the next phrase begins, with a
 flag; a batch of texts is parsed in lanes of at most `LANE` symbols, one table lookup per symbol, lane and language. Whole
 texts are parsed: a long text is many lanes, which adds at most a phrase per lane, for every language alike.
@@ -42,22 +43,42 @@ class Bounds:
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    symbols: np.ndarray  # byte -> symbol; 0 is a gap
+    symbols: np.ndarray  # code point -> symbol; 0 is a gap
     width: int
     table: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
 
 
+def code_points(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and where each text starts among them."""
+    lead = (data & 0xC0) != 0x80
+    at = np.flatnonzero(lead)
+    found = data[at].astype(np.uint32)
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(lead, out=before[1:])
+    wide = np.flatnonzero(found >= 0x80)
+    if len(wide):
+        spot, first = at[wide], found[wide]
+        padded = np.concatenate([data, np.zeros(3, np.uint8)])
+        tail = [padded[spot + k].astype(np.uint32) & 63 for k in (1, 2, 3)]
+        found[wide] = np.where(
+            first < 0xE0,
+            (first & 31) << 6 | tail[0],
+            np.where(first < 0xF0, (first & 15) << 12 | tail[0] << 6 | tail[1], (first & 7) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]),
+        )
+    return found, before[starts]
+
+
 def to_symbols(texts: pa.Array, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts without repeated or leading gaps, and where each text starts."""
-    data, starts = textkit.raw_bytes(pc.utf8_lower(texts))
-    if not len(data):
+    points, starts = code_points(*textkit.raw_bytes(pc.utf8_lower(texts)))
+    if not len(points):
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
-    found = symbols[data]
+    found = symbols[points]
     before = np.zeros(len(found), found.dtype)
     before[1:] = found[:-1]
-    edge = starts[:-1][starts[:-1] < len(data)]
+    edge = starts[:-1][starts[:-1] < len(found)]
     before[edge] = 0
     keep = (found != 0) | (before != 0)
     count = np.zeros(len(keep) + 1, np.int64)
@@ -65,14 +86,17 @@ def to_symbols(texts: pa.Array, symbols: np.ndarray) -> tuple[np.ndarray, np.nda
     return found[keep], count[starts]
 
 
-def byte_symbols(seen: np.ndarray) -> tuple[np.ndarray, int]:
-    """Byte -> symbol for the bytes that occur in the training texts; other letters are one symbol that matches nothing."""
-    member = textkit.letters_and_digits()
-    table = np.zeros(256, np.uint8)
-    used = [b for b in range(256) if member[b] and seen[b]]
-    table[member] = len(used) + 1
+def letter_symbols(texts: list[pa.Array]) -> tuple[np.ndarray, int]:
+    """Code point -> symbol for the letters and digits of the training texts, the 255 most frequent if there are more; all
+    else, scripts of no language as well, is a gap."""
+    seen = np.zeros(0x110000, np.int64)
+    for t in texts:
+        seen += np.bincount(code_points(*textkit.raw_bytes(pc.utf8_lower(t)))[0], minlength=0x110000)
+    used = [c for c in np.flatnonzero(seen).tolist() if chr(c).isalnum()]
+    used = sorted(sorted(used, key=lambda c: -seen[c])[:255])
+    table = np.zeros(0x110000, np.uint8)
     table[used] = np.arange(1, len(used) + 1)
-    return table, len(used) + 2
+    return table, len(used) + 1
 
 
 def automaton(text: np.ndarray) -> list[dict[int, int]]:
@@ -107,10 +131,7 @@ def automaton(text: np.ndarray) -> list[dict[int, int]]:
 
 def build(languages: list[str], texts: list[pa.Array], bounds: Bounds) -> Model:
     """Tables of all languages one after the other. A language's first row is where a phrase has not begun yet."""
-    seen = np.zeros(256, bool)
-    for t in texts:
-        seen[textkit.raw_bytes(pc.utf8_lower(t))[0]] = True
-    symbols, width = byte_symbols(seen)
+    symbols, width = letter_symbols(texts)
     budget = min(bounds.symbols_per_language, bounds.symbols_in_all // max(1, len(languages)))
     tables, roots, bits, base = [], [], [], 0
     for t in texts:
