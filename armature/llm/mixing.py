@@ -20,6 +20,8 @@ from armature.operators.smallside import cut_lineage
 
 #: Rows of a block whose copies are drawn in one go.
 BLOCK_ROWS = 4096
+#: Tables of one short row per source are broadcast up to this many sources.
+MOST_BROADCAST = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -92,13 +94,16 @@ def mix(docs: DataFrame, targets=rotating_targets, id_column: str = "doc_id", te
     cells = cut_lineage(rows.groupBy("key", "base").agg(F.first("source").alias("source"), F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("rows")))
     sizes = cells.groupBy("key").agg(F.first("source").alias("source"), F.sum("tokens").alias("source_size"), F.sum("rows").alias("source_rows"))
     wanted = cut_lineage(targets(sizes))
-    plan = wanted.join(tilts(cells.select("key", "base", "tokens"), wanted, most), "key").drop("source")
+    plan = cut_lineage(wanted.join(tilts(cells.select("key", "base", "tokens"), wanted, most), "key").drop("source"))
+    few = plan.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
 
     blocks = F.greatest(F.lit(1), F.ceil(F.col("source_rows") / BLOCK_ROWS))
     rated = (
-        rows.join(plan, "key")
+        rows.join(F.broadcast(plan) if few else plan, "key")
         .select("id", "source", "key", "size", "draw", "source_size", "target", F.least(F.col("base") * F.exp("tilt"), F.lit(most)).alias("rate"), F.pmod("draw", blocks).alias("block"))
     )
+    if not few:  # a join by source leaves the rows of a source together: deal them out by block
+        rated = rated.repartition("key", "block")
     # Systematic draws: cumulated rates, in the order of size, pass a whole number plus a start that is drawn per block.
     order = Window.partitionBy("key", "block").orderBy("size", "draw", F.col("id").asc_nulls_first())
     start = F.pmod(F.xxhash64(F.lit("start"), "key", "block"), F.lit(1 << 20)) / float(1 << 20)
@@ -116,14 +121,14 @@ def mix(docs: DataFrame, targets=rotating_targets, id_column: str = "doc_id", te
     drawn = cut_lineage(drawn)
     moves = None
     for _ in range(corrections):
-        moves = _one_more_move(drawn, moves, int(most))
+        moves = _one_more_move(drawn, moves, int(most), few)
     if moves is not None:
         moved = moves.select("key", "block", "place", "move")
-        drawn = drawn.join(moved, ["key", "block", "place"], "left").withColumn("copies", F.col("copies") + F.coalesce("move", F.lit(0)))
+        drawn = drawn.join(F.broadcast(moved) if few else moved, ["key", "block", "place"], "left").withColumn("copies", F.col("copies") + F.coalesce("move", F.lit(0)))
     return drawn.select(F.col("id").alias(id_column), "size", F.col("source").alias(source), "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def _one_more_move(drawn: DataFrame, moves: DataFrame | None, most: int) -> DataFrame:
+def _one_more_move(drawn: DataFrame, moves: DataFrame | None, most: int, few: bool) -> DataFrame:
     """Adds, for each source, the one move of a document by one copy that brings its taken words closest to the target, if
     any brings them closer. A document is moved once."""
     gap = drawn.groupBy("key").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
@@ -131,10 +136,11 @@ def _one_more_move(drawn: DataFrame, moves: DataFrame | None, most: int) -> Data
     if moves is not None:
         moved = moves.groupBy("key").agg(F.sum(F.col("move") * F.col("size")).alias("moved"))
         gap = gap.join(moved, "key", "left").select("key", (F.col("gap") - F.coalesce("moved", F.lit(0))).alias("gap"))
-        free = drawn.join(moves.select("key", "block", "place"), ["key", "block", "place"], "left_anti")
+        moved_rows = moves.select("key", "block", "place")
+        free = drawn.join(F.broadcast(moved_rows) if few else moved_rows, ["key", "block", "place"], "left_anti")
     fits = F.when(F.col("gap") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
     left = F.abs(F.abs("gap") - F.col("size"))
     best = F.struct(left.alias("left"), "draw", "block", "place", "size", F.signum("gap").cast("int").alias("move"))
-    near = free.join(gap, "key").filter((F.col("size") > 0) & fits & (left < F.abs("gap")))
+    near = free.join(F.broadcast(gap) if few else gap, "key").filter((F.col("size") > 0) & fits & (left < F.abs("gap")))
     chosen = near.groupBy("key").agg(F.min(best).alias("m")).select("key", "m.block", "m.place", "m.size", "m.move")
     return cut_lineage(chosen if moves is None else moves.union(chosen))
