@@ -185,11 +185,19 @@ def train(docs: DataFrame, text: str, lang: str, id_column: str, bounds: Bounds
     longer rows than `row_chars` are left out of it. Ties of the hash are broken by the id."""
     named = docs.filter(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & (F.length(f"`{text}`") <= bounds.row_chars))
     keyed = named.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{id_column}`").alias("id"))
-    draw = F.xxhash64(F.lit("language sample"), "id")
-    first = keyed.distinct().withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "id"))).filter(F.col("place") <= bounds.rows_per_language)
-    chosen = first.limit(bounds.rows_per_language * bounds.languages + 1).collect()
-    if len({r.lang for r in chosen}) > bounds.languages:
+    counts = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    few = counts.limit(bounds.languages + 1).collect()
+    if len(few) > bounds.languages:
         raise ValueError(f"more than {bounds.languages} languages")
+    if not few:
+        return build([], [], bounds)
+    # The least draws of a language are among those below a bar that four times as many are expected to pass, so only a few
+    # rows per language are put in order.
+    draw = F.xxhash64(F.lit("language sample"), "id")
+    bars = keyed.sparkSession.createDataFrame([(r.lang, min(1.0, 4.0 * bounds.rows_per_language / r.rows)) for r in few], "lang string, bar double")
+    below = keyed.join(F.broadcast(bars), "lang").filter(F.pmod(draw, F.lit(1 << 40)) < F.col("bar") * float(1 << 40)).select("lang", "id").distinct()
+    first = below.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(draw, F.lit(1 << 40)), "id"))).filter(F.col("place") <= bounds.rows_per_language)
+    chosen = first.collect()
     if not chosen:
         return build([], [], bounds)
     picked = docs.sparkSession.createDataFrame([(r.lang, r.id) for r in chosen], "lang string, id " + dict(keyed.dtypes)["id"])
