@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,22 +30,28 @@ def epoch_seed(seed: int, epoch: int) -> int:
 
 
 def _wrapped(placed: DataFrame, position: str, total: Column, step: int) -> DataFrame:
-    """Repeat the first rows after the last so that the number of rows is a multiple of `step`."""
-    missing = F.pmod(-total, F.lit(step))
-    at = F.col(position)
-    copies = F.when(at < missing, F.array(at, at + total)).otherwise(F.array(at))
-    return placed.withColumn(position, F.explode(copies))
+    """Go round the rows again after the last, as often as it takes, so that their number is a multiple of `step`."""
+    last = total + F.pmod(-total, F.lit(step)) - 1
+    at = F.col(position).cast("long")
+    return placed.withColumn(position, F.explode(F.sequence(at, last.cast("long"), total.cast("long"))))
 
 
 def modality_batches(examples: DataFrame, size: int, seed: int) -> DataFrame:
     """Shuffle each modality, cut it into batches, fill the last one from the first, sort batches by length.
 
-    Adds batch_no (within the modality) and slot. A few examples appear twice when a modality is no multiple of `size`.
+    Adds batch_no (within the modality) and slot. A few examples appear twice when a modality is no multiple of `size`. It is
+    an error if there is no image example, or if a modality is less than half a batch, which going round once cannot fill.
     """
     placed = with_random_position(
         examples, ["is_multimodal"], ["example_id"], seed, "__at", ["is_multimodal", "example_id"]
     )
-    totals = pin_small(examples.groupBy("is_multimodal").agg(F.count(F.lit(1)).alias("__n")))
+    counts = examples.groupBy("is_multimodal").agg(F.count(F.lit(1)).alias("__n"))
+    known = {r["is_multimodal"]: r["__n"] for r in counts.collect()}  # two rows at most
+    if known and not known.get(True):
+        raise ValueError("no image examples")
+    if any(2 * n < size for n in known.values()):
+        raise ValueError(f"a modality has less than half a batch of {size} examples")
+    totals = pin_small(counts)
     full = _wrapped(placed.join(totals, "is_multimodal"), "__at", F.col("__n"), size)
     batched = full.withColumn("batch_no", F.floor(F.col("__at") / size).cast("long"))
     w = Window.partitionBy("is_multimodal", "batch_no").orderBy(F.col("n_words").desc(), "__at")
@@ -54,28 +59,36 @@ def modality_batches(examples: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def length_buckets(batches: DataFrame, replicas: int) -> DataFrame:
-    """Deal each sorted batch to `replicas` equal buckets: every example goes to the lightest bucket that has room.
+    """Deal each sorted batch to `replicas` equal buckets: every example goes to the lightest bucket that has room, the first
+    of equals. Replaces `slot` by bucket order.
 
-    Sequential inside a batch, parallel over batches; a batch is a bounded group. Replaces `slot` by bucket order.
+    A walk over the rows of a batch, which is a bounded group; batches are dealt in parallel.
     """
+    columns = [c for c in batches.columns if c not in ("is_multimodal", "batch_no", "slot")]
+    row = F.struct("slot", *columns)
+    kind = batches.select(row.alias("r")).schema["r"].dataType.simpleString()
+    rows = batches.groupBy("is_multimodal", "batch_no").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    room = (F.size("rows") / replicas).cast("int")
+    even = F.when(F.size("rows") % replicas == 0, F.col("rows")).otherwise(F.raise_error(F.lit("batch size is no multiple of the number of replicas")))
+    start = F.struct(
+        F.array_repeat(F.lit(0.0), replicas).alias("weight"),
+        F.array_repeat(F.lit(0), replicas).alias("count"),
+        F.array().cast(f"array<struct<r:{kind},bucket:int,slot:int>>").alias("out"),
+    )
 
-    def deal(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("slot")
-        if len(batch) % replicas:
-            raise ValueError("batch size is no multiple of the number of replicas")
-        room = len(batch) // replicas
-        weight, count, bucket, place = [0.0] * replicas, [0] * replicas, [], []
-        for words in batch["n_words"]:
-            b = min(range(replicas), key=weight.__getitem__)
-            bucket.append(b)
-            place.append(count[b])
-            count[b] += 1
-            weight[b] = float("inf") if count[b] == room else weight[b] + words
-        at = [b * room + p for b, p in zip(bucket, place)]
-        return batch.assign(bucket=pd.array(bucket, "int32"), slot=pd.array(at, "int32"))
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in batches.schema.fields) + ", bucket int"
-    return batches.groupBy("is_multimodal", "batch_no").applyInPandas(deal, schema)
+    def deal(state: Column, r: Column) -> Column:
+        bucket = F.array_position(state["weight"], F.array_min(state["weight"])).cast("int") - 1
+        held = state["count"][bucket]
+        filled = F.when(held + 1 == room, F.lit(float("inf"))).otherwise(state["weight"][bucket] + r["n_words"])
+        placed = F.struct(r.alias("r"), bucket.alias("bucket"), (bucket * room + held).alias("slot"))
+        return F.struct(
+            F.transform(state["weight"], lambda x, i: F.when(i == bucket, filled).otherwise(x)).alias("weight"),
+            F.transform(state["count"], lambda x, i: F.when(i == bucket, x + 1).otherwise(x)).alias("count"),
+            F.array_append(state["out"], placed).alias("out"),
+        )
+
+    dealt = rows.withColumn("rows", even).select("is_multimodal", "batch_no", F.explode(F.aggregate("rows", start, deal, lambda s: s["out"])).alias("d"))
+    return dealt.select("is_multimodal", "batch_no", "d.slot", "d.bucket", *[f"d.r.{c}" for c in columns])
 
 
 def batch_order(batches: DataFrame, seed: int) -> DataFrame:

@@ -134,41 +134,43 @@ def buffered_order(frames: DataFrame, stored: str, buffer: int, seed: int, key:
     return runs.withColumn("position", F.col("buffer_no") * buffer + F.row_number().over(w) - 1).drop("__at", "__u")
 
 
-def proportional_quota(weights: Sequence[float], n: int) -> list[int]:
-    """Whole numbers that sum to n, follow the weights, and give every positive weight at least one.
-
-    Shares below one are rounded up to one first, repeatedly, then the rest is floored and the largest remainders get
-    what is left; among equal remainders the later entry goes first.
+def quota_table(entries: DataFrame, n: int) -> DataFrame:
+    """`entries` (pos, weight, ...) with `quota`: whole numbers that sum to n, follow the weights and give every positive
+    weight at least one.
+
+    In the order of their weights, the first k positive entries have exactly one, where k is least such that every later
+    entry's share of the other n - k rows, by weight among themselves, is one or more. Those get their share rounded down,
+    and what is left goes to the largest remainders, of equal ones to the later position. The mixture is a list of names, so
+    its windows are over a short table.
     """
-    if any(w < 0 for w in weights):
+    checks = entries.agg(F.count(F.lit(1)).alias("entries"), F.coalesce(F.min("weight"), F.lit(0.0)).alias("least")).first()
+    if checks["least"] < 0:
         raise ValueError("weights must not be negative")
-    if len(weights) > n:
+    if checks["entries"] > n:
         raise ValueError("fewer rows than entries")
-    total = sum(weights)
-    share, quota = [w / total for w in weights], [0] * len(weights)
-    while True:
-        tiny = [i for i, s in enumerate(share) if 0 < s * n < 1]
-        if not tiny:
-            break
-        for i in tiny:
-            quota[i] += 1
-            share[i] = 0.0
-        n -= len(tiny)
-        rest = sum(share)
-        share = [s / rest if rest else 0.0 for s in share]
-    floors = [int(s * n) for s in share]
-    left = n - sum(floors)
-    by_remainder = sorted(range(len(share)), key=lambda i: (share[i] * n - floors[i], i), reverse=True)
-    bonus = set(by_remainder[:left])
-    return [q + f + (i in bonus) for i, (q, f) in enumerate(zip(quota, floors))]
-
-
-def stratified_extract(frames: DataFrame, quotas: dict[str, int], key: Sequence[str], seed: int) -> DataFrame:
-    """Exactly `quotas[dataset]` random frames of each dataset (all of them if it has fewer)."""
-    spark = frames.sparkSession
-    table = pin_small(spark.createDataFrame(list(quotas.items()), "dataset_name string, quota long"))
+    everything = Window.partitionBy()
+    rising = Window.orderBy((F.col("weight") <= 0).cast("int"), "weight", "pos")
+    ranked = entries.withColumns({
+        "__rank": F.row_number().over(rising) - 1,
+        "__rest": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
+    })
+    positive, room = F.col("weight") > 0, n - F.col("__rank")
+    reaches_one = positive & (F.col("weight") * room >= F.col("__rest"))
+    from_here = ranked.withColumn("__ones", F.coalesce(F.min(F.when(reaches_one, F.col("__rank"))).over(everything), F.count_if(positive).over(everything)))
+    shared = positive & (F.col("__rank") >= F.col("__ones"))
+    weights = F.sum(F.when(shared, F.col("weight"))).over(everything)
+    parts = from_here.withColumn("__share", F.when(shared, F.col("weight") / weights * (n - F.col("__ones"))))
+    floors = parts.withColumn("__floor", F.floor("__share"))
+    spare = n - F.col("__ones") - F.coalesce(F.sum("__floor").over(everything), F.lit(0))
+    place = F.row_number().over(Window.orderBy((F.col("__share") - F.col("__floor")).desc_nulls_last(), F.desc("pos")))
+    quota = F.when(shared, F.col("__floor") + (place <= spare).cast("int")).when(positive, 1).otherwise(0)
+    return floors.withColumn("quota", quota.cast("long")).select(*entries.columns, "quota")
+
+
+def stratified_extract(frames: DataFrame, quotas: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
+    """Exactly `quota` random frames of each dataset of `quotas` (dataset_name, quota); all of them if it has fewer."""
     placed = with_random_position(frames, ["dataset_name"], list(key), seed, "__at")
-    return placed.join(table, "dataset_name").filter(F.col("__at") < F.col("quota")).drop("__at")
+    return placed.join(pin_small(quotas.select("dataset_name", "quota")), "dataset_name").filter(F.col("__at") < F.col("quota")).drop("__at")
 
 
 def synthetic_frames(ids: DataFrame, seed: int, dims: int = 7) -> DataFrame:

@@ -42,14 +42,14 @@ def verify_images_exist(spark, d):
 
 @job(
     "merge_corpora",
-    """SELECT doc_id AS id, lang, CAST(n_chars AS DOUBLE) AS n_chars, NULL::VARCHAR AS image FROM documents WHERE doc_id % 3 = 0
-    UNION ALL SELECT doc_id, lang, NULL, concat(CAST(doc_id AS VARCHAR), '.jpg') FROM documents WHERE doc_id % 3 <> 2""",
+    """SELECT doc_id AS id, lang, CAST(n_chars AS DOUBLE) AS n_chars, NULL::VARCHAR AS image FROM documents
+    UNION ALL SELECT doc_id, lang, NULL, concat(CAST(doc_id AS VARCHAR), '.jpg') FROM documents SEMI JOIN labels USING (doc_id)""",
 )
 def merge_corpora(spark, d):
     docs = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", F.col("n_chars").cast("double").alias("n_chars"))
-    chat = docs.filter(F.col("id") % 3 == 0)
-    visual = docs.filter(F.col("id") % 3 != 2).select("id", "lang", F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("image"))
-    return C.merge_corpora(chat, visual)
+    labeled = docs.join(tables.table(spark, d, "labels").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    visual = labeled.select("id", "lang", F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("image"))
+    return C.merge_corpora(docs, visual)
 
 
 @job(
@@ -116,11 +116,6 @@ def plan(spark, d):
     return B.modality_batches(W.examples(spark, d), SIZE, SEED)
 
 
-def kept_plan(spark, d):
-    """The plan as a table: narrow rows that several steps read."""
-    return cut_lineage(plan(spark, d))
-
-
 @job("split_modality_batches", W.sql("v_examples", "SELECT example_id, is_multimodal, n_words, batch_no, slot FROM plan", **PLAN))
 def split_modality_batches(spark, d):
     return plan(spark, d).select("example_id", "is_multimodal", "n_words", "batch_no", "slot")
@@ -157,12 +152,14 @@ def merge_and_order_batches(spark, d):
     W.sql(
         "v_examples",
         f"""SELECT example_id, is_multimodal, epoch_batch * {SIZE} + slot AS "index", CAST(floor((epoch_batch * {SIZE} + slot) / {SIZE // REPLICAS}) % {REPLICAS} AS INT) AS "rank"
-        FROM plan JOIN placed USING (is_multimodal, batch_no)""",
+        FROM deal JOIN placed USING (is_multimodal, batch_no) WHERE bucket IS NOT NULL""",
         **PLAN,
-    ),
+        deal=DEAL,
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def assign_replicas(spark, d):
-    batches = kept_plan(spark, d)
+    """Batches, buckets, epoch order and ranks: a rank's slice of a batch is one of its buckets."""
+    batches = cut_lineage(B.length_buckets(plan(spark, d), REPLICAS))
     out = B.replica_slices(batches, B.batch_order(batches, SEED), SIZE, REPLICAS)
     return out.select("example_id", "is_multimodal", "index", "rank")
 

@@ -140,10 +140,7 @@ def batch_frames(spark, d):
 def proportional_quota(spark, d):
     frames = W.step_rows(spark, d).select("dataset_name", "event_id")
     kept, _ = M.select_mixture(W.mixture(spark), frames.select("dataset_name").distinct())
-    entries = kept.orderBy("pos").collect()  # the mixture itself, a short list
-    quotas = M.proportional_quota([e["weight"] for e in entries], frames.count() // 10)
-    named = {e["dataset_name"]: q for e, q in zip(entries, quotas)}
-    return M.stratified_extract(frames, named, ["event_id"], 47)
+    return M.stratified_extract(frames, M.quota_table(kept, frames.count() // 10), ["event_id"], 47)
 
 
 @job(

@@ -135,8 +135,8 @@ def examples(spark: SparkSession, d: str) -> DataFrame:
 def qa(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(
         (F.col("doc_id") % 400).alias("image_id"),
-        F.concat(F.lit("  "), F.substring("text", 1, 60)).alias("question"),
-        F.substring("text", 61, 120).alias("answer"),
+        F.concat(F.lit("  "), F.substring_index("text", "\n", 1)).alias("question"),
+        F.expr("substring(text, length(substring_index(text, '\\n', 1)) + 1)").alias("answer"),
         "doc_id",
     )
 
@@ -232,7 +232,7 @@ SELECT d.doc_id AS example_id, d.lang AS source, l.doc_id IS NOT NULL AS is_mult
        CAST(1 + floor(d.n_chars / 6e0) AS BIGINT) AS n_words
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "v_qa": """
-SELECT doc_id % 400 AS image_id, concat('  ', substr(text, 1, 60)) AS question, substr(text, 61, 120) AS answer, doc_id FROM documents""",
+SELECT doc_id % 400 AS image_id, concat('  ', split_part(text, chr(10), 1)) AS question, substr(text, length(split_part(text, chr(10), 1)) + 1) AS answer, doc_id FROM documents""",
     "v_preds": """
 SELECT dataset_name, CAST(floor(event_id / 64e0) AS BIGINT) AS step, event_id AS sample_id,
        CAST(1 + event_id % 256 AS INT) AS gt_bin,

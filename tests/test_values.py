@@ -87,20 +87,31 @@ def test_clip_keeps_nan(spark):
     assert math.isnan(got[0]) and got[1:] == [1.0, 0.0]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.floats(0, 50), min_size=1, max_size=12).filter(lambda w: sum(w) > 0.1), st.integers(12, 500))
-def test_quotas_sum_and_cover(weights, n):
-    quota = M.proportional_quota(weights, n)
-    assert sum(quota) == n
-    assert all(q >= 1 for q, w in zip(quota, weights) if w > 1e-9)
-
-
-def test_quota_errors_and_ties():
-    assert M.proportional_quota([1, 1], 3) == [1, 2]  # equal remainders: the later entry first
-    assert M.proportional_quota([1000, 1, 1], 10) == [8, 1, 1]
+def quotas(spark, weights, n):
+    entries = spark.createDataFrame([(i, float(w)) for i, w in enumerate(weights)], "pos int, weight double")
+    return [r["quota"] for r in M.quota_table(entries, n).orderBy("pos").collect()]
+
+
+def test_quotas_sum_cover_and_follow_the_weights(spark):
+    rnd = random.Random(6)
+    for _ in range(25):
+        weights = [rnd.choice([0.0, 1e-3, rnd.random(), 50 * rnd.random()]) for _ in range(rnd.randrange(1, 12))] + [1.0]
+        n = rnd.randrange(len(weights), 400)
+        quota = quotas(spark, weights, n)
+        assert sum(quota) == n
+        assert all((q >= 1) == (w > 0) for q, w in zip(quota, weights))
+        ones = sum(q == 1 for q in quota)
+        rest = sum(w for q, w in zip(quota, weights) if q > 1)
+        assert all(q - 1 <= w / rest * (n - ones) + 1e-9 for q, w in zip(quota, weights) if q > 1 and rest)
+
+
+def test_quota_errors_and_ties(spark):
+    assert quotas(spark, [1, 1], 3) == [1, 2]  # equal remainders: the later entry first
+    assert quotas(spark, [1000, 1, 1], 10) == [8, 1, 1]
+    assert quotas(spark, [3, 0, 3], 7) == [3, 0, 4]
     for weights, n in (([-1, 2], 5), ([1, 1, 1], 2)):
         with pytest.raises(ValueError):
-            M.proportional_quota(weights, n)
+            quotas(spark, weights, n)
 
 
 def test_uniform_is_the_documented_hash(spark):
