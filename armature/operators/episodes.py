@@ -1,18 +1,14 @@
 """Episode-ordered operators that cut long episodes into segments.
 
-An episode is (dataset_name, episode_id) ordered by `timestep`. Usual episodes have at most SEGMENT_ROWS steps: then every
-operator is a window over the episode, all windows share one partitioning, and a chain of them costs one shuffle.
-
-Where an episode is longer - it may hold a large share of the table - nothing is partitioned by episode alone. Rows are
-grouped by (episode, segment) with `segment = timestep div SEGMENT_ROWS`, and what has to cross a segment border does so
-explicitly:
+An episode is (dataset_name, episode_id) ordered by `timestep`. It may hold a large share of the table, so nothing is
+partitioned by episode alone. Rows are grouped by (episode, segment) with `segment = timestep div SEGMENT_ROWS`, and what has
+to cross a segment border does so explicitly:
 
 * `with_neighbours` copies the few rows next to a border into the adjacent segment (lag / lead by a constant);
 * `fill_from_previous` / `fill_from_next` exchange one summary row per segment (unbounded scans);
 * `with_episode_facts` does the same for whole-episode aggregates, and joins them on (episode, segment).
 
-Which case holds is measured once, when steps are numbered, and travels with the table as metadata of the `timestep`
-column. A table without that note takes the segmented path.
+There is one plan for every size: a short episode is an episode of one segment.
 """
 
 from __future__ import annotations
@@ -26,45 +22,20 @@ from armature.operators.ordering import time_block, with_position
 
 EPISODE = ("dataset_name", "episode_id")
 SEGMENT_ROWS = 1 << 15
-LONGEST = "longest_episode"
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group: one scan of the key columns, combined before the shuffle."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def longest_episode(df: DataFrame) -> int | None:
-    return df.schema["timestep"].metadata.get(LONGEST)
-
 
-def _fits(df: DataFrame, rows: int) -> bool:
-    longest = longest_episode(df)
-    return longest is not None and longest <= rows
 
+def with_timestep(df: DataFrame, timestep: Column) -> DataFrame:
+    """Set the step index."""
+    return df.withColumn("timestep", timestep.cast("int"))
 
-def with_timestep(df: DataFrame, timestep: Column, longest: int | None) -> DataFrame:
-    """Set the step index and the note on the longest episode."""
-    note = {} if longest is None else {LONGEST: longest}
-    return df.withColumn("timestep", timestep.cast("int")).withMetadata("timestep", note)
 
+def add_timestep(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None) -> DataFrame:
+    """0-based step index inside each episode. `order` must be unique within an episode; `block` must not decrease along it.
 
-def add_timestep(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None = None, longest: int | None = None,
-    rows: int = SEGMENT_ROWS,
-) -> DataFrame:
-    """0-based step index inside each episode. `order` must be unique within an episode.
-
-    `longest` is the size of the largest episode if it is known already.
+    By default a block is an hour of an episode, whose rows the rate of the recording bounds.
     """
-    longest = largest_group(df, keys) if longest is None else longest
-    if longest <= rows:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return with_timestep(df, F.row_number().over(w) - 1, longest)
     block = time_block(F.col(order[0])) if block is None else block
-    placed = with_position(df, keys, order, block, "timestep")
-    return with_timestep(placed, F.col("timestep"), longest)
+    return with_timestep(with_position(df, keys, order, block, "timestep"), F.col("timestep"))
 
 
 def segment_of(timestep: Column, rows: int = SEGMENT_ROWS) -> Column:
@@ -103,8 +74,6 @@ def with_neighbours(
     def moved(w):
         return [F.lag(c, -o).over(w).alias(n) if o < 0 else F.lead(c, o).over(w).alias(n) for n, (c, o) in shifted.items()]
 
-    if _fits(df, rows):
-        return df.select("*", *moved(Window.partitionBy(*keys).orderBy("timestep")))
     back = max([0, *[-o for _, o in shifted.values()]])
     ahead = max([0, *[o for _, o in shifted.values()]])
     spread = _spread(df, back, ahead, rows)
@@ -122,8 +91,6 @@ def with_rolling_means(
     def rolled(w):
         return [F.avg(c).over(w.rowsBetween(1 - n, 0)).alias(name) for name, (c, n) in means.items()]
 
-    if _fits(df, rows):
-        return df.select("*", *rolled(Window.partitionBy(*keys).orderBy("timestep")))
     spread = _spread(df, max(n for _, n in means.values()) - 1, 0, rows)
     return _own(spread.select("*", *rolled(Window.partitionBy(*keys, "__segment").orderBy("timestep"))), rows)
 
@@ -132,9 +99,6 @@ def _fill(df, values: Mapping[str, Column], forward: bool, keys, rows) -> DataFr
     named = df.select("*", *[c.alias(f"__v_{n}") for n, c in values.items()])
     order = lambda c: F.col(c) if forward else F.col(c).desc()
     held = [f"__v_{n}" for n in values]
-    if _fits(df, rows):
-        w = Window.partitionBy(*keys).orderBy(order("timestep")).rowsBetween(Window.unboundedPreceding, 0)
-        return named.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(w).alias(n) for n in values]).drop(*held)
     named = named.withColumn("__segment", segment_of(F.col("timestep"), rows))
     inside = Window.partitionBy(*keys, "__segment").orderBy(order("timestep")).rowsBetween(Window.unboundedPreceding, 0)
     local = named.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(inside).alias(f"__in_{n}") for n in values])
@@ -174,8 +138,6 @@ def with_episode_facts(
     The combiner is "max", "min", "sum", "first" or "last" (in step order).
     """
     whole = Window.partitionBy(*keys)
-    if _fits(df, rows):
-        return df.select("*", *[agg.over(whole).alias(n) for n, (agg, _) in facts.items()])
     seg = segment_of(F.col("timestep"), rows)
     per_segment = df.groupBy(*keys, seg.alias("__segment")).agg(*[agg.alias(n) for n, (agg, _) in facts.items()])
     ordered = whole.orderBy("__segment").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -195,7 +157,10 @@ def with_length(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMEN
 
 
 def in_parts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = EPISODE, order: str = "timestep", rows: int = 1024) -> DataFrame:
-    """Nest the rows of each group into ordered lists of at most `rows` entries: one row per (group, part)."""
+    """Nest the rows of each group into ordered lists of at most `rows` entries: one row per (group, part).
+
+    The part is part of the key at every size; a group of `rows` rows or fewer has part 0 only.
+    """
     part = F.floor(F.col(order) / rows).cast("long")
     nested = F.sort_array(F.collect_list(F.struct(order, *[c for c in columns if c != order])))
     return df.groupBy(*keys, part.alias("part")).agg(nested.alias("steps"))

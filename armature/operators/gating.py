@@ -18,7 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from armature.operators.episodes import SEGMENT_ROWS, largest_group
 
 
 def _jumps(t: np.ndarray, step: int) -> np.ndarray:
@@ -36,11 +35,12 @@ def _exits(t: np.ndarray, step: int) -> np.ndarray:
 
 
 def rate_gate(
-    events: DataFrame, key: str, hertz: float, slot_seconds: int = 3600, largest: int | None = None, rows: int = SEGMENT_ROWS
+    events: DataFrame, key: str, hertz: float, slot_seconds: int = 3600
 ) -> DataFrame:
     """(key, event_id, at_us) of the events that pass. Input columns: key, at (timestamp), event_id.
 
-    Keys of at most `rows` events are walked directly; `largest` is the size of the largest key if known.
+    A key is cut into slots of `slot_seconds`, which are walked in parallel; between slots go only the few ways a walk can
+    enter one and leave it.
     """
     step = int(round(1e6 / hertz))
     slot_us = slot_seconds * 1_000_000
@@ -79,8 +79,6 @@ def rate_gate(
         return part.iloc[taken][[key, "event_id", "at_us"]]
 
     marked = f"{key} {kind}, event_id long, at_us long"
-    if (largest_group(events, [key]) if largest is None else largest) <= rows:
-        return ticks.withColumn("last", F.lit(None).cast("long")).groupBy(key).applyInPandas(mark, marked)
     summary = slotted.groupBy(key, "slot").applyInPandas(
         summarize, f"{key} {kind}, slot long, entries array<long>, exits array<long>"
     )

@@ -14,7 +14,6 @@ from armature.operators.episodes import (
     SEGMENT_ROWS,
     fill_from_next,
     fill_from_previous,
-    longest_episode,
     segment_of,
     with_episode_facts,
     with_neighbours,
@@ -45,7 +44,7 @@ def absolute_gripper(df: DataFrame, relative: Column, name: str = "gripper", key
 
 def drop_first_step(df: DataFrame) -> DataFrame:
     """Steps are numbered without gaps, so renumbering is a subtraction."""
-    return with_timestep(df.filter(F.col("timestep") > 0), F.col("timestep") - 1, longest_episode(df))
+    return with_timestep(df.filter(F.col("timestep") > 0), F.col("timestep") - 1)
 
 
 def relabel_by_reached_state(
@@ -77,9 +76,5 @@ def mark_noops(
 def without_noops(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Drop marked steps and renumber the rest as `demo_step`."""
     kept = df.filter(~F.col("is_noop")).drop("is_noop")
-    longest = longest_episode(df)
-    if longest is not None and longest <= rows:
-        w = Window.partitionBy(*keys).orderBy("timestep")
-        return kept.withColumn("demo_step", (F.row_number().over(w) - 1).cast("int"))
     numbered = with_position(kept, keys, ["timestep"], segment_of(F.col("timestep"), rows), "demo_step")
     return numbered.withColumn("demo_step", F.col("demo_step").cast("int"))

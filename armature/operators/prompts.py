@@ -1,4 +1,4 @@
-"""Chat prompts as columns: every turn is wrapped on its own row, so no conversation has to be gathered to be formatted."""
+"""Chat prompts as columns: every turn is wrapped on its own row, then the pieces of a conversation are put together."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from armature.functions import text
-from armature.operators.episodes import with_neighbours, with_timestep
 
 # Fixed values of the prompt formats.
 ASSISTANT_SYSTEM = (
@@ -64,31 +63,21 @@ def role_ok(role: Column, turn: Column) -> Column:
     return role == F.when(turn % 2 == 0, "human").otherwise("gpt")
 
 
-def finished(piece: Column, template: Template, turn: Column, last: Column) -> Column:
+def finished(prompt: Column, template: Template) -> Column:
     """Ends of the assembled prompt: no tokenizer-owned prefix, no trailing whitespace."""
-    body = F.when(last, text.strip_right(piece)).otherwise(piece)
+    body = text.strip_right(prompt)
     if template.bos is None:
         return body
-    n = len(template.bos)
-    return F.when((turn == 0) & body.startswith(template.bos), F.substring(body, n + 1, 1 << 30)).otherwise(body)
+    return F.when(body.startswith(template.bos), F.substring(body, len(template.bos) + 1, 1 << 30)).otherwise(body)
 
 
-def with_last_turn(turns: DataFrame, conversation: str, longest: int | None) -> DataFrame:
-    timed = with_timestep(turns.withColumn("timestep", F.col("turn_idx")), F.col("timestep"), longest)
-    near = with_neighbours(timed, {"__next": ("turn_idx", 1)}, [conversation])
-    return near.withColumn("is_last", F.col("__next").isNull()).drop("__next", "timestep")
+def chat_prompts(turns: DataFrame, templates: Sequence[str], conversation: str = "conv_id", most_turns: int = 1 << 17) -> DataFrame:
+    """(conversation, one prompt column per template): one row per conversation.
 
-
-def chat_prompts(
-    turns: DataFrame, templates: Sequence[str], conversation: str = "conv_id", longest: int | None = None, part_turns: int = 1024
-) -> DataFrame:
-    """(conversation, part, one prompt column per template).
-
-    A conversation of at most `part_turns` turns is one row; the text of a longer one is its parts put together.
-    `turns` may carry a boolean `verbatim`: such messages are wrapped as they are.
+    A prompt is one value, so a conversation of more than `most_turns` turns is an error. `turns` may carry a boolean
+    `verbatim`: such messages are wrapped as they are.
     """
-    marked = with_last_turn(turns, conversation, longest)
-    t, last = F.col("turn_idx"), F.col("is_last")
+    t = F.col("turn_idx")
     as_is = F.col("verbatim") if "verbatim" in turns.columns else F.lit(False)
     pieces = []
     for name in templates:
@@ -96,11 +85,13 @@ def chat_prompts(
         # without history the phi opener gets no BOS on a message that is only being tried out
         first = (t == 0) & ~as_is if name == "phi" else t == 0
         raw = F.when(as_is, wrap_human(F.col("text"), template, first)).otherwise(wrap_turn(F.col("text"), t, template))
-        pieces.append(finished(raw, template, t, last).alias(name))
-    rows = marked.select(conversation, F.floor(t / part_turns).cast("long").alias("part"), "turn_idx", *pieces)
+        pieces.append(raw.alias(name))
+    rows = turns.select(conversation, "turn_idx", *pieces)
     nested = F.sort_array(F.collect_list(F.struct("turn_idx", *templates))).alias("__p")
-    return rows.groupBy(conversation, "part").agg(nested).select(
-        conversation, "part", *[F.array_join(F.col(f"__p.{n}"), "").alias(n) for n in templates]
+    chats = rows.groupBy(conversation).agg(nested)
+    bounded = F.when(F.size("__p") <= most_turns, F.col("__p")).otherwise(F.raise_error(F.lit(f"a conversation has more than {most_turns} turns")))
+    return chats.withColumn("__p", bounded).select(
+        conversation, *[finished(F.array_join(F.col(f"__p.{n}"), ""), TEMPLATES[n]).alias(n) for n in templates]
     )
 
 

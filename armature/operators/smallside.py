@@ -7,8 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One row per dataset (statistics, weights, sizes). 10 000 rows of such vectors are a few MB.
+#: One row per dataset (statistics, weights, sizes): what is broadcast is at most so many rows and bytes.
 MAX_SMALL_ROWS = 10_000
+MAX_SMALL_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,10 +35,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def pin_small(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
     """Compute a per-dataset table once.
 
-    Up to `max_rows` rows come back as a local relation marked for broadcast. A larger one is checkpointed and joined
-    by shuffle, where adaptive execution splits skewed keys.
+    It is written to the checkpoint folder and measured there. If it has at most `max_rows` rows and MAX_SMALL_BYTES bytes, as
+    JSON, it is marked for broadcast; a larger one is joined by shuffle, where adaptive execution splits skewed keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return cut_lineage(df)
+    kept = cut_lineage(df)
+    size = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, wide = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(kept) if rows <= max_rows and wide <= MAX_SMALL_BYTES else kept

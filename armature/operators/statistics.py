@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.functions import vectors as V
-from armature.operators.episodes import largest_group
 from armature.operators.smallside import pin_small
 
 PROBABILITIES = (0.01, 0.99)
 #: Rank error of the bracketing sketch is at most rows / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 100_000
-#: Datasets up to this size get their quantiles in the same pass as the moments; the enclosing only pays off beyond.
-ONE_PASS_ROWS = 4 * SKETCH_ACCURACY
+#: The same for quantiles that stay approximate.
+APPROXIMATE_ACCURACY = 10_000
 
 
 def bracket_aggregates(value: str, probabilities: Sequence[float], accuracy: int) -> list[Column]:
@@ -99,13 +98,10 @@ def with_proprio(steps: DataFrame) -> DataFrame:
 
 
 def dimension_statistics(
-    steps: DataFrame, approximate: bool = False, largest: int | None = None, one_pass_rows: int = ONE_PASS_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
+    steps: DataFrame, approximate: bool = False, quantiles: bool = True, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
-    """Long form: dataset_name, key, dim, mean, std, min, max, q01, q99.
-
-    `largest` is the number of steps of the largest dataset if it is known; otherwise one column is scanned for it.
-    """
+    """Long form: dataset_name, key, dim, mean, std, min, max, q01, q99. Without `quantiles` the last two are null, and one
+    pass does; exact ones take a second pass over the values that the sketch of the first encloses."""
     values = long_values(with_proprio(steps))
     group = ["dataset_name", "key", "dim"]
     moments = [
@@ -115,15 +111,11 @@ def dimension_statistics(
         F.max("value").alias("max"),
     ]
     if approximate:
-        sketch = F.percentile_approx("value", list(PROBABILITIES), 10_000)
+        sketch = F.percentile_approx("value", list(PROBABILITIES), APPROXIMATE_ACCURACY)
         return values.groupBy(*group).agg(*moments, sketch[0].alias("q01"), sketch[1].alias("q99"))
-    if largest is None:
-        largest = largest_group(steps, ["dataset_name"])
-    if largest <= one_pass_rows:
-        both = F.percentile("value", F.array(*[F.lit(p) for p in PROBABILITIES]))
-        return values.groupBy(*group).agg(*moments, both.alias("__q")).select(
-            *group, "mean", "std", "min", "max", F.col("__q")[0].alias("q01"), F.col("__q")[1].alias("q99")
-        )
+    if not quantiles:
+        none = F.lit(None).cast("double")
+        return values.groupBy(*group).agg(*moments).select(*group, "mean", "std", "min", "max", none.alias("q01"), none.alias("q99"))
     # pass 1: moments and sketch together, one row per (dataset, key, dim); pass 2: the ranks the sketch enclosed
     first = pin_small(values.groupBy(*group).agg(*moments, *bracket_aggregates("value", PROBABILITIES, accuracy)))
     quantiles = exact_quantiles(values, group, "value", accuracy=accuracy, first_pass=first)
@@ -134,6 +126,19 @@ def dimension_statistics(
     return first.select(*group, "mean", "std", "min", "max").join(wide, group)
 
 
+def quantile_ranks(values: DataFrame, stats: DataFrame, accuracy: int = APPROXIMATE_ACCURACY) -> DataFrame:
+    """`stats` with `q01_in_bounds` and `q99_in_bounds`: whether the rank of the quantile, a range where values repeat, comes
+    within rows / accuracy of the wanted one. One pass over `values` with a counted small side."""
+    group = ["dataset_name", "key", "dim"]
+    small = pin_small(stats)
+    below = [F.count_if(F.col("value") < F.col(q)).alias(f"__below_{q}") for q in ("q01", "q99")]
+    upto = [F.count_if(F.col("value") <= F.col(q)).alias(f"__upto_{q}") for q in ("q01", "q99")]
+    counted = values.join(small.select(*group, "q01", "q99"), group).groupBy(*group).agg(F.count("value").alias("__n"), *below, *upto)
+    n, slack = F.col("__n"), F.col("__n") / accuracy + 1
+    fits = [((F.col(f"__below_{q}") <= n * w + slack) & (F.col(f"__upto_{q}") >= n * w - slack)).alias(f"{q}_in_bounds") for q, w in zip(("q01", "q99"), PROBABILITIES)]
+    return counted.select(*group, *fits).join(small, group)
+
+
 def dataset_sizes(steps: DataFrame) -> DataFrame:
     """Transitions and episodes per dataset, validation and unlabeled episodes included."""
     return steps.groupBy("dataset_name").agg(
@@ -151,9 +156,9 @@ def vectors_of(long_stats: DataFrame) -> DataFrame:
     return nested.select("dataset_name", "key", *[F.col(f"__s.{s}").alias(s) for s in STATISTICS])
 
 
-def dataset_statistics(steps: DataFrame, approximate: bool = False) -> DataFrame:
+def dataset_statistics(steps: DataFrame, approximate: bool = False, quantiles: bool = True) -> DataFrame:
     """One row per dataset: struct columns `action` and `proprio` of arrays, plus the two sizes."""
-    arrays = vectors_of(dimension_statistics(steps, approximate))
+    arrays = vectors_of(dimension_statistics(steps, approximate, quantiles))
     one = F.struct(*STATISTICS)
     wide = arrays.groupBy("dataset_name").agg(
         F.max(F.when(F.col("key") == "action", one)).alias("action"),

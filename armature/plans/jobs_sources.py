@@ -53,16 +53,16 @@ def chat_source(spark, d):
     said = W.turns(spark, d).select("conv_id", "image", "turn_idx", F.col("role").alias("from"), F.col("text").alias("value"))
     parts = E.in_parts(said, ["from", "value"], ["conv_id", "image"], "turn_idx")
     parts.select(
-        F.concat_ws("#", "conv_id", "part").alias("id"),
+        F.col("conv_id").cast("string").alias("id"),
+        "part",
         "image",
         F.transform("steps", lambda s: F.struct(s["from"].alias("from"), s["value"].alias("value"))).alias("conversations"),
     ).write.json(path)
     read = tables.chat_examples(spark, path, json_array=False)
-    part = F.split_part("id", F.lit("#"), F.lit(2)).cast("int")
-    return read.select("id", "image", F.posexplode("conversations").alias("pos", "turn")).select(
-        F.split_part("id", F.lit("#"), F.lit(1)).alias("id"),
+    return read.select("id", "part", "image", F.posexplode("conversations").alias("pos", "turn")).select(
+        "id",
         "image",
-        (part * 1024 + F.col("pos")).cast("int").alias("turn_idx"),
+        (F.coalesce("part", F.lit(0)) * 1024 + F.col("pos")).cast("int").alias("turn_idx"),
         "turn.from",
         "turn.value",
     )

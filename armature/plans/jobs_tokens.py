@@ -123,9 +123,9 @@ def joined_sql(name: str) -> str:
     return strip_right_sql(f"string_agg({name}, '' ORDER BY turn_idx)") + f" AS {name}"
 
 
-@job("build_chat_prompt", W.sql("v_turns", f"SELECT conv_id, CAST(0 AS BIGINT) AS part, {', '.join(joined_sql(n) for n in NAMES)} FROM p GROUP BY conv_id", p=PIECES))
+@job("build_chat_prompt", W.sql("v_turns", f"SELECT conv_id, {', '.join(joined_sql(n) for n in NAMES)} FROM p GROUP BY conv_id", p=PIECES))
 def build_chat_prompt(spark, d):
-    return P.chat_prompts(W.turns(spark, d), NAMES, longest=W.longest_chat(spark, d))
+    return P.chat_prompts(W.turns(spark, d), NAMES)
 
 
 @job(
@@ -146,7 +146,7 @@ def validate_turn_roles(spark, d):
     W.sql(
         "v_turns",
         "SELECT conv_id, "
-        + ", ".join(strip_right_sql(f"string_agg({n}, '' ORDER BY turn_idx) || {sql_text(P.TEMPLATES[n].open)} || ' And now ' || CAST(conv_id AS VARCHAR) || '? ' || {sql_text(P.TEMPLATES[n].close)}") + f" AS {n}" for n in ("pure", "vicuna", "phi"))
+        + ", ".join(strip_right_sql(f"string_agg({n}, '' ORDER BY turn_idx) || {sql_text(P.TEMPLATES[n].open)} || ' And now ' || CAST(conv_id AS VARCHAR) || '? ' || {sql_text(P.TEMPLATES[n].close)}") + f" AS {n}" for n in NAMES)
         + " FROM p GROUP BY conv_id",
         p=PIECES,
     ),
@@ -157,8 +157,7 @@ def potential_prompt(spark, d):
     asked = turns.groupBy("conv_id").agg((F.max("turn_idx") + 1).cast("int").alias("turn_idx")).select(
         "conv_id", "turn_idx", F.concat(F.lit(" And now "), F.col("conv_id").cast("string"), F.lit("? ")).alias("text"), F.lit(True).alias("verbatim")
     )
-    longest = W.longest_chat(spark, d) + 1
-    return P.chat_prompts(turns.unionByName(asked), ["pure", "vicuna", "phi"], longest=longest).drop("part")
+    return P.chat_prompts(turns.unionByName(asked), NAMES)
 
 
 CHAT_LENGTH = 512

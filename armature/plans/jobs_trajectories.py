@@ -32,13 +32,16 @@ def dataset_statistics(spark, d):
     return exploded(T.dataset_statistics(with_state(spark, d)))
 
 
-# the sketch is exact while a dataset has fewer steps than its accuracy, and answers with values that occur
-DISCRETE_SQL = STATS_SQL.replace("quantile_cont", "quantile_disc")
-
-
-@job("approx_statistics", W.sql("v_steps", f"SELECT dataset_name, key, dim, {STAT_COLUMNS} FROM st", long=LONG_STEPS, st=DISCRETE_SQL))
+@job(
+    "approx_statistics",
+    W.sql("v_steps", f"SELECT dataset_name, key, dim, {', '.join(sql_r6(s, s) for s in ('mean', 'std', 'min', 'max'))}, TRUE AS q01_in_bounds, TRUE AS q99_in_bounds FROM st", long=LONG_STEPS, st=STATS_SQL),
+)
 def approx_statistics(spark, d):
-    return exploded(T.dataset_statistics(with_state(spark, d), approximate=True))
+    """The sketch promises ranks: each quantile is a value whose rank is within rows / accuracy of the wanted one."""
+    steps = with_state(spark, d)
+    found = T.dimension_statistics(steps, approximate=True)
+    ranks = T.quantile_ranks(T.long_values(steps), found)
+    return ranks.select("dataset_name", "key", "dim", *[r6(c).alias(c) for c in ("mean", "std", "min", "max")], "q01_in_bounds", "q99_in_bounds")
 
 
 WIDE_STATS = (
@@ -69,7 +72,7 @@ def _normalize_sql(how: str) -> str:
 
 def _normalized(spark, d, how):
     steps = with_state(spark, d)
-    stats = pin_small(T.dataset_statistics(steps))
+    stats = pin_small(T.dataset_statistics(steps, quantiles=how == "bounds_q99"))
     out = T.normalize(steps, stats, how, 7, 8, GRIPPER_MASK)
     return out.select("event_id", *wide("action", "a", 7), *wide("proprio", "p", 8))
 
@@ -177,7 +180,7 @@ def all_within(columns: list[str], limit: float) -> str:
 
 def gaussian_steps(spark, d):
     steps = W.steps(spark, d).withColumnRenamed("state", "proprio")
-    stats = pin_small(T.dataset_statistics(with_state(spark, d)))
+    stats = pin_small(T.dataset_statistics(with_state(spark, d), quantiles=False))
     return T.normalize(steps, stats, "normal", 7, 8, GRIPPER_MASK)
 
 
@@ -271,7 +274,6 @@ def short_standard(spark, d):
     return E.with_timestep(
         rows.withColumn("episode_id", F.concat_ws("/", "episode_id", F.col("day").cast("string"))),
         F.col("timestep"),
-        E.longest_episode(rows),
     ).select(
         *KEYS,
         "event_id",

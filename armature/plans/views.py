@@ -5,10 +5,10 @@ Every view exists twice: as a DataFrame (used by the jobs) and as SQL text (used
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.operators.episodes import SEGMENT_ROWS, add_timestep, largest_group
+from armature.operators.episodes import add_timestep
 from armature.operators.ordering import counter_block, even_block, time_block, with_position
 from armature.sources.tables import table
 
@@ -58,29 +58,15 @@ def step_rows(spark: SparkSession, d: str) -> DataFrame:
     return step_values(table(spark, d, "events"))
 
 
-_sizes: dict[tuple, int] = {}
-
-
-def _largest(df: DataFrame, d: str, name: str, keys: list[str]) -> int:
-    """Size of the largest group, measured once per table and session."""
-    at = (df.sparkSession.sparkContext.applicationId, d, name)
-    if at not in _sizes:
-        _sizes[at] = largest_group(df, keys)
-    return _sizes[at]
-
-
 def steps(spark: SparkSession, d: str) -> DataFrame:
     """One episode per user, in time order."""
-    keys = ["dataset_name", "episode_id"]
-    rows = step_rows(spark, d)
-    return add_timestep(rows, keys, ["ts", "event_id"], longest=_largest(rows, d, "steps", keys))
+    return add_timestep(step_rows(spark, d), ["dataset_name", "episode_id"], ["ts", "event_id"])
 
 
 def short_steps(spark: SparkSession, d: str) -> DataFrame:
     """Episodes of one user and day: lengths 1 to 10."""
     daily = step_rows(spark, d).withColumn("day", F.to_date("ts"))
-    keys = ["dataset_name", "episode_id", "day"]
-    return add_timestep(daily, keys, ["ts", "event_id"], longest=_largest(daily, d, "short", keys))
+    return add_timestep(daily, ["dataset_name", "episode_id", "day"], ["ts", "event_id"])
 
 
 def noop_steps(spark: SparkSession, d: str) -> DataFrame:
@@ -98,26 +84,18 @@ def mixture(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "pos int, dataset_name string, weight double")
 
 
-def _said(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "conversations").filter(F.col("role") != "system")
-
-
-def longest_chat(spark: SparkSession, d: str) -> int:
-    return _largest(_said(spark, d), d, "turns", ["conv_id"])
-
-
 def turns(spark: SparkSession, d: str) -> DataFrame:
-    """Chat turns without the optional system turn."""
-    said = _said(spark, d)
-    if longest_chat(spark, d) <= SEGMENT_ROWS:
-        rows = said.withColumn("turn_idx", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1)
-    else:
-        rows = with_position(said, ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
-    return rows.select(
+    """Chat turns: what a system turn says opens the first turn that follows."""
+    said = table(spark, d, "conversations")
+    rows = with_position(said.filter(F.col("role") != "system"), ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
+    told = said.filter(F.col("role") == "system").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("told"))
+    opening = F.concat(F.array_join("told.text", "\n"), F.lit("\n"))
+    first = F.when(F.col("turn_idx") == 0, F.concat(F.coalesce(opening, F.lit("")), F.col("text"))).otherwise(F.col("text"))
+    return rows.join(told, "conv_id", "left").select(
         "conv_id",
         F.col("turn_idx").cast("int").alias("turn_idx"),
         F.when(F.col("role") == "user", "human").otherwise("gpt").alias("role"),
-        "text",
+        first.alias("text"),
         F.when(F.col("conv_id") % 3 == 0, None).otherwise(F.concat(F.col("conv_id").cast("string"), F.lit(".jpg"))).alias("image"),
     )
 
@@ -190,9 +168,7 @@ def metric_rows(spark: SparkSession, d: str) -> DataFrame:
 def metrics(spark: SparkSession, d: str) -> DataFrame:
     """One log per run, `timestep` = batch index."""
     rows = metric_rows(spark, d)
-    longest = _largest(rows, d, "metrics", ["run_id"])
-    block = time_block(F.col("ts"), 60)
-    return add_timestep(rows, ["run_id"], ["ts", "event_id"], block, longest).drop("event_id")
+    return add_timestep(rows, ["run_id"], ["ts", "event_id"], time_block(F.col("ts"), 60)).drop("event_id")
 
 
 SQL = {
@@ -223,10 +199,11 @@ FROM v_steps""",
     "v_mixture": """
 SELECT * FROM (VALUES (0, 'ds_a', 1e0), (1, 'ds_b', 5e-1), (2, 'ds_c', 2e0), (3, 'ds_a', 9e0)) t(pos, dataset_name, weight)""",
     "v_turns": """
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS turn_idx,
-       CASE role WHEN 'user' THEN 'human' ELSE 'gpt' END AS role, text,
+SELECT conv_id, turn_idx, role, CASE WHEN turn_idx = 0 THEN coalesce(told || chr(10), '') || text ELSE text END AS text,
        CASE WHEN conv_id % 3 = 0 THEN NULL ELSE concat(CAST(conv_id AS STRING), '.jpg') END AS image
-FROM conversations WHERE role <> 'system'""",
+FROM (SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS turn_idx,
+             CASE role WHEN 'user' THEN 'human' ELSE 'gpt' END AS role, text FROM conversations WHERE role <> 'system')
+LEFT JOIN (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS told FROM conversations WHERE role = 'system' GROUP BY 1) USING (conv_id)""",
     "v_examples": """
 SELECT d.doc_id AS example_id, d.lang AS source, l.doc_id IS NOT NULL AS is_multimodal,
        CAST(1 + floor(d.n_chars / 6e0) AS BIGINT) AS n_words

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 CHAT_EXAMPLE = T.StructType(
     [
         T.StructField("id", T.StringType()),
+        T.StructField("part", T.LongType()),  # null in files of other writers: the whole conversation
         T.StructField("image", T.StringType()),
         T.StructField(
             "conversations",
@@ -17,22 +18,9 @@ CHAT_EXAMPLE = T.StructType(
 )
 
 
-_scan_tasks: dict[tuple[str, str], int] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One supplied table.
-
-    A file with a single row group is scanned by a single task, whatever follows it. Where a scan has fewer tasks than
-    there are cores its rows are spread first; a table of many files is left as it is.
-    """
-    path = f"{folder}/{name}.parquet"
-    df, context = spark.read.parquet(path), spark.sparkContext
-    at = (context.applicationId, path)
-    if at not in _scan_tasks:
-        _scan_tasks[at] = df.rdd.getNumPartitions()
-    cores = context.defaultParallelism
-    return df if _scan_tasks[at] >= cores else df.repartition(cores)
+    """One supplied table. How finely it is scanned is up to its row groups and `spark.sql.files.maxPartitionBytes`."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def episodes(spark: SparkSession, path: str, dataset: str | None = None, schema: T.StructType | None = None) -> DataFrame:

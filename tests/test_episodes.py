@@ -1,4 +1,4 @@
-"""Sequence operators against plain loops, on the single-window path and on the segmented one."""
+"""Sequence operators against plain loops, with usual and with tiny segments."""
 
 import random
 
@@ -26,11 +26,11 @@ def episodes(seed=1, n=25, longest=23):
     return out
 
 
-def table(spark, data, note=True):
+def table(spark, data):
     rows = [("ds", e, t, *v) for e, steps in data.items() for t, v in enumerate(steps)]
     random.Random(0).shuffle(rows)
     df = spark.createDataFrame(rows, "dataset_name string, episode_id long, timestep int, g double, r double, m double, s double")
-    return E.with_timestep(df, F.col("timestep"), max(map(len, data.values())) if note else None)
+    return E.with_timestep(df, F.col("timestep"))
 
 
 def by_episode(df, *columns):
@@ -105,10 +105,9 @@ def test_neighbours_facts_and_rolling_means(spark, rows):
     assert got == {e: [(a, b, n, pytest.approx(m)) for a, b, n, m in v] for e, v in want.items()}
 
 
-@pytest.mark.parametrize("note", [True, False])
-def test_reached_state_drops_the_last_step(spark, note):
+def test_reached_state_drops_the_last_step(spark):
     data = {0: [(0.0,) * 4], 1: [(0.0,) * 4] * 2, 2: [(float(i),) * 4 for i in range(9)]}
-    df = table(spark, data, note).select(
+    df = table(spark, data).select(
         "dataset_name", "episode_id", "timestep", F.array(*[F.col("g") * (i + 1) for i in range(6)]).alias("state"),
         F.array(*[F.lit(9.0)] * 6, F.col("s")).alias("action"),
     )
@@ -132,9 +131,8 @@ def test_chunks_match_index_arithmetic(spark, rows, with_goal):
     if with_goal:
         flat = [(e, t, g) for e, gs in goals.items() for t, g in enumerate(gs)]
         g = spark.createDataFrame(flat, "episode_id long, timestep int, goal int")
-        longest = E.longest_episode(df)
         df = df.join(g, ["episode_id", "timestep"]).withColumn("task", F.struct(F.col("goal").alias("timestep"))).drop("goal")
-        df = E.with_timestep(df, F.col("timestep"), longest)
+        df = E.with_timestep(df, F.col("timestep"))
     got = by_episode(J.chunk(df, window, future, 2, rows=rows), "observation", "pad_mask", "action")
     for e, steps in data.items():
         t_len = len(steps)
@@ -179,8 +177,7 @@ def test_sparse_ids_stay_in_few_blocks(spark):
 def test_long_episode_is_numbered_in_blocks(spark):
     data = [(1, i * 13 % 1000) for i in range(1000)] + [(2, 5)]
     df = spark.createDataFrame(data, "episode_id long, s long").withColumn("ts", F.timestamp_seconds("s"))
-    out = E.add_timestep(df, ["episode_id"], ["ts"], ordering.time_block(F.col("ts"), 60), rows=10)
-    assert E.longest_episode(out) == 1000
+    out = E.add_timestep(df, ["episode_id"], ["ts"], ordering.time_block(F.col("ts"), 60))
     assert all(r["timestep"] == r["s"] for r in out.filter("episode_id = 1").collect())
 
 

@@ -150,7 +150,7 @@ def raw_table(spark, raw):
     schema = "dataset_name string, episode_id long, timestep int, language_instruction string, " + ", ".join(f"{k} {struct(p)}" for k, p in parts.items())
     rows = [("d", 1, t, "given", *[row(p, t) for p in parts.values()]) for t in range(T_LEN)]
     df = spark.createDataFrame(rows, schema)
-    return E.with_timestep(df, F.col("timestep"), T_LEN)
+    return E.with_timestep(df, F.col("timestep"))
 
 
 @pytest.mark.parametrize("dataset", list(CASES))

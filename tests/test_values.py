@@ -33,8 +33,8 @@ def test_two_pass_statistics_equal_numpy(spark):
     n = {"a": 6000, "b": 11, "c": 1}  # one dataset holds nearly all rows
     rows = [(d, 0, rng.normal(size=3).round(3 if d == "a" else 9).tolist(), [float(i % 2)]) for d, k in n.items() for i in range(k)]
     df = spark.createDataFrame(rows, "dataset_name string, episode_id int, action array<double>, proprio array<double>")
-    for one_pass, accuracy in ((10**6, 1000), (0, 1000), (0, 100)):
-        got = T.dimension_statistics(df, one_pass_rows=one_pass, accuracy=accuracy).collect()
+    for accuracy in (1000, 100):
+        got = T.dimension_statistics(df, accuracy=accuracy).collect()
         assert len(got) == 3 * 4
         for r in got:
             x = np.array([row[2 if r["key"] == "action" else 3][r["dim"]] for row in rows if row[0] == r["dataset_name"]])
@@ -42,6 +42,19 @@ def test_two_pass_statistics_equal_numpy(spark):
             assert [r[s] for s in T.STATISTICS] == pytest.approx(want, abs=1e-9)
 
 
+def test_quantiles_on_request_and_their_ranks(spark):
+    rng = np.random.default_rng(1)
+    rows = [("a", 0, [float(x), 1.0]) for x in rng.normal(size=4000).round(2)]
+    df = spark.createDataFrame(rows, "dataset_name string, episode_id int, action array<double>")
+    plain = T.dimension_statistics(df, quantiles=False).collect()
+    assert all(r["q01"] is None and r["q99"] is None and r["mean"] is not None for r in plain)
+    values = T.long_values(df, ("action",))
+    found = T.dimension_statistics(df, approximate=True).filter("key = 'action'")
+    assert all(r["q01_in_bounds"] and r["q99_in_bounds"] for r in T.quantile_ranks(values, found).collect())
+    wrong = found.withColumn("q01", F.col("q01") + 0.2)
+    assert {r["dim"]: r["q01_in_bounds"] for r in T.quantile_ranks(values, wrong).collect()}[0] is False
+
+
 def test_quantiles_with_one_heavy_value(spark):
     x = [5.0] * 9000 + list(np.linspace(0, 10, 1000))
     df = spark.createDataFrame([("g", float(v)) for v in x], "g string, v double")
@@ -202,12 +215,18 @@ def said(name, messages):
 
 
 def test_chat_prompts(spark):
-    for longest, part in ((4, 1024), (None, 1024), (4, 2)):
-        got = P.chat_prompts(turns(spark), list(EXPECTED), longest=longest, part_turns=part).orderBy("conv_id", "part").collect()
-        for name in EXPECTED:
-            for c, messages in CHATS.items():
-                whole = "".join(r[name] for r in got if r["conv_id"] == c)
-                assert whole == "".join(said(name, messages)).rstrip()
+    got = {r["conv_id"]: r for r in P.chat_prompts(turns(spark), list(EXPECTED)).collect()}
+    for name in EXPECTED:
+        for c, messages in CHATS.items():
+            assert got[c][name] == "".join(said(name, messages)).rstrip()
+
+
+def test_long_chats_are_one_row_and_their_bound_an_error(spark):
+    long = spark.range(1030).selectExpr("7L AS conv_id", "CAST(id AS INT) AS turn_idx", "concat('m', id) AS text")
+    (row,) = P.chat_prompts(long, ["pure"]).collect()
+    assert row["pure"] == "".join(said("pure", [f"m{i}" for i in range(1030)])).rstrip()
+    with pytest.raises(Exception, match="more than 1000 turns"):
+        P.chat_prompts(long, ["pure"], most_turns=1000).collect()
 
 
 def test_chat_tokens_and_labels(spark):
