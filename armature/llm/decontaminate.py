@@ -91,9 +91,8 @@ def benchmark_windows(items: DataFrame, rule: Rule, id_column: str = "item_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = textkit.texts_of(batch.column(1))
-            for low, high in textkit.slices(texts):
-                words = words_of(texts.slice(low, high - low))
+            for low, _, texts in textkit.parts(batch.column(1)):
+                words = words_of(texts)
                 for row, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
                     span = min(rule.span, int(b - a))
                     if span < rule.least:
@@ -131,9 +130,8 @@ def candidate_windows(docs: DataFrame, bitmap: np.ndarray, spans: list[int], kee
         table = shared.value
         low_mask = np.uint64(64 * len(table) - 1)
         for batch in batches:
-            texts = textkit.texts_of(batch.column(len(keep)))
-            for low, high in textkit.slices(texts):
-                words = words_of(texts.slice(low, high - low))
+            for low, _, texts in textkit.parts(batch.column(len(keep))):
+                words = words_of(texts)
                 owner = words.text_index()
                 for span in spans:
                     if len(words) < span:

@@ -67,6 +67,14 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         low = high
 
 
+def parts(column: pa.Array, rows: int = 512) -> Iterator[tuple[int, int, pa.Array]]:
+    """Ranges of rows with their texts: a few rows of a batch are taken at a time, so that copies stay small."""
+    for at in range(0, len(column), rows):
+        texts = texts_of(column.slice(at, rows))
+        for low, high in slices(texts):
+            yield at + low, at + high, texts.slice(low, high - low)
+
+
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, and where each text starts (one more entry than texts)."""
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -151,9 +159,8 @@ def with_text_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(place))
-            for low, high in slices(texts):
-                found = compute(texts.slice(low, high - low))
+            for low, high, texts in parts(batch.column(place)):
+                found = compute(texts)
                 arrays = [batch.column(i).slice(low, high - low) for i in range(place)]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x) for x in found]
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])

@@ -180,9 +180,9 @@ def token_counts(sample: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, label = textkit.texts_of(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for low, high in textkit.slices(texts):
-                words, _ = tokens(texts.slice(low, high - low))
+            label = batch.column(0).to_numpy(zero_copy_only=False)
+            for low, high, texts in textkit.parts(batch.column(1)):
+                words, _ = tokens(texts)
                 owner = words.text_index()
                 order = np.lexsort((words.hash, owner))
                 token, owner = words.hash[order], owner[order]
@@ -217,9 +217,8 @@ def _sample_evidence(sample: DataFrame, hashes: np.ndarray, weights: np.ndarray,
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = textkit.texts_of(batch.column(1))
-            for low, high in textkit.slices(texts):
-                size, found, _ = passages(texts.slice(low, high - low), *shared.value, drift)
+            for low, high, texts in textkit.parts(batch.column(1)):
+                size, found, _ = passages(texts, *shared.value, drift)
                 scores = pa.array([[s[2] for s in f] for f in found], pa.list_(pa.float64()))
                 yield _arrow_rows(["label", "tokens", "scores"], batch.column(0).slice(low, high - low), size.astype(np.int64), scores)
 
