@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from armature.operators.ordering import even_block, with_position, with_random_position
+from armature.operators.ordering import with_position, with_random_position
 from armature.operators.smallside import cut_lineage, pin_small
 
 #: Image patches an image adds to an example when batches are compared by length.
 PATCHES = 576
 
 
-def in_batches(df: DataFrame, order: str, size: int, block: Column | None = None) -> DataFrame:
-    """Consecutive groups of `size` rows of an integer order; the last one may be short. Adds batch_no, slot.
-
-    `block` (see `even_block`) spares the scan for the range of `order`.
-    """
-    placed = with_position(df, [], [order], even_block(df, order) if block is None else block, "__at")
+def in_batches(df: DataFrame, order: str, size: int) -> DataFrame:
+    """Consecutive groups of `size` rows of an order; the last one may be short. Adds batch_no, slot."""
+    placed = with_position(df, [], [order], name="__at")
     return placed.withColumns(
         {"batch_no": F.floor(F.col("__at") / size).cast("long"), "slot": (F.col("__at") % size).cast("int")}
     ).drop("__at")

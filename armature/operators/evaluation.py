@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from armature.functions import actions as A
 from armature.operators.episodes import with_neighbours, with_rolling_means
-from armature.operators.ordering import even_block, with_running_totals
+from armature.operators.ordering import with_running_totals
 
 
 def token_pairs(rows: DataFrame, keys: Sequence[str], predicted: str, labels: str, vocab: int = A.VOCAB_SIZE) -> DataFrame:
@@ -94,7 +94,7 @@ def success_rates(rollouts: DataFrame) -> DataFrame:
 def running_success(rollouts: DataFrame, order: str = "run_order") -> DataFrame:
     """Counters after every finished rollout, in run order."""
     counted = with_running_totals(
-        rollouts, [], [order], even_block(rollouts, order),
+        rollouts, [], [order], None,
         {"episodes_so_far": F.lit(1), "successes_so_far": F.col("success").cast("int")},
     )
     return counted.withColumn("success_percent", F.col("successes_so_far") / F.col("episodes_so_far") * 100)

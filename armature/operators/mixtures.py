@@ -8,25 +8,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.functions.chance import uniform
-from armature.operators.ordering import COUNTER_BLOCK, even_block, with_position, with_random_position
+from armature.operators.ordering import COUNTER_BLOCK, RANDOM_BLOCKS, with_position, with_random_position
 from armature.operators.smallside import cut_lineage, pin_small
 from armature.operators.statistics import dataset_sizes
 
 
-def split_by_episode(steps: DataFrame, train_percent: int = 95, keys: Sequence[str] = ("dataset_name", "episode_id")) -> DataFrame:
-    """Train / val by whole episodes in stored (id) order: the first `train_percent` % of a dataset train."""
+def split_by_episode(
+    steps: DataFrame, train_percent: int = 95, keys: Sequence[str] = ("dataset_name", "episode_id"), stored: str | None = None
+) -> DataFrame:
+    """Train / val by whole episodes in stored (id) order: the first `train_percent` % of a dataset train.
+
+    `stored` names a column with the split an episode came with. A dataset that has a "val" split keeps its splits as they
+    are; the others are cut.
+    """
     dataset, episode = keys
+    if stored is not None:
+        has_val = pin_small(steps.groupBy(dataset).agg(F.max(F.coalesce(F.col(stored) == "val", F.lit(False))).alias("__has_val")))
+        marked = steps.join(has_val, dataset)
+        own = marked.filter("__has_val").withColumn("split", F.coalesce(stored, F.lit("train"))).drop("__has_val")
+        cut = split_by_episode(marked.filter("NOT __has_val").drop("__has_val"), train_percent, keys)
+        return own.unionByName(cut)
     found = steps.select(*keys).distinct()
-    numbered = with_position(found, [dataset], [episode], even_block(steps, episode), "__idx")
+    numbered = with_position(found, [dataset], [episode], name="__idx")
     counts = pin_small(found.groupBy(dataset).agg(F.count(F.lit(1)).alias("__n")))
     cut = F.floor(F.col("__n") * train_percent / F.lit(100.0) + 0.5)
     sides = numbered.join(counts, dataset).select(*keys, F.when(F.col("__idx") < cut, "train").otherwise("val").alias("split"))
     return steps.join(sides, list(keys))
 
 
-def select_mixture(mixture: DataFrame, available: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, skipped) entries. The first entry of a dataset wins; unavailable datasets go with their weight."""
-    first = Window.partitionBy("dataset_name").orderBy("pos")
+def select_mixture(mixture: DataFrame, available: DataFrame, group: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(kept, skipped) entries. The first entry of a dataset wins; unavailable datasets go with their weight.
+
+    `group` names the columns that tell several mixtures apart.
+    """
+    first = Window.partitionBy(*group, "dataset_name").orderBy("pos")
     unique = mixture.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
     kept = unique.join(available, "dataset_name", "left_semi")
     return kept, unique.join(available, "dataset_name", "left_anti")
@@ -72,17 +87,25 @@ def pick_datasets(positions: DataFrame, weights: DataFrame, seed: int, sizes: di
     """Give every position a dataset: the interval of the cumulative weights that its uniform number falls into.
 
     A handful of literal bounds in one CASE: no join. `sizes` replaces the datasets' transition counts where frames were
-    filtered out.
+    filtered out; a dataset without any is not drawn, and the others share its draws by weight.
     """
     bounds = _cumulative(weights)
     if sizes is not None:
-        bounds = [(name, upper, sizes.get(name, 0)) for name, upper, _ in bounds]
+        left, kept, total, below = [], 0.0, bounds[-1][1], 0.0
+        for name, upper, _ in bounds:
+            share, below = upper - below, upper
+            if sizes.get(name, 0):
+                kept += share
+                left.append((name, kept, sizes[name]))
+        if not left:
+            raise ValueError("no dataset of the mixture has frames")
+        bounds = left if len(left) == len(bounds) else [(name, upper / kept * total, n) for name, upper, n in left]
     u = F.col("__u")
     name, size = F.lit(bounds[-1][0]), F.lit(bounds[-1][2])
     for dataset, upper, n in reversed(bounds[:-1]):
         name, size = F.when(u < upper, dataset).otherwise(name), F.when(u < upper, n).otherwise(size)
     drawn = positions.withColumn("__u", uniform(seed, "p"))
-    return drawn.select("p", name.alias("dataset_name"), size.cast("long").alias("__size")).filter("__size > 0")
+    return drawn.select("p", name.alias("dataset_name"), size.cast("long").alias("__size"))
 
 
 def epoch_orders(frames: DataFrame, key: Sequence[str], epochs: DataFrame, seed: int) -> DataFrame:
@@ -108,7 +131,8 @@ def sample_frames(
     spark = frames.sparkSession
     positions = spark.range(n).withColumnRenamed("id", "p")
     picks = pick_datasets(positions, weights, seed, sizes)
-    numbered = with_position(picks, ["dataset_name"], ["p"], F.floor(F.col("p") / COUNTER_BLOCK).cast("long"), "k")
+    per_block = max(COUNTER_BLOCK, -(-n // RANDOM_BLOCKS))  # never more blocks than a random order has
+    numbered = with_position(picks, ["dataset_name"], ["p"], F.floor(F.col("p") / per_block).cast("long"), "k")
     located = numbered.withColumns(
         {"epoch": F.floor(F.col("k") / F.col("__size")).cast("long"), "idx": F.col("k") % F.col("__size")}
     ).drop("__size")
@@ -126,7 +150,7 @@ def fixed_buffer(frames: DataFrame, key: Sequence[str], size: int, seed: int) ->
 
 def buffered_order(frames: DataFrame, stored: str, buffer: int, seed: int, key: Sequence[str]) -> DataFrame:
     """Shuffle only inside consecutive runs of `buffer` rows of the stored order: adds `buffer_no`, `position`."""
-    numbered = with_position(frames, [], [stored], even_block(frames, stored), "__at")
+    numbered = with_position(frames, [], [stored], name="__at")
     runs = numbered.withColumns(
         {"buffer_no": F.floor(F.col("__at") / buffer).cast("long"), "__u": uniform(seed, *key)}
     )

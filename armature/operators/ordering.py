@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from armature.functions.chance import uniform
+from armature.operators.smallside import cut_lineage
 
 #: Blocks of a random order. Uniform numbers fill them evenly, so a block holds 1/65536 of its group.
 RANDOM_BLOCKS = 1 << 16
@@ -29,16 +30,15 @@ def counter_block(key: Column, rows: int = COUNTER_BLOCK) -> Column:
     return F.floor(key / rows).cast("long")
 
 
-def even_block(df: DataFrame, key: str, blocks: int = RANDOM_BLOCKS) -> Column:
-    """Blocks of equal width over the range of an integer key, measured by one scan of that column.
+def by_ranges(df: DataFrame, columns: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """`df` in blocks of about equal size along `columns`, whatever their distribution: adds `__block`.
 
-    However sparse the ids are, the table of block sizes stays at `blocks` rows per group.
+    Rows are dealt by ranges that Spark samples from the data, and written to the checkpoint folder, so that a block means the
+    same rows to everyone who reads it. Without a number there are at most as many blocks as shuffle partitions; adaptive
+    execution puts small neighbours together.
     """
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    width = max(1, -(-(high - low + 1) // blocks))
-    return F.floor((F.col(key) - low) / width).cast("long")
+    number = [] if blocks is None else [blocks]
+    return cut_lineage(df.repartitionByRange(*number, *columns).withColumn("__block", F.spark_partition_id().cast("long")))
 
 
 def time_block(ts: Column, seconds: int = 3600) -> Column:
@@ -53,14 +53,14 @@ def _before(sizes: DataFrame, group: Sequence[str], totals: dict[str, str]) -> D
 
 
 def with_position(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], block: Column, name: str = "position"
+    df: DataFrame, group: Sequence[str], order: Sequence[str], block: Column | None = None, name: str = "position"
 ) -> DataFrame:
     """Add the 0-based position of each row inside its group.
 
-    `block` must not decrease along `order`. An empty `group` numbers the whole table.
+    `block` must not decrease along `order`; without it, blocks are sampled ranges. An empty `group` numbers the whole table.
     """
     group = list(group)
-    blocked = df.withColumn("__block", block)
+    blocked = by_ranges(df, [*group, *order]) if block is None else df.withColumn("__block", block)
     sizes = blocked.groupBy(*group, "__block").agg(F.count(F.lit(1)).alias("__size"))
     offsets = _before(sizes, group, {"__size": "__offset"})
     inside = Window.partitionBy(*group, "__block").orderBy(*order)
@@ -86,11 +86,11 @@ def with_random_position(
 
 
 def with_running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], block: Column, totals: dict[str, Column]
+    df: DataFrame, group: Sequence[str], order: Sequence[str], block: Column | None, totals: dict[str, Column]
 ) -> DataFrame:
-    """Add inclusive running sums of row-level expressions along an order, block by block."""
+    """Add inclusive running sums of row-level expressions along an order, block by block; see `with_position`."""
     group = list(group)
-    blocked = df.withColumn("__block", block)
+    blocked = by_ranges(df, [*group, *order]) if block is None else df.withColumn("__block", block)
     sizes = blocked.groupBy(*group, "__block").agg(*[F.sum(c).alias(f"__sum_{n}") for n, c in totals.items()])
     offsets = _before(sizes, group, {f"__sum_{n}": f"__before_{n}" for n in totals})
     inside = Window.partitionBy(*group, "__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

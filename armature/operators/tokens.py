@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +19,25 @@ from armature.operators import prompts as P
 PAD, BOS, EOS, FIRST_BYTE = 0, 1, 2, 3
 
 
-def byte_ids(value: str) -> np.ndarray:
-    return np.frombuffer(value.encode("utf-8"), np.uint8).astype(np.int32) + FIRST_BYTE
+def byte_encoder() -> Callable[[Column], Column]:
+    """Column -> byte tokens: one pass over the bytes of an Arrow batch, no Python call per text."""
 
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
+        whole = texts.cast(pa.large_string())
+        ends = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+        data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        values = pa.array(data.astype(np.int32) + FIRST_BYTE)
+        starts = pa.array((ends - ends[0]).astype(np.int32), mask=np.append(whole.is_null().to_numpy(zero_copy_only=False), False))
+        return pa.ListArray.from_arrays(starts, values)
+
+    return ids
 
-def encoder(encode: Callable[[str], Sequence[int]] = byte_ids) -> Callable[[Column], Column]:
-    """Column -> token ids with a pluggable tokenizer, one Arrow batch at a time."""
+
+def encoder(encode: Callable[[str], Sequence[int]] | None = None) -> Callable[[Column], Column]:
+    """Column -> token ids with a pluggable tokenizer, one Arrow batch at a time. The default is a token per byte."""
+    if encode is None:
+        return byte_encoder()
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
@@ -83,18 +97,19 @@ def chat_examples(
     conversation: str = "conv_id",
     encode: Callable[[Column], Column] | None = None,
     trim: bool = True,
+    bos: int | None = BOS,
 ) -> DataFrame:
     """Turns -> (conversation, image, input_ids, labels); replies are the labels, the rest is ignored.
 
-    Every turn yields at least one token, so turn `max_length` can add nothing: later turns are cut before the shuffle,
-    and what is gathered per conversation is bounded by the model's context, not by the conversation.
+    `bos` and `trim` say what the tokenizer does: the token it puts in front of a text (None: none), and whether blanks at the
+    end of a turn go. Turns are cut where the running count of tokens reaches `max_length`, so what is gathered per
+    conversation is bounded by the model's context.
     """
     encode = encode or encoder()
     t = F.col("turn_idx")
-    useful = turns.filter(t < max_length)
     piece = P.wrap_turn(F.col("text"), t, P.TEMPLATES[template])
-    said = useful.select(conversation, "image", "turn_idx", encode(text.strip_right(piece) if trim else piece).alias("__ids"))
-    ids = F.when(t == 0, F.concat(F.array(F.lit(BOS)), F.col("__ids"))).otherwise(F.col("__ids"))
+    said = turns.select(conversation, "image", "turn_idx", encode(text.strip_right(piece) if trim else piece).alias("__ids"))
+    ids = F.col("__ids") if bos is None else F.when(t == 0, F.concat(F.array(F.lit(bos)), F.col("__ids"))).otherwise(F.col("__ids"))
     w = Window.partitionBy(conversation).orderBy("turn_idx").rowsBetween(Window.unboundedPreceding, -1)
     placed = said.withColumn("__ids", ids).withColumn("__at", F.coalesce(F.sum(F.size("__ids")).over(w), F.lit(0)))
     room = F.greatest(F.lit(0), max_length - F.col("__at")).cast("int")
@@ -111,16 +126,21 @@ def chat_examples(
 def caption_examples(turns: DataFrame, conversation: str = "conv_id", encode: Callable[[Column], Column] | None = None) -> DataFrame:
     """Two-turn examples -> caption tokens: the request is dropped, the BOS label is ignored.
 
-    Examples with more turns or an image tag in the reply are left out. Turn 2 already tells that there are too many, so
-    three rows per conversation are enough to decide.
+    What is no such example comes out with a `problem` and without tokens: another number of turns, an image tag in the reply,
+    or no image. Turn 2 already tells that there are too many, so three rows per conversation are enough to decide.
     """
     encode = encode or encoder()
     few = turns.filter(F.col("turn_idx") <= 2).groupBy(conversation, "image").agg(
         F.max("turn_idx").alias("__last"), F.max(F.when(F.col("turn_idx") == 1, F.col("text"))).alias("__reply")
     )
-    fit = few.filter((F.col("__last") == 1) & ~F.col("__reply").contains("<image>") & F.col("image").isNotNull())
-    caption = F.concat(text.strip(F.col("__reply")), F.lit("</s>"))
-    ids = fit.select(conversation, "image", F.concat(F.array(F.lit(BOS)), encode(caption)).alias("input_ids"))
+    problem = (
+        F.when(F.col("image").isNull(), "no image")
+        .when(F.col("__last") != 1, "not two turns")
+        .when(F.col("__reply").isNull() | F.col("__reply").contains("<image>"), "image tag in the reply")
+    )
+    judged = few.withColumn("problem", problem)
+    caption = F.when(F.col("problem").isNull(), F.concat(text.strip(F.col("__reply")), F.lit("</s>")))
+    ids = judged.select(conversation, "image", "problem", F.concat(F.array(F.lit(BOS)), encode(caption)).alias("input_ids"))
     labels = F.concat(F.array(F.lit(A.IGNORE_LABEL)), F.slice("input_ids", 2, 1 << 30))
     return ids.withColumn("labels", labels)
 

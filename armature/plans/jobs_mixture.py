@@ -168,7 +168,7 @@ def seeded_epochs(spark, d):
         st=WIDE_STATS,
         frames=f"""SELECT *, CAST(least(floor({W.draw(21, 'dataset_name', 'episode_id', 'timestep')} * (t_len - (timestep + 1)) + timestep + 1), t_len - 1) AS INT) AS goal
           FROM (SELECT *, count(*) OVER (PARTITION BY episode_id) AS t_len, bool_or(language_instruction <> '') OVER (PARTITION BY episode_id) AS keep FROM v_steps) WHERE keep""",
-        **pick_ctes("frames", "SELECT count(*) FROM v_steps", 48),
+        **pick_ctes("frames", "SELECT CAST(floor(max(n / sample_weight) FILTER (weight = 1.0)) AS BIGINT) FROM w", 48),
     ),
 )
 def interleaved_mixture(spark, d):
@@ -191,7 +191,7 @@ def interleaved_mixture(spark, d):
     options = J.TrajectoryOptions(skip_unlabeled=True, goal_strategy="uniform", goal_kwargs={"seed": 21})
     frames = J.filter_frames(J.transform(standard, options))
     keys = cut_lineage(J.filter_frames(J.transform(standard, labeled)).select("dataset_name", "event_id"))
-    total = weights.agg(F.sum("num_transitions")).first()[0]
+    total = M.effective_length(weights).first()[0]
     sampled = M.sample_frames(keys, ["event_id"], weights, total, 48, sizes=M.sizes_by_name(keys))
     placed = with_random_position(sampled, [], ["p"], 49)
     out = placed.join(frames, ["dataset_name", "event_id"])

@@ -12,7 +12,7 @@ from armature.operators import motion, ordering, statcache, statistics
 from armature.operators.smallside import pin_small
 from armature.plans import views as W
 from armature.plans.registry import job, r6, sql_r6, sql_wide, text_of, wide
-from armature.sources import sinks, tables
+from armature.sources import catalog, sinks, tables
 
 ACTIONS = [f"a{i}" for i in range(7)]
 STATES = [f"s{i}" for i in range(8)]
@@ -33,15 +33,18 @@ def episode_source(spark, d):
     "split_episodes",
     W.sql(
         "v_steps",
-        """SELECT s.dataset_name, s.episode_id, s.event_id, CASE WHEN e.idx < floor(e.n * 95 / 100e0 + 5e-1) THEN 'train' ELSE 'val' END AS split
+        """SELECT s.dataset_name, s.episode_id, s.event_id, CASE WHEN s.dataset_name = 'ds_c' THEN CASE WHEN s.episode_id % 4 = 0 THEN 'val' ELSE 'train' END
+          WHEN e.idx < floor(e.n * 95 / 100e0 + 5e-1) THEN 'train' ELSE 'val' END AS split
         FROM v_steps s JOIN e ON s.episode_id = e.episode_id""",
         e="""SELECT dataset_name, episode_id, row_number() OVER (PARTITION BY dataset_name ORDER BY episode_id) - 1 AS idx,
              count(*) OVER (PARTITION BY dataset_name) AS n FROM (SELECT DISTINCT dataset_name, episode_id FROM v_steps)""",
     ),
 )
 def split_episodes(spark, d):
-    steps = W.step_rows(spark, d)
-    return M.split_by_episode(steps, 95).select("dataset_name", "episode_id", "event_id", "split")
+    """Dataset ds_c comes with a validation split of its own; the others are cut."""
+    own = F.when((F.col("dataset_name") == "ds_c") & (F.col("episode_id") % 4 == 0), "val").otherwise("train")
+    steps = W.step_rows(spark, d).withColumn("stored", own)
+    return M.split_by_episode(steps, 95, stored="stored").select("dataset_name", "episode_id", "event_id", "split")
 
 
 @job(
@@ -82,7 +85,8 @@ STAT_COLUMNS = ", ".join(sql_r6(s, s) for s in ("mean", "std", "min", "max", "q0
 
 def exploded(stats):
     """Wide per-dataset statistics -> rounded (dataset, key, dim) rows."""
-    keyed = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("s")) for k in ("action", "proprio")]))
+    numbers = lambda k: F.struct(*[F.col(k)[n].alias(n) for n in statistics.STATISTICS])
+    keyed = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), numbers(k).alias("s")) for k in ("action", "proprio")]))
     zipped = F.posexplode(F.arrays_zip(*[F.col(f"s.{n}").alias(n) for n in statistics.STATISTICS]))
     return (
         stats.select("dataset_name", keyed.alias("k"))
@@ -98,8 +102,8 @@ def with_state(spark, d):
 
 @job("stats_source", W.sql("v_steps", f"SELECT dataset_name, key, dim, {STAT_COLUMNS} FROM st", long=LONG_STEPS, st=STATS_SQL))
 def stats_source(spark, d):
-    path = sinks.scratch(spark, "stats")
-    statistics.dataset_statistics(with_state(spark, d)).write.parquet(path)
+    path = sinks.scratch(spark, "stats") + "/dataset_statistics.json"
+    sinks.write_statistics(statistics.dataset_statistics(with_state(spark, d)), path)
     return exploded(tables.saved_statistics(spark, path))
 
 
@@ -114,10 +118,10 @@ def stats_source(spark, d):
     ),
 )
 def stats_sink(spark, d):
-    path = sinks.scratch(spark, "stats-json")
+    path = sinks.scratch(spark, "stats") + ".json"
     stats = statistics.dataset_statistics(with_state(spark, d))
     sinks.write_statistics(stats, path)
-    back = spark.read.schema(stats.schema).json(path)
+    back = tables.saved_statistics(spark, path)
     return exploded(back).join(back.select("dataset_name", "num_transitions", "num_trajectories"), "dataset_name")
 
 
@@ -226,18 +230,31 @@ def metrics_log_source_sink(spark, d):
     return back.select("run_id", "batch_idx", *[r6(c).alias(c) for c in ("loss", "l1_loss", "action_accuracy")])
 
 
+#: The supplied datasets under names of the catalog.
+CATALOG_NAMES = {"ds_a": "bridge_orig", "ds_b": "fractal20220817_data", "ds_c": "kuka"}
+
+
 @job(
     "mixture_select",
     W.sql(
-        "v_steps v_mixture",
-        """SELECT s.dataset_name, s.episode_id, s.event_id, m.weight FROM v_steps s JOIN
-        (SELECT dataset_name, arg_min(weight, pos) AS weight FROM v_mixture WHERE dataset_name <> 'ds_b' GROUP BY 1) m USING (dataset_name)""",
+        "v_steps",
+        """SELECT mixture, s.dataset_name, m.weight, count(*) AS n_steps, count(DISTINCT episode_id) AS n_episodes FROM
+        (SELECT * REPLACE (CASE dataset_name """
+        + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in CATALOG_NAMES.items())
+        + """ END AS dataset_name) FROM v_steps) s
+        JOIN (SELECT mixture, dataset_name, arg_min(weight, pos) AS weight FROM named GROUP BY ALL) m USING (dataset_name) GROUP BY ALL""",
+        named="SELECT * FROM (VALUES "
+        + ", ".join(f"('{name}', {pos}, '{dataset}', {weight}e0)" for name, entries in catalog.mixtures().items() for pos, (dataset, weight) in enumerate(entries))
+        + ") t(mixture, pos, dataset_name, weight)",
     ),
 )
 def mixture_select(spark, d):
-    kept, _ = M.select_mixture(W.mixture(spark), spark.createDataFrame([("ds_a",), ("ds_c",)], "dataset_name string"))
-    chosen = W.step_rows(spark, d).join(pin_small(kept), "dataset_name")
-    return chosen.select("dataset_name", "episode_id", "event_id", "weight")
+    """Every named mixture on the datasets that are there."""
+    name = F.col("dataset_name")
+    steps = W.step_rows(spark, d).withColumn("dataset_name", F.coalesce(*[F.when(name == a, b) for a, b in CATALOG_NAMES.items()]))
+    sizes = pin_small(steps.groupBy("dataset_name").agg(F.count(F.lit(1)).alias("n_steps"), F.countDistinct("episode_id").alias("n_episodes")))
+    kept, _ = M.select_mixture(catalog.all_mixtures(spark), sizes, ["mixture"])
+    return kept.join(sizes, "dataset_name").select("mixture", "dataset_name", "weight", "n_steps", "n_episodes")
 
 
 @job(

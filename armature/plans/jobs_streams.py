@@ -53,8 +53,8 @@ def stream_frames(spark, d):
 def stream_metrics(spark, d):
     path = sinks.scratch(spark, "stream-metrics")
     log = W.metric_values(arriving(spark, d, "events"))
-    S.run_to_end(S.windowed_metrics(log), S.latest_batch(path), "complete")
-    out = spark.read.parquet(path)
+    S.run_to_end(S.windowed_metrics(log), S.append_batches(path), "update")
+    out = S.newest(spark.read.parquet(path), ["run_id", "window"])
     return out.select(
         "run_id", F.unix_micros("window.start").alias("window_start_us"), "n", r6("loss").alias("loss"), r6("l1_loss", 9).alias("l1_loss"),
         r6("action_accuracy").alias("action_accuracy"),
@@ -64,8 +64,8 @@ def stream_metrics(spark, d):
 @job("stream_success", W.sql("v_rollouts", "SELECT task, count(*) AS n_episodes, CAST(sum(CASE WHEN success THEN 1 ELSE 0 END) AS BIGINT) AS n_successes FROM v_rollouts GROUP BY 1"))
 def stream_success(spark, d):
     path = sinks.scratch(spark, "stream-success")
-    S.run_to_end(S.success_counters(W.rollout_values(arriving(spark, d, "orders"))), S.latest_batch(path), "complete")
-    return spark.read.parquet(path)
+    S.run_to_end(S.success_counters(W.rollout_values(arriving(spark, d, "orders"))), S.append_batches(path), "update")
+    return S.newest(spark.read.parquet(path), ["task"])
 
 
 #: One event per four hours and key, the density of the supplied table.

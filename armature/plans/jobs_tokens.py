@@ -12,7 +12,7 @@ from armature.operators import prompts as P
 from armature.operators import statistics as T
 from armature.operators import tokens as K
 from armature.operators import trajectories as J
-from armature.operators.ordering import counter_block, even_block, with_position
+from armature.operators.ordering import counter_block, with_position
 from armature.operators.smallside import pin_small
 from armature.plans import views as W
 from armature.plans.jobs_sources import ACTIONS
@@ -181,14 +181,16 @@ def turn_tokens_with_labels(spark, d):
     "align_caption_labels",
     W.sql(
         "v_turns",
-        f"""SELECT conv_id, array_to_string([1] || ids, ',') AS input_ids, array_to_string([-100] || ids, ',') AS labels FROM
-        (SELECT conv_id, {byte_sql("reply || '</s>'")} AS ids FROM (SELECT conv_id, {strip_sql("max(text) FILTER (turn_idx = 1)")} AS reply FROM v_turns
-         WHERE image IS NOT NULL GROUP BY 1 HAVING count(*) = 2 AND NOT contains(max(text) FILTER (turn_idx = 1), '<image>')))""",
+        f"""SELECT conv_id, problem, CASE WHEN problem IS NULL THEN array_to_string([1] || ids, ',') END AS input_ids,
+          CASE WHEN problem IS NULL THEN array_to_string([-100] || ids, ',') END AS labels FROM
+        (SELECT conv_id, problem, {byte_sql("reply || '</s>'")} AS ids FROM (SELECT conv_id, {strip_sql("max(text) FILTER (turn_idx = 1)")} AS reply,
+           CASE WHEN max(image) IS NULL THEN 'no image' WHEN count(*) <> 2 THEN 'not two turns' WHEN contains(max(text) FILTER (turn_idx = 1), '<image>') THEN 'image tag in the reply' END AS problem
+         FROM v_turns GROUP BY 1))""",
     ),
 )
 def align_caption_labels(spark, d):
     out = K.caption_examples(W.turns(spark, d))
-    return out.select("conv_id", text_of(F.col("input_ids")).alias("input_ids"), text_of(F.col("labels")).alias("labels"))
+    return out.select("conv_id", "problem", text_of(F.col("input_ids")).alias("input_ids"), text_of(F.col("labels")).alias("labels"))
 
 
 def example_ctes(source: str, values: list[str]) -> dict[str, str]:
@@ -300,8 +302,7 @@ def padded_text(df, *keys):
 @job("pad_collate_lm", W.sql("v_turns", f"SELECT conv_id, batch_no, slot, image IS NOT NULL AS has_image, {PADDED} FROM padded", **CHAT_TOKENS, **padded_sql("ex", "conv_id", 8, 480)))
 def pad_collate_lm(spark, d):
     examples = K.chat_examples(W.turns(spark, d), "vicuna", CHAT_LENGTH)
-    block = even_block(tables.table(spark, d, "conversations"), "conv_id")
-    return padded_text(K.pad_batches(B.in_batches(examples, "conv_id", 8, block), "batch_no", 480), "conv_id")
+    return padded_text(K.pad_batches(B.in_batches(examples, "conv_id", 8), "batch_no", 480), "conv_id")
 
 
 @job(

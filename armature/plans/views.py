@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armature.operators.episodes import add_timestep
-from armature.operators.ordering import counter_block, even_block, time_block, with_position
+from armature.operators.ordering import counter_block, time_block, with_position
 from armature.sources.tables import table
 
 ACTION_DIM = 7
@@ -146,7 +146,7 @@ def rollouts(spark: SparkSession, d: str) -> DataFrame:
 
 def rollouts_with_trial(spark: SparkSession, d: str) -> DataFrame:
     rows = rollouts(spark, d)
-    numbered = with_position(rows, ["task"], ["run_order"], even_block(rows, "run_order"), "trial")
+    numbered = with_position(rows, ["task"], ["run_order"], name="trial")
     return numbered.withColumn("trial", F.col("trial").cast("int"))
 
 

@@ -291,6 +291,11 @@ def dataset_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "dataset_name string, state_encoding string, action_encoding string, loadable boolean")
 
 
+def all_mixtures(spark: SparkSession) -> DataFrame:
+    rows = [(name, pos, dataset, weight) for name, entries in mixtures().items() for pos, (dataset, weight) in enumerate(entries)]
+    return spark.createDataFrame(rows, "mixture string, pos int, dataset_name string, weight double")
+
+
 def mixture_table(spark: SparkSession, name: str) -> DataFrame:
     rows = [(pos, dataset, weight) for pos, (dataset, weight) in enumerate(mixture_spec(name))]
     return spark.createDataFrame(rows, "pos int, dataset_name string, weight double")

@@ -18,8 +18,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def write_statistics(stats: DataFrame, path: str) -> None:
-    """One JSON object per dataset; arrays stay arrays."""
-    stats.select(F.to_json(F.struct(*stats.columns)).alias("value")).write.mode("overwrite").text(path)
+    """The interchange file: one JSON object keyed by dataset. It has a short entry per dataset, so it is one line."""
+    entry = F.struct("dataset_name", F.struct(*[c for c in stats.columns if c != "dataset_name"]).alias("s"))
+    whole = stats.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_demos(steps: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHAT_EXAMPLE = T.StructType(
@@ -40,8 +41,17 @@ def chat_examples(spark: SparkSession, path: str, json_array: bool = True) -> Da
     return (reader.option("multiLine", True) if json_array else reader).json(path)
 
 
+_NUMBERS = "mean: array<double>, std: array<double>, min: array<double>, max: array<double>, q01: array<double>, q99: array<double>"
+STATISTICS_FILE = f"map<string, struct<action: struct<{_NUMBERS}, mask: array<boolean>>, proprio: struct<{_NUMBERS}>, num_transitions: bigint, num_trajectories: bigint>>"
+
+
 def saved_statistics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path) if path.endswith(".json") else spark.read.parquet(path)
+    """Saved statistics, a row per dataset. A `.json` path is the interchange file: one object keyed by dataset."""
+    if not path.endswith(".json"):
+        return spark.read.parquet(path)
+    whole = spark.read.text(path, wholetext=True).filter(F.trim("value") != "")
+    entries = whole.select(F.explode(F.from_json("value", STATISTICS_FILE)).alias("dataset_name", "s"))
+    return entries.select("dataset_name", "s.*")
 
 
 def metric_log(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

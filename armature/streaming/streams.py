@@ -47,13 +47,11 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Complete-mode results: each micro-batch replaces the previous answer."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return write
+def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The last answer for each key among the updates that `append_batches` wrote: nothing is replaced in place."""
+    rest = [c for c in updates.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*rest), F.col("batch").cast("long")).alias("__last")
+    return updates.groupBy(*keys).agg(last).select(*keys, "__last.*")
 
 
 def token_frames(steps: DataFrame, stats: DataFrame, how: str, action_dim: int, mask: list[bool], keys: list[str]) -> DataFrame:
@@ -70,7 +68,7 @@ def token_frames(steps: DataFrame, stats: DataFrame, how: str, action_dim: int,
 
 
 def windowed_metrics(log: DataFrame, window: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Means per run and tumbling window; the watermark bounds the state."""
+    """Means per run and tumbling window. In update mode the watermark ends windows and frees their state."""
     timed = log.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
     return timed.groupBy("run_id", F.window("at", window)).agg(
         F.count(F.lit(1)).alias("n"),

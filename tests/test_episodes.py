@@ -165,13 +165,16 @@ def test_running_totals_cross_blocks(spark):
     assert got == {i: sum(j % 4 for j in range(i + 1)) for i in range(100)}
 
 
-def test_sparse_ids_stay_in_few_blocks(spark):
-    ids = [i * 10**15 + 3 for i in range(200)]
-    df = spark.createDataFrame([(i,) for i in ids], "k long")
-    block = ordering.even_block(df, "k", 16)
-    assert df.select(block).distinct().count() <= 17
-    got = dict(ordering.with_position(df, [], ["k"], block).collect())
-    assert got == {k: i for i, k in enumerate(ids)}
+@pytest.mark.parametrize("ids", [[i * 10**15 + 3 for i in range(200)], [*range(20_000), 10**17], [i**5 for i in range(3000)]])
+def test_blocks_are_even_whatever_the_ids(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "k long").repartition(5)
+    sizes = [r["count"] for r in ordering.by_ranges(df, ["k"], 4).groupBy("__block").count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert dict(ordering.with_position(df, [], ["k"]).collect()) == {k: i for i, k in enumerate(ids)}
+    grouped = df.withColumn("g", F.col("k") % 2)
+    got = {r["k"]: r["position"] for r in ordering.with_position(grouped, ["g"], ["k"]).collect()}
+    for g in (0, 1):
+        assert [got[k] for k in sorted(i for i in ids if i % 2 == g)] == list(range(sum(i % 2 == g for i in ids)))
 
 
 def test_long_episode_is_numbered_in_blocks(spark):

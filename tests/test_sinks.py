@@ -44,3 +44,27 @@ def test_empty_demo_table_reads_back(spark):
     none = spark.createDataFrame([("a", 1)], "dataset_name string, episode_id int").filter(F.lit(False))
     sinks.write_demos(none, path)
     assert tables.episodes(spark, path, schema=none.schema).count() == 0
+
+
+def test_statistics_file_is_one_object_keyed_by_dataset(spark, tmp_path):
+    numbers = {k: [0.5, 1.0] for k in ("mean", "std", "min", "max", "q01", "q99")}
+    theirs = {"a": {"action": {**numbers, "mask": [True, False]}, "proprio": numbers, "num_transitions": 7, "num_trajectories": 2}, "b": {"action": numbers, "num_transitions": 1, "num_trajectories": 1}}
+    (tmp_path / "dataset_statistics.json").write_text(json.dumps(theirs, indent=2))
+    read = tables.saved_statistics(spark, str(tmp_path / "dataset_statistics.json"))
+    assert {r["dataset_name"]: (r["action"]["mask"], r["proprio"] is None, r["num_transitions"]) for r in read.collect()} == {"a": ([True, False], False, 7), "b": (None, True, 1)}
+    path = str(tmp_path / "out.json")
+    sinks.write_statistics(read, path)
+    (file,) = Path(path).glob("part-*")
+    back = json.loads(file.read_text())
+    assert back["a"] == theirs["a"] and set(back) == {"a", "b"}
+    assert sorted(tables.saved_statistics(spark, path).collect(), key=str) == sorted(read.collect(), key=str)
+
+
+def test_a_stored_validation_split_is_kept(spark):
+    from armature.operators import mixtures
+
+    rows = [("own", e, "val" if e == 3 else "train") for e in range(6)] + [("cut", e, "train") for e in range(100)]
+    steps = spark.createDataFrame(rows, "dataset_name string, episode_id int, stored string")
+    got = {(r["dataset_name"], r["episode_id"]): r["split"] for r in mixtures.split_by_episode(steps, 95, stored="stored").collect()}
+    assert {e for (d, e), s in got.items() if d == "own" and s == "val"} == {3}
+    assert {e for (d, e), s in got.items() if d == "cut" and s == "val"} == set(range(95, 100))

@@ -56,8 +56,8 @@ def test_counters_and_replayed_batches(spark, tmp_path):
     for i in range(3):
         spark.createDataFrame([("a", i % 2 == 0), ("b", True)], "task string, success boolean").write.mode("append").parquet(source)
     stream = S.file_stream(spark, source, spark.read.parquet(source).schema, "*.parquet", 1)
-    S.run_to_end(S.success_counters(stream), S.latest_batch(path), "complete")
-    got = {r["task"]: (r["n_episodes"], r["n_successes"]) for r in spark.read.parquet(path).collect()}
+    S.run_to_end(S.success_counters(stream), S.append_batches(path), "update")
+    got = {r["task"]: (r["n_episodes"], r["n_successes"]) for r in S.newest(spark.read.parquet(path), ["task"]).collect()}
     assert got == {"a": (3, 2), "b": (3, 3)}
     twice = sinks.scratch(spark, "twice")
     for _ in range(2):  # a micro-batch that is run again replaces itself

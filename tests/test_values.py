@@ -247,7 +247,24 @@ def test_chat_tokens_and_labels(spark):
 def test_captions_take_two_turns_and_an_image(spark):
     got = {r["conv_id"]: r for r in K.caption_examples(turns(spark)).collect()}
     ids = [1] + [b + 3 for b in b"A cup.</s>"]
-    assert set(got) == {1} and got[1]["input_ids"] == ids and got[1]["labels"] == [-100, *ids[1:]]
+    assert set(got) == set(CHATS) and got[1]["problem"] is None
+    assert got[1]["input_ids"] == ids and got[1]["labels"] == [-100, *ids[1:]]
+    assert all(r["problem"] and r["input_ids"] is None and r["labels"] is None for c, r in got.items() if c != 1)
+
+
+def test_default_tokens_are_bytes_of_whole_batches(spark):
+    said = ["a", "", None, "é漢😀", "x" * 3000]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i long, s string").coalesce(1)
+    got = {r["i"]: r["ids"] for r in df.select("i", K.encoder()(F.col("s")).alias("ids")).collect()}
+    assert got == {i: None if s is None else [b + 3 for b in s.encode()] for i, s in enumerate(said)}
+    plugged = {r["i"]: r["ids"] for r in df.select("i", K.encoder(lambda t: [len(t)])(F.col("s")).alias("ids")).collect()}
+    assert plugged == {i: None if s is None else [len(s)] for i, s in enumerate(said)}
+
+
+def test_tokenizers_without_a_first_token(spark):
+    got = {r["conv_id"]: r for r in K.chat_examples(turns(spark), "phi", 10_000, bos=None).collect()}
+    for c, messages in CHATS.items():
+        assert got[c]["input_ids"] == [b + 3 for piece in said("phi", messages) for b in piece.rstrip().encode()]
 
 
 def test_python_whitespace_rules(spark):
