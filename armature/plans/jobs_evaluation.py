@@ -60,9 +60,11 @@ def over(expression: str, n: int) -> str:
 
 
 # means of a few decimal values end in exact ties at the sixth digit, hence nine
-SMOOTH = ["loss_smooth", "l1_smooth", "accuracy_smooth", "loss_raw", "mean_step_time"]
+SMOOTH = ["loss_smooth", "l1_smooth", "accuracy_smooth", "loss_raw", "mean_step_time", "lr"]
+#: Batches of an epoch.
+EPOCH = 250
 ROLLING = f"""SELECT run_id, batch_idx, {over('loss', 20)} AS loss_smooth, {over('l1_loss', 20)} AS l1_smooth, {over('action_accuracy', 20)} AS accuracy_smooth,
-  {over('loss', 4)} AS loss_raw, {over('step_time', 20)} AS mean_step_time FROM
+  {over('loss', 4)} AS loss_raw, {over('step_time', 20)} AS mean_step_time, lr FROM
   (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY batch_idx)) / 1e6 AS step_time FROM v_metrics)"""
 
 
@@ -93,6 +95,10 @@ def thin_log(spark, d):
         UNION ALL SELECT run_id, batch_idx, 'VLA Train/L1 Loss', {sql_r6('l1_smooth', 'value', 9)} FROM r
         UNION ALL SELECT run_id, batch_idx, 'VLA Train/Action Token Accuracy', {sql_r6('accuracy_smooth', 'value', 9)} FROM r
         UNION ALL SELECT run_id, batch_idx, 'VLA Train/Loss (Raw)', {sql_r6('loss_raw', 'value', 9)} FROM r
+        UNION ALL SELECT run_id, batch_idx, 'VLA Train/Learning Rate', {sql_r6('lr', 'value', 9)} FROM r
+        UNION ALL SELECT run_id, batch_idx, 'VLA Train/Step Time', {sql_r6('mean_step_time', 'value', 9)} FROM r
+        UNION ALL SELECT run_id, batch_idx, 'VLA Train/Step', CAST(batch_idx AS DOUBLE) FROM r
+        UNION ALL SELECT run_id, batch_idx, 'VLA Train/Epoch', floor(batch_idx / {EPOCH}) FROM r
         UNION ALL SELECT 'preds', step, dataset_name || '/L1 Loss', {sql_r6(f'avg({DISTANCE})', 'value')} FROM v_preds GROUP BY step, dataset_name
         UNION ALL SELECT 'preds', step, dataset_name || '/Action Token Accuracy', {sql_r6(ACCURACY, 'value')} FROM v_preds GROUP BY step, dataset_name""",
         r=ROLLING,
@@ -100,8 +106,12 @@ def thin_log(spark, d):
 )
 def metrics_record(spark, d):
     rolled = V.rolling_metrics(W.metrics(spark, d), 20, 4).withColumn("step", F.col("timestep").cast("long"))
-    names = {"Loss": "loss_smooth", "L1 Loss": "l1_smooth", "Action Token Accuracy": "accuracy_smooth", "Loss (Raw)": "loss_raw"}
-    train = V.metric_records(rolled, ["run_id", "step"], {f"VLA Train/{n}": r6(c, 9) for n, c in names.items()})
+    names = {
+        "Loss": "loss_smooth", "L1 Loss": "l1_smooth", "Action Token Accuracy": "accuracy_smooth", "Loss (Raw)": "loss_raw",
+        "Learning Rate": "lr", "Step Time": "mean_step_time",
+    }
+    values = {n: r6(c, 9) for n, c in names.items()} | {"Step": F.col("step"), "Epoch": F.floor(F.col("step") / EPOCH)}
+    train = V.metric_records(rolled, ["run_id", "step"], {f"VLA Train/{n}": v for n, v in values.items()})
     per_dataset = V.token_metrics(pairs(spark, d), ["step", "dataset_name"]).withColumn("run_id", F.lit("preds"))
     long = V.metric_records(
         per_dataset, ["run_id", "step", "dataset_name"], {"L1 Loss": r6("l1_loss"), "Action Token Accuracy": r6("action_accuracy")}

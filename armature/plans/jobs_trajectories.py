@@ -352,13 +352,16 @@ def chunk_filter(spark, d):
     return J.filter_frames(W.step_rows(spark, d), hooks).select("dataset_name", "event_id")
 
 
-@job("zero_action_filter", W.sql("v_steps", "SELECT event_id FROM v_steps WHERE event_id % 5 <> 0"))
+@job("zero_action_filter", W.sql("v_steps", "SELECT event_id FROM v_steps WHERE event_id % 5 > 1"))
 def zero_action_filter(spark, d):
-    still = F.array(*[F.lit(z) for z in J.normalized_zero()], F.lit(1.0))
+    """Every fifth chunk stands still, the next moves by half the threshold and goes as well, the next by twice and stays."""
+    off = F.when(F.col("event_id") % 5 == 1, 5e-6).when(F.col("event_id") % 5 == 2, -2e-5).otherwise(0.0)
+    still = lambda d: F.array(*[F.lit(z) + (d if i == 3 else 0.0) for i, z in enumerate(J.normalized_zero())], F.lit(1.0))
+    none = still(F.lit(0.0))
     rows = W.step_rows(spark, d).withColumns(
         {
             "dataset_name": F.lit("droid"),
-            "action": F.when(F.col("event_id") % 5 == 0, F.array(still, still)).otherwise(F.array(still, F.col("action"))),
+            "action": F.when(F.col("event_id") % 5 <= 2, F.array(none, still(off))).otherwise(F.array(none, F.col("action"))),
         }
     )
     return J.filter_frames(rows).select("event_id")
@@ -544,16 +547,20 @@ def letterbox_geometry(spark, d):
 
 
 def raw_images(spark, d):
-    """8x6 raw images whose bytes are hashes of the event they belong to."""
-    pieces = [F.unhex(F.md5(F.concat_ws(":", F.lit(str(i)), F.col("event_id").cast("string")).cast("binary"))) for i in range(9)]
-    return tables.table(spark, d, "events").select(
-        "event_id", F.lit(8).alias("height"), F.lit(6).alias("width"), F.concat(*pieces).alias("data")
+    """The bytes of every page as 8x6 raw images, one after the other; a last piece too short for an image is left out."""
+    size = 8 * 6 * 3
+    pages = tables.table(spark, d, "pages").select("page_id", F.encode("html", "UTF-8").alias("bytes"))
+    cut = pages.select("page_id", "bytes", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("bytes") / size).cast("int"))).alias("part"))
+    whole = cut.filter((F.col("part") + 1) * size <= F.octet_length("bytes"))
+    return whole.select(
+        F.concat_ws("/", "page_id", "part").alias("image_id"), F.lit(8).alias("height"), F.lit(6).alias("width"),
+        F.substring("bytes", F.col("part") * size + 1, F.lit(size)).alias("data"),
     )
 
 
 @job("pixel_batch_job")
 def pixel_batch_job(spark, d):
     """Crop, pad, rotate, brighten and normalize; one row per image with channel means of the result."""
-    out = G.pixel_job(raw_images(spark, d), "event_id", crop=(1, 1, 6, 4), pad=1, fill=127, rotate=True, brightness=0.1, contrast=1.1)
+    out = G.pixel_job(raw_images(spark, d), "image_id", crop=(1, 1, 6, 4), pad=1, fill=127, rotate=True, brightness=0.1, contrast=1.1)
     total = reduce(lambda a, b: a + b, [F.col("pixels")[i] for i in range(3)])
-    return out.select("event_id", "height", "width", F.size("pixels").alias("n_values"), F.round(total, 4).alias("corner"))
+    return out.select("image_id", "height", "width", F.size("pixels").alias("n_values"), F.round(total, 4).alias("corner"))

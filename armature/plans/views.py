@@ -158,6 +158,7 @@ def metric_values(events: DataFrame) -> DataFrame:
         F.col("value").alias("loss"),
         (F.col("value") / 1e3).alias("l1_loss"),
         ((F.col("event_id") % 100) / 1e2).alias("action_accuracy"),
+        ((F.col("event_id") % 10 + 1) * 2e-5).alias("lr"),
     )
 
 
@@ -223,7 +224,7 @@ FROM orders""",
     "v_metrics": """
 SELECT concat('run_', CAST(user_id % 3 AS STRING)) AS run_id,
        CAST(row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) - 1 AS INT) AS batch_idx,
-       ts, value AS loss, value / 1e3 AS l1_loss, (event_id % 100) / 1e2 AS action_accuracy
+       ts, value AS loss, value / 1e3 AS l1_loss, (event_id % 100) / 1e2 AS action_accuracy, (event_id % 10 + 1) * 2e-5 AS lr
 FROM events""",
 }
 NEEDS = {"v_short": ["v_steps"], "v_noop": ["v_steps"], "v_preds": ["v_steps"]}
