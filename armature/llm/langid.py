@@ -213,8 +213,8 @@ def train(docs: DataFrame, text: str, lang: str, id_column: str, bounds: Bounds
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Rows of `docs` with the language and a score from 0 to 1: the share of the winner if costs are read as code lengths.
 
-    A null text, a text without a letter, or a model without languages gives `und` with score 0. Equal costs go to the
-    first language by name. A result column replaces an input column of its name; other columns are carried.
+    A null text, a text without a letter, or a model without languages gives `und` with score 0. A text whose letters no
+    language has is given the first language by name, with score 0; so are equal costs, with their equal share. A result column replaces an input column of its name; other columns are carried.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain values: workers may lack this package
     labels = [*model.languages, UNKNOWN]
@@ -229,7 +229,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
             winner = cost.argmin(axis=0)
             share = 1 / np.exp2(np.maximum(-1000, cost.min(axis=0) - cost)).sum(axis=0)
             best = np.where(has_letter, winner, best)
-            score = np.where(has_letter, share, score)
+            score = np.where(has_letter & (np.diff(starts) > 0), share, score)
         return [pa.array(labels).take(pa.array(best)), score]
 
     fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
