@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 from armature.llm import decontaminate, langid, mixing, quality, simhash, textkit
 from armature.sources.sinks import scratch
 
-#: The share of the winning language that a text of no known language comes close to is 1 / languages; this many times that
-#: share is asked for.
-LEAST_EVIDENCE = 1.2
 KEEP_QUALITY = 0.7
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: those without a letter, or that fit no language better than another, go.
+    """Documents in a known language: those without a letter, or with letters of no language, go.
 
     With no labelled language to learn from, every text is unknown and goes.
     """
@@ -27,9 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(known, "text", "lang", "doc_id")
     names = textkit.free_name(docs, "found_language"), textkit.free_name(docs, "found_share")
     found = langid.identify(docs, model, "text", names=names)
-    least = LEAST_EVIDENCE / max(1, len(model.languages))
-    sure = (F.col(names[0]) != langid.UNKNOWN) & (F.col(names[1]) >= min(least, 1.0))
-    return found.filter(sure).select(*docs.columns)
+    return found.filter((F.col(names[0]) != langid.UNKNOWN) & (F.col(names[1]) > 0)).select(*docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
