@@ -152,6 +152,8 @@ def with_episode_facts(
 
 
 def with_length(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
+    if "episode_len" in df.columns:
+        return df
     counted = with_episode_facts(df, {"episode_len": (F.max("timestep"), "max")}, keys, rows)
     return counted.withColumn("episode_len", (F.col("episode_len") + 1).cast("int"))
 

@@ -21,12 +21,30 @@ def _fields(df: DataFrame, column: str) -> list[str]:
     return [f.name for f in df.schema[column].dataType.fields]
 
 
+#: Episode facts: some step has an instruction.
+LABELED = (F.max, lambda: F.col("task.language_instruction") != "", "max")
+
+
+def _whole_episodes(df: DataFrame, tests: Mapping[str, tuple], keys: Sequence[str], rows: int, length: bool = False) -> DataFrame:
+    """Keep the episodes that pass all tests, name -> (aggregate, condition on a step, how to combine segments), in one go.
+
+    With `length`, `episode_len` is added as well.
+    """
+    facts = {n: (agg(condition()), how) for n, (agg, condition, how) in tests.items()}
+    if length:
+        facts["episode_len"] = (F.max("timestep"), "max")
+    found = with_episode_facts(df, facts, keys, rows)
+    for n in tests:
+        found = found.filter(F.col(n))
+    found = found.drop(*tests)
+    return found.withColumn("episode_len", (F.col("episode_len") + 1).cast("int")) if length else found
+
+
 def skip_unlabeled(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Keep episodes in which at least one step has an instruction."""
     if "language_instruction" not in _fields(df, "task"):
         raise ValueError("skip_unlabeled needs task.language_instruction")
-    labeled = F.max(F.col("task.language_instruction") != "")
-    return with_episode_facts(df, {"__labeled": (labeled, "max")}, keys, rows).filter("__labeled").drop("__labeled")
+    return _whole_episodes(df, {"__labeled": LABELED}, keys, rows)
 
 
 def within(vector: Column, limit: float) -> Column:
@@ -36,8 +54,7 @@ def within(vector: Column, limit: float) -> Column:
 
 def filter_max(df: DataFrame, vector: Column, limit: float, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Drop whole episodes that leave [-limit, limit] anywhere."""
-    marked = df.withColumn("__ok", within(vector, limit))
-    return with_episode_facts(marked, {"__all": (F.min("__ok"), "min")}, keys, rows).filter("__all").drop("__ok", "__all")
+    return _whole_episodes(df, {"__all": (F.min, lambda: within(vector, limit), "min")}, keys, rows)
 
 
 def add_pad_masks(df: DataFrame) -> DataFrame:
@@ -60,7 +77,8 @@ def goal_uniform(df: DataFrame, seed: int = 0, keys: Sequence[str] = EPISODE, ro
     t = F.col("timestep")
     u = uniform(seed, *keys, "timestep")
     goal = F.least(F.floor(u * (F.col("episode_len") - (t + 1)) + t + 1).cast("int"), F.col("episode_len") - 1)
-    left = sized.withColumn("__goal", goal).drop("episode_len")
+    left = sized.withColumn("__goal", goal)
+    left = left if "episode_len" in df.columns else left.drop("episode_len")
     right = timed.select(*keys, F.col("timestep").alias("__goal"), F.col("observation").alias("__seen"))
     joined = left.join(right, [*keys, "__goal"])
     merged = layout.merge_trees(
@@ -89,7 +107,8 @@ def delete_task_conditioning(
         task = task.withField(name, F.when(keep, value).otherwise(layout.padding_of(value, kinds[name])))
         task = task.withField(f"pad_mask_dict.{name}", keep & real)
     goal = F.when(F.col("__images"), F.col("task.timestep")).otherwise(F.col("episode_len") - 1)
-    return sized.withColumn("task", task.withField("timestep", goal)).drop("__images", "episode_len")
+    out = sized.withColumn("task", task.withField("timestep", goal)).drop("__images")
+    return out if "episode_len" in df.columns else out.drop("episode_len")
 
 
 def chunk(
@@ -165,15 +184,20 @@ class TrajectoryOptions:
 
 
 def transform(steps: DataFrame, options: TrajectoryOptions, train: bool = True) -> DataFrame:
-    """Filters, masks, goals, augmentation, chunks, subsample: in this order."""
-    o, df = options, steps
+    """Filters, masks, goals, augmentation, chunks, subsample: in this order.
+
+    What is asked of whole episodes, by the filters and by the stages that need their length, is gathered in one pass.
+    """
+    o, tests = options, {}
     if o.skip_unlabeled:
-        df = skip_unlabeled(df)
+        if "language_instruction" not in _fields(steps, "task"):
+            raise ValueError("skip_unlabeled needs task.language_instruction")
+        tests["__labeled"] = LABELED
     if o.max_action is not None:
-        df = filter_max(df, F.col("action"), o.max_action)
-    if o.max_proprio is not None and "proprio" in _fields(df, "observation"):
-        df = filter_max(df, F.col("observation.proprio"), o.max_proprio)
-    df = add_pad_masks(df)
+        tests["__action"] = (F.min, lambda: within(F.col("action"), o.max_action), "min")
+    if o.max_proprio is not None and "proprio" in _fields(steps, "observation"):
+        tests["__proprio"] = (F.min, lambda: within(F.col("observation.proprio"), o.max_proprio), "min")
+    df = add_pad_masks(_whole_episodes(steps, tests, EPISODE, SEGMENT_ROWS, length=True))
     if o.goal_strategy is not None:
         df = GOAL_STRATEGIES[o.goal_strategy](df, **o.goal_kwargs)
     if train and o.task_strategy is not None:
