@@ -101,3 +101,64 @@ def test_run_gives_the_rows_of_the_last_stage(spark):
 def test_stages_on_an_empty_table(spark, tmp_path):
     empty = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     assert all(b.count() == 0 for _, _, b in stages(spark, tmp_path, empty))
+
+
+def documents(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+
+
+def test_rules_query_equals_plain_python(spark):
+    from test_rules import plain
+
+    texts = dict(documents(spark))
+    for r in QUERIES["op3_line_rules"](spark, FOLDER).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain(texts[r.doc_id])
+        assert r.kept == (not r.base_failed and r.lost_share <= 0.5)
+
+
+def test_near_duplicate_query_equals_brute_force(spark):
+    from test_simhash import fingerprint, roots
+
+    prints = {d: fingerprint(t) for d, t in documents(spark)}
+    root = roots(set(prints.values()), 4)
+    first = {}
+    for d, f in sorted(prints.items()):
+        first.setdefault(root[f], d)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op4_simhash_dedup"](spark, FOLDER).collect()}
+    assert got == {d: (f"{f:016x}", first[root[f]]) for d, f in prints.items()}
+
+
+def test_decontamination_query_equals_brute_force(spark):
+    import re
+
+    import numpy as np
+
+    ids = {}
+    number = lambda t: np.array([ids.setdefault(w, len(ids)) for w in re.findall(r"[a-z0-9À-῿]+", (t or "").lower())])
+    items = [(r.item_id, number(r.text)) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    want = set()
+    for d, text in documents(spark):
+        words = number(text)
+        for i, item in items:
+            n = min(13, len(item))
+            if n >= 5 and len(words) >= n:
+                seen = np.lib.stride_tricks.sliding_window_view(words, n)
+                if any(((seen == w).sum(1) >= n - int(n * 0.2 + 1e-9)).any() for w in np.lib.stride_tricks.sliding_window_view(item, n)):
+                    want.add((d, i))
+    assert {(r.doc_id, r.item_id) for r in QUERIES["op1_decontamination"](spark, FOLDER).collect()} == want and want
+
+
+@pytest.mark.parametrize("name, label", [("op5_toxicity", "toxic"), ("op8_quality_gam", "quality")])
+def test_held_out_accuracy_of_the_queries(spark, name, label):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = QUERIES[name](spark, folder).filter("held_out").join(labels, "doc_id").collect()
+    right = sum(r.predicted == r[label] for r in rows)
+    assert len(rows) > 50 and right >= 0.93 * len(rows)
+
+
+def test_held_out_accuracy_of_languages(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = QUERIES["op7_language_id"](spark, folder).filter("held_out").join(docs, "doc_id").collect()
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.98 * len(rows)
