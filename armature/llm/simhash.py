@@ -368,7 +368,8 @@ def _groups(docs: DataFrame, id_column: str, text: str, shingle: int, bits: int)
     groups = cut_lineage(rows.groupBy("f").agg(F.min(first).alias("first")))
     roots = components(links(groups, bits))
     rooted = groups.join(roots.withColumnRenamed("node", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
-    whole = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    # written, so that both sides of the join are plain exchanges and a very large component can be split
+    whole = cut_lineage(rooted.groupBy("root").agg(F.min("first").alias("first")))
     return printed, rooted.select("f", "root").join(whole, "root").select("f", "root", "first")
 
 
