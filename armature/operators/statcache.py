@@ -16,10 +16,13 @@ def cache_keys(steps: DataFrame, state_keys: str, recipe: str) -> DataFrame:
 
 
 def cached(spark, path: str) -> DataFrame | None:
+    """What is there; None if nothing was written yet. Any other trouble with the cache is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def statistics_with_cache(steps: DataFrame, path: str, state_keys: str, recipe: str) -> DataFrame:
