@@ -12,7 +12,7 @@ from armature.operators.smallside import pin_small
 
 PROBABILITIES = (0.01, 0.99)
 #: Rank error of the bracketing sketch is at most rows / SKETCH_ACCURACY.
-SKETCH_ACCURACY = 100_000
+SKETCH_ACCURACY = 5_000
 #: The same for quantiles that stay approximate.
 APPROXIMATE_ACCURACY = 10_000
 
