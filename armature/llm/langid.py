@@ -2,12 +2,16 @@
 
 For every language a suffix automaton of a labelled text of bounded length is built. A text is parsed greedily against each
 automaton: a phrase is the longest run that occurs somewhere in the language's text. A phrase costs about log2 of the length
-of that text, so the cost of a text is phrases x log2(length), and the language with the least cost wins.
+of that text, so the cost of a text is phrases x log2(length), and the language with the least cost wins. A symbol that the
+language's text lacks is a phrase that matches nothing; it costs as much as the dearest phrase of any language, and log2 of
+the alphabet at least, so that no language wins by lack of text.
 
 Texts are lower-cased and reduced to the letters and digits that the training texts have, with single gaps between them; a
 text in a script of no language keeps nothing and speaks for none.
-The automata are flat transition tables in which a missing transition already leads to where the next phrase begins, with a
-flag; a batch of texts is parsed in lanes of at most `LANE` symbols, one table lookup per symbol, lane and language. Whole
+Every letter of the training texts is a symbol of its own. The automata are flat transition tables in which a missing
+transition already leads to where the next phrase begins, with a flag; a batch of texts is parsed in lanes of at most `LANE`
+symbols, one table lookup per symbol, lane and language. The tables have columns for the `COLUMNS` most frequent symbols; the
+transitions of rarer ones (Han, Hangul, many alphabets side by side) are kept sorted and found by binary search. Whole
 texts are parsed: a long text is many lanes, which adds at most a phrase per lane, for every language alike.
 """
 
@@ -25,6 +29,7 @@ from pyspark.sql import types as T
 from armature.llm import textkit
 
 LANE = 256
+COLUMNS = 256
 FLAG = 1 << 30
 UNKNOWN = "und"
 
@@ -44,10 +49,14 @@ class Bounds:
 class Model:
     languages: list[str]
     symbols: np.ndarray  # code point -> symbol; 0 is a gap
-    width: int
+    width: int  # columns of the table; symbols from here on are rare
     table: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
+    begins: np.ndarray  # language, symbol -> where a phrase that begins with it leads; the language's root if it lacks it
+    keys: np.ndarray  # sorted: row of the table x symbols + symbol, for rare symbols
+    targets: np.ndarray
+    miss_bits: float
 
 
 def code_points(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +83,7 @@ def to_symbols(texts: pa.Array, symbols: np.ndarray) -> tuple[np.ndarray, np.nda
     """Symbols of all texts without repeated or leading gaps, and where each text starts."""
     points, starts = code_points(*textkit.raw_bytes(pc.utf8_lower(texts)))
     if not len(points):
-        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+        return np.zeros(0, symbols.dtype), np.zeros(len(texts) + 1, np.int64)
     found = symbols[points]
     before = np.zeros(len(found), found.dtype)
     before[1:] = found[:-1]
@@ -87,14 +96,15 @@ def to_symbols(texts: pa.Array, symbols: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def letter_symbols(texts: list[pa.Array]) -> tuple[np.ndarray, int]:
-    """Code point -> symbol for the letters and digits of the training texts, the 255 most frequent if there are more; all
-    else, scripts of no language as well, is a gap."""
+    """Code point -> symbol for all letters and digits of the training texts, the most frequent first if they are more than
+    the columns; all else, scripts of no language as well, is a gap."""
     seen = np.zeros(0x110000, np.int64)
     for t in texts:
         seen += np.bincount(code_points(*textkit.raw_bytes(pc.utf8_lower(t)))[0], minlength=0x110000)
     used = [c for c in np.flatnonzero(seen).tolist() if chr(c).isalnum()]
-    used = sorted(sorted(used, key=lambda c: -seen[c])[:255])
-    table = np.zeros(0x110000, np.uint8)
+    used.sort(key=lambda c: -seen[c])
+    used = sorted(used[: COLUMNS - 1]) + sorted(used[COLUMNS - 1 :])
+    table = np.zeros(0x110000, np.uint8 if len(used) < 256 else np.int32)
     table[used] = np.arange(1, len(used) + 1)
     return table, len(used) + 1
 
@@ -131,26 +141,55 @@ def automaton(text: np.ndarray) -> list[dict[int, int]]:
 
 def build(languages: list[str], texts: list[pa.Array], bounds: Bounds) -> Model:
     """Tables of all languages one after the other. A language's first row is where a phrase has not begun yet."""
-    symbols, width = letter_symbols(texts)
+    symbols, letters = letter_symbols(texts)
+    width = min(letters, COLUMNS)
     budget = min(bounds.symbols_per_language, bounds.symbols_in_all // max(1, len(languages)))
     tables, roots, bits, base = [], [], [], 0
-    for t in texts:
+    begins, keys, targets = np.zeros((len(texts), letters), np.int32), [], []
+    for nth, t in enumerate(texts):
         parts, starts = to_symbols(t, symbols)
         text = parts[:budget]
         moves = automaton(text)
-        start = np.full(width, FLAG | base, np.int64)
+        begins[nth] = base
         for symbol, target in moves[0].items():
-            start[symbol] = FLAG | (base + (target + 1) * width)
-        table = np.tile(start, (len(moves) + 1, 1))
+            begins[nth, symbol] = base + (target + 1) * width
+        table = np.tile(FLAG | begins[nth, :width], (len(moves) + 1, 1))
         for state, out in enumerate(moves):
             for symbol, target in out.items():
-                table[state + 1, symbol] = base + (target + 1) * width
-        tables.append(table.reshape(-1).astype(np.int32))
+                if symbol < width:
+                    table[state + 1, symbol] = base + (target + 1) * width
+                else:
+                    keys.append((base // width + state + 1) * letters + symbol)
+                    targets.append(base + (target + 1) * width)
+        tables.append(table.reshape(-1))
         roots.append(base)
         bits.append(np.log2(max(2, len(text))))
         base += table.size
     table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return Model(languages, symbols, width, table, np.array(roots, np.int32), np.array(bits))
+    order = np.argsort(np.array(keys, np.int64))
+    sparse = np.array(keys, np.int64)[order], np.array(targets, np.int32)[order]
+    return Model(languages, symbols, width, table, np.array(roots, np.int32), np.array(bits), begins, *sparse, max([np.log2(letters), *bits]))
+
+
+def rare_steps(model: Model, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """What the table would hold for states (language, lane) and the rare symbols of the lanes."""
+    step = FLAG | model.begins[:, symbols]
+    lang, lane = np.nonzero(step != FLAG | model.roots[:, None])  # only languages that have the symbol
+    wanted = (state[lang, lane] // model.width).astype(np.int64) * model.begins.shape[1] + symbols[lane]
+    at = np.minimum(np.searchsorted(model.keys, wanted), len(model.keys) - 1)
+    found = model.keys[at] == wanted
+    step[lang[found], lane[found]] = model.targets[at[found]]
+    return step
+
+
+def misses(model: Model, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Symbols of each text (columns) that each language (rows) lacks."""
+    out = np.zeros((len(model.languages), len(starts) - 1), np.int64)
+    for row, lacks in zip(out, model.begins == model.roots[:, None], strict=True):
+        spot = np.flatnonzero(lacks[symbols]) if lacks.any() else []
+        if len(spot):
+            row += np.diff(np.searchsorted(spot, starts))
+    return out
 
 
 def phrases(model: Model, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -174,7 +213,13 @@ def phrases(model: Model, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray
             end = min(int(alive[t]), high) - low
             if end <= 0:
                 break
-            step = model.table[state[:, :end] + symbols[at[low : low + end] + t]]
+            now = symbols[at[low : low + end] + t]
+            rare = np.flatnonzero(now >= model.width) if len(model.keys) else ()
+            if len(rare):
+                step = model.table[state[:, :end] + np.where(now < model.width, now, 0)]
+                step[:, rare] = rare_steps(model, state[:, rare], now[rare])
+            else:
+                step = model.table[state[:, :end] + now]
             count[:, low : low + end] += step >> 30
             state[:, :end] = step & (FLAG - 1)
     return np.stack([np.bincount(owner, weights=c, minlength=texts) for c in count]) if n_lang else np.zeros((0, texts))
@@ -225,7 +270,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
         best, score = np.full(len(texts), len(m.languages)), np.zeros(len(texts))
         if m.languages:
             symbols, starts = to_symbols(texts, m.symbols)
-            cost = phrases(m, symbols, starts) * m.bits[:, None]
+            lacking = misses(m, symbols, starts)
+            cost = (phrases(m, symbols, starts) - lacking) * m.bits[:, None] + lacking * m.miss_bits
             winner = cost.argmin(axis=0)
             share = 1 / np.exp2(np.maximum(-1000, cost.min(axis=0) - cost)).sum(axis=0)
             best = np.where(has_letter, winner, best)

@@ -66,6 +66,35 @@ def test_language_of_odd_rows(spark):
     assert langid.identify(odd.limit(0), model).count() == 0
 
 
+def test_letters_beyond_the_columns_are_symbols():
+    rng = random.Random(4)
+    han, hangul = [chr(0x4E00 + k) for k in range(700)], [chr(0xAC00 + k) for k in range(500)]
+    say = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [say([*han[:400], " ", "a"], 3000), say([*hangul, " "], 2000), say("abcdefgh ", 6000), say(han[300:], 900)]
+    model = langid.build(list("wxyz"), [pa.array([t], pa.large_string()) for t in texts], langid.Bounds())
+    reduced = lambda t: "".join(map(chr, langid.to_symbols(pa.array([t], pa.large_string()), model.symbols)[0]))
+    assert len(set(reduced("".join(sorted(set("".join(texts)) - {" "}))))) == len(set("".join(texts)) - {" "})
+    tried = [t[a : a + rng.randrange(400)] for t in texts for a in range(0, 600, 50)] + [say([*han, *hangul, "a", " "], 700), "", "zz"]
+    symbols, starts = langid.to_symbols(pa.array(tried, pa.large_string()), model.symbols)
+    found, lacking = langid.phrases(model, symbols, starts), langid.misses(model, symbols, starts)
+    for row, t in enumerate(texts):
+        known = reduced(t)
+        assert found[row].tolist() == [plain_phrases(reduced(x), known) for x in tried]
+        assert lacking[row].tolist() == [sum(c not in known for c in reduced(x)) for x in tried]
+
+
+def test_no_language_wins_by_lack_of_letters_or_text(spark):
+    rng = random.Random(5)
+    scripts = {"han": range(0x4E00, 0x4E00 + 600), "hangul": range(0xAC00, 0xAC00 + 600), "ethiopic": range(0x1208, 0x1208 + 30)}
+    words = {k: ["".join(chr(rng.choice(v)) for _ in range(3)) for _ in range(200)] for k, v in scripts.items()} | {k: v.split() for k, v in SAYINGS.items()}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(1 if k == "ethiopic" else 40)), k) for i, k in enumerate(sorted(words) * 30)]
+    few = [(1000, "", "a_none"), (1001, "--", "a_none"), (1002, "th", "a_two"), (1003, "e", "a_one")]
+    docs = spark.createDataFrame(rows + few, "doc_id long, text string, lang string")
+    model = langid.train(docs, "text", "lang", "doc_id")
+    found = langid.identify(docs.filter("doc_id < 1000"), model).collect()
+    assert [r for r in found if r.lang_pred != r.lang or not r.score > 0.5] == []
+
+
 def test_additive_model_learns_shapes_and_a_pair():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 4))
