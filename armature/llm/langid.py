@@ -36,7 +36,8 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Bounds:
-    """The bounded labelled sample. Everything else covers all rows."""
+    """The bounded labelled sample: distinct texts of a language, characters of a piece of each, and symbols of a language and
+    in all that are learned, in equal shares of the texts. Everything else covers all rows."""
 
     rows_per_language: int = 64
     row_chars: int = 20_000
@@ -139,6 +140,24 @@ def automaton(text: np.ndarray) -> list[dict[int, int]]:
     return moves
 
 
+def shares(sizes: np.ndarray, budget: int) -> np.ndarray:
+    """Equal shares of `budget`; what short texts leave goes to the longer ones."""
+    out, left = np.zeros(len(sizes), np.int64), budget
+    for done, i in enumerate(np.argsort(sizes, kind="stable")):
+        out[i] = min(sizes[i], left // (len(sizes) - done))
+        left -= out[i]
+    return out
+
+
+def sampled(parts: np.ndarray, starts: np.ndarray, budget: int) -> np.ndarray:
+    """Up to `budget` symbols, an equal share from the start of every text, with a gap between texts."""
+    sizes = np.diff(starts)
+    share = shares(sizes, max(0, budget - max(0, len(sizes) - 1)))
+    pieces = [x for at, n in zip(starts, share) for x in (np.zeros(1, parts.dtype), parts[at : at + n])]
+    out = np.concatenate(pieces) if pieces else parts
+    return out[(out != 0) | (np.concatenate([[0], out[:-1]]) != 0)]
+
+
 def build(languages: list[str], texts: list[pa.Array], bounds: Bounds) -> Model:
     """Tables of all languages one after the other. A language's first row is where a phrase has not begun yet."""
     symbols, letters = letter_symbols(texts)
@@ -148,7 +167,7 @@ def build(languages: list[str], texts: list[pa.Array], bounds: Bounds) -> Model:
     begins, keys, targets = np.zeros((len(texts), letters), np.int32), [], []
     for nth, t in enumerate(texts):
         parts, starts = to_symbols(t, symbols)
-        text = parts[:budget]
+        text = sampled(parts, starts, budget)
         moves = automaton(text)
         begins[nth] = base
         for symbol, target in moves[0].items():
@@ -225,34 +244,35 @@ def phrases(model: Model, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray
     return np.stack([np.bincount(owner, weights=c, minlength=texts) for c in count]) if n_lang else np.zeros((0, texts))
 
 
-def train(docs: DataFrame, text: str, lang: str, id_column: str, bounds: Bounds = Bounds()) -> Model:
-    """Model from rows with a language and a text. The sample is the rows whose hash is least, up to `bounds` per language;
-    longer rows than `row_chars` are left out of it. Ties of the hash are broken by the id."""
-    named = docs.filter(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull() & (F.length(f"`{text}`") <= bounds.row_chars))
-    keyed = named.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{id_column}`").alias("id"))
-    counts = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+def train(docs: DataFrame, text: str, lang: str, id_column: str | None = None, bounds: Bounds = Bounds()) -> Model:
+    """Model from rows with a language and a text. The sample of a language is its distinct texts whose hash is least, so
+    copies and repeated ids count once and `id_column` is not read; of a text longer than `row_chars` it has a piece of that
+    length from a place that the hash draws."""
+    drawn = F.pmod(F.xxhash64(F.lit("language sample"), "text"), F.lit(1 << 40))
+    named = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")).dropna().withColumn("draw", drawn)
+    counts = named.groupBy("lang").agg(F.approx_count_distinct("draw").alias("texts"))
     few = counts.limit(bounds.languages + 1).collect()
     if len(few) > bounds.languages:
         raise ValueError(f"more than {bounds.languages} languages")
     if not few:
         return build([], [], bounds)
-    # The least draws of a language are among those below a bar that four times as many are expected to pass, so only a few
-    # rows per language are put in order.
-    draw = F.xxhash64(F.lit("language sample"), "id")
-    bars = keyed.sparkSession.createDataFrame([(r.lang, min(1.0, 4.0 * bounds.rows_per_language / r.rows)) for r in few], "lang string, bar double")
-    below = keyed.join(F.broadcast(bars), "lang").filter(F.pmod(draw, F.lit(1 << 40)) < F.col("bar") * float(1 << 40)).select("lang", "id").distinct()
-    first = below.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(draw, F.lit(1 << 40)), "id"))).filter(F.col("place") <= bounds.rows_per_language)
+    # The least draws of a language are among those below a bar that four times as many distinct texts are expected to pass,
+    # so only a few rows per language are put in order.
+    spark = docs.sparkSession
+    bars = spark.createDataFrame([(r.lang, min(1.0, 4.0 * bounds.rows_per_language / max(1, r.texts))) for r in few], "lang string, bar double")
+    below = named.join(F.broadcast(bars), "lang").filter(F.col("draw") < F.col("bar") * float(1 << 40)).select("lang", "draw").distinct()
+    first = below.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).filter(F.col("place") <= bounds.rows_per_language)
     chosen = first.collect()
     if not chosen:
         return build([], [], bounds)
-    picked = docs.sparkSession.createDataFrame([(r.lang, r.id) for r in chosen], "lang string, id " + dict(keyed.dtypes)["id"])
-    rows = named.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    sample = rows.join(F.broadcast(picked), (rows["lang"] == picked["lang"]) & rows["id"].eqNullSafe(picked["id"]), "left_semi")
-    # repeated rows of an id count once
-    least = sample.groupBy("lang", "id").agg(F.min("text").alias("text")).collect()
-    languages = sorted({r.lang for r in least})
-    ordered = sorted(least, key=lambda r: (r.lang, r.text))
-    return build(languages, [pa.array([r.text for r in ordered if r.lang == x], pa.large_string()) for x in languages], bounds)
+    picked = spark.createDataFrame([(r.lang, r.draw) for r in chosen], "lang string, draw long")
+    # the place is drawn among all places at which a whole piece fits
+    place = F.pmod(F.xxhash64(F.lit("piece"), "draw"), F.greatest(F.lit(1), F.length("text") - bounds.row_chars + 1)).cast("int") + 1
+    piece = F.col("text").substr(place, F.lit(bounds.row_chars)).alias("piece")
+    sample = named.join(F.broadcast(picked), ["lang", "draw"], "left_semi").select("lang", "draw", piece).distinct().collect()
+    languages = sorted({r.lang for r in sample})
+    ordered = sorted(sample, key=lambda r: (r.lang, r.draw, r.piece))
+    return build(languages, [pa.array([r.piece for r in ordered if r.lang == x], pa.large_string()) for x in languages], bounds)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

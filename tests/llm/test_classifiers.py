@@ -95,6 +95,29 @@ def test_no_language_wins_by_lack_of_letters_or_text(spark):
     assert [r for r in found if r.lang_pred != r.lang or not r.score > 0.5] == []
 
 
+def test_every_sampled_text_has_its_share():
+    t = ["a" * 30_000, "bc" * 30, "d" * 9000, ""]
+    symbols, _ = langid.letter_symbols([pa.array(t, pa.large_string())])
+    got = langid.sampled(*langid.to_symbols(pa.array(t, pa.large_string()), symbols), 10_003)
+    seen = np.bincount(got)
+    assert len(got) <= 10_003 and seen[1] == 4970 and seen[2] == seen[3] == 30 and seen[4] == 4970
+    assert len(langid.sampled(*langid.to_symbols(pa.array([t[0]], pa.large_string()), symbols), 500)) == 500
+
+
+def test_long_texts_copies_and_repeated_ids_leave_room_for_the_others(spark):
+    rng = random.Random(6)
+    say = lambda k, n: " ".join(rng.choice(SAYINGS[k].split()) for _ in range(n))
+    texts = [("en", "aa " * 6600, i) for i in range(40)]  # copies, first in order, that fill the model
+    texts += [("en", say("en", 30), 100 + i) for i in range(40)]
+    texts += [("de", say("de", 6000), 200 + i) for i in range(20)]  # only texts of more than 20000 characters
+    texts += [("xx", say("xx", 30), 300 + i % 3) for i in range(900)]  # few ids
+    docs = spark.createDataFrame([(i, t, k) for k, t, i in texts], "doc_id long, text string, lang string")
+    model = langid.train(docs, "text", "lang", "doc_id")
+    assert model.languages == ["de", "en", "xx"] and model.bits.min() > 12
+    tried = spark.createDataFrame([(i, say(k, 8), k) for i, k in enumerate(sorted(SAYINGS) * 20)], docs.schema)
+    assert [r for r in langid.identify(tried, model).collect() if r.lang_pred != r.lang or r.score < 0.9] == []
+
+
 def test_additive_model_learns_shapes_and_a_pair():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 4))
