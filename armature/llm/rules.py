@@ -31,7 +31,8 @@ class Rules:
     """Rules of a line, then of a document.
 
     A line breaks the punctuation rule if it has at least `wrap_words` words and no sentence end anywhere in it, or fewer
-    and does not end with one while being shorter than `short_words`; the navigation rule if separators stand between at
+    and does not end with one, unless it has `short_words` or more and is a wrapped part of a paragraph: the next line goes on
+    in lower case, or the last line before an empty one or the end of the text ends with a mark; the navigation rule if separators stand between at
     least `bar_share` of its words; the symbol rule if at least `symbol_share` of its characters are symbols; the capitals
     rule if at least `capital_share` of its (five or more) words are in capitals and end in a mark; and the boilerplate
     rule if it is no longer than `boilerplate_words` and matches `boilerplate`.
@@ -149,13 +150,30 @@ def _bad_lines(data, words, word_line, lines, line_words, chars, symbols_before,
     capitals = np.bincount(word_line[shouted], minlength=count)
 
     some = np.maximum(1, line_words)
-    punctuation = np.where(line_words >= rules.wrap_words, ~inner, ~ends & (line_words < rules.short_words))
+    wrapped = _wrapped(lines, line_words, ends, pc.match_substring_regex(texts, r"^[\s\"'“”‘’«»(\[]*\p{Ll}").to_numpy(zero_copy_only=False))
+    punctuation = np.where(line_words >= rules.wrap_words, ~inner, ~ends & ((line_words < rules.short_words) | ~wrapped))
     navigation = (bars >= 2) & (bars >= rules.bar_share * some)
     noisy = symbols >= rules.symbol_share * line_chars
     shouting = (line_words >= 5) & (capitals >= rules.capital_share * some)
     return (line_words > 0) & (punctuation | navigation | noisy | shouting | (boilerplate & (line_words <= rules.boilerplate_words)))
 
 
+def _wrapped(lines, line_words: np.ndarray, ends: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Which lines the next line of their paragraph goes on in lower case, or whose paragraph ends with a mark."""
+    out = np.zeros(len(lines), bool)
+    full = np.flatnonzero(line_words > 0)
+    if not len(full):
+        return out
+    owner = lines.text_index()[full]
+    follows = np.zeros(len(full), bool)  # the next line is in the same paragraph: one newline is between
+    follows[:-1] = (owner[1:] == owner[:-1]) & (lines.start[full[1:]] - lines.end[full[:-1]] == 1)
+    last = np.flatnonzero(~follows)
+    goes_on = follows.copy()
+    goes_on[:-1] &= lower[full[1:]]
+    out[full] = goes_on | ends[full[last[np.searchsorted(last, np.arange(len(full)))]]]
+    return out
+
+
 def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """Text ranges that follow each other, as one string array over the same bytes."""
     joined = np.empty(2 * len(start) + 1, np.int64)

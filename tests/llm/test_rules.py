@@ -54,6 +54,18 @@ def test_lines_that_break_a_rule_go(spark):
         assert r.n_removed_lines == 1 and r.clean_text == f"{GOOD}\n{GOOD} It is over.", r
 
 
+def test_lines_without_an_end_go_unless_they_are_wrapped(spark):
+    menu = "Home Products About us Contact"
+    wrapped = "A long sentence that was cut by its writer at\nEaster and goes on here\nwith a few more words, and ends."
+    texts = {1: f"{GOOD}\n\n{menu}\n\n{wrapped}", 2: f"{menu} Help\n{menu} News\n{menu} Jobs", 3: wrapped, 4: f"{GOOD} It goes on\nover the line without an end"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in rules.apply_rules(docs).collect()}
+    assert found[1].n_removed_lines == 1 and found[1].clean_text == f"{GOOD}\n\n\n{wrapped}" and found[1].kept
+    assert found[2].n_removed_lines == 3 and not found[2].kept
+    assert found[3].n_removed_lines == 0 and found[3].kept
+    assert found[4].clean_text == f"{GOOD} It goes on\n"
+
+
 def test_documents_that_lose_too_much_go(spark):
     bad = BAD["navigation"]
     docs = spark.createDataFrame([(1, f"{GOOD}\n{bad}"), (2, f"{GOOD}\n" + "\n".join(f"{bad} | {i}" for i in range(9))), (3, GOOD)], "doc_id long, text string")
