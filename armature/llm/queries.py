@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import chat, decontaminate, langid, mixing, quality, rollups, rules, simhash, textkit, toxicity, warc
+from armature.llm import chat, decontaminate, langid, lexical, mixing, quality, rollups, rules, simhash, textkit, toxicity, warc
 from armature.sources.sinks import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,35 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         warc.page_id_of(F.col("refers_to")).alias("refers_to"),
     )
+
+
+LEXICAL_SQL = r"""
+WITH held AS (
+    SELECT doc_id, row_number() OVER () AS place, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), counted AS (
+    SELECT place, doc_id, term, count(*) AS tf FROM held GROUP BY ALL
+), sizes AS (
+    SELECT place, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY place
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, totals GROUP BY term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, place, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (place), totals GROUP BY item_id, doc_id, place
+), ranked AS (
+    SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", LEXICAL_SQL)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item, over an index of all documents and all their terms."""
+    index = lexical.build_index(table(spark, folder, "documents"), scratch(spark, "lexical"))
+    return lexical.search(spark, index, table(spark, folder, "benchmark"), k=10)
