@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import chat, decontaminate, langid, lexical, mixing, quality, rollups, rules, simhash, textkit, toxicity, warc
+from armature.llm import chat, decontaminate, langid, lexical, mixing, quality, rollups, rules, simhash, textkit, toxicity, trie, warc
 from armature.sources.sinks import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,60 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best documents for every benchmark item, over an index of all documents and all their terms."""
     index = lexical.build_index(table(spark, folder, "documents"), scratch(spark, "lexical"))
     return lexical.search(spark, index, table(spark, folder, "benchmark"), k=10)
+
+
+TRIE_SQL = r"""
+WITH said AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT DISTINCT conv_id, encode(CAST(conv_id AS VARCHAR)) AS digits FROM said
+), sums AS (
+    SELECT conv_id, list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, octet_length(digits) + 1), lambda i: CAST(ord(CAST(CAST(conv_id AS VARCHAR)[i] AS VARCHAR)) AS BIGINT)),
+        lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)) AS state
+    FROM ids
+), heads AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS head, xor(state, CAST(4294967295 AS BIGINT)) % 9 AS h FROM sums
+), rebuilt AS (
+    SELECT h.conv_id, s.place, s.role, s.text FROM heads h JOIN said s ON s.conv_id = h.head AND s.place <= h.h
+    UNION ALL SELECT h.conv_id, s.place, s.role, s.text FROM heads h JOIN said s ON s.conv_id = h.conv_id AND s.place > h.h
+), numbered AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth, text, sha256(length(role) || ':' || role || text) AS key FROM rebuilt
+), prefixes AS (
+    SELECT conv_id, depth, CAST(octet_length(encode(text)) AS BIGINT) AS bytes, string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix FROM numbered
+    UNION ALL SELECT conv_id, 0, 0, '' FROM heads
+), keyed AS (
+    SELECT conv_id, depth, bytes, sha256(prefix) AS node, sha256(substr(prefix, 1, length(prefix) - 64)) AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes
+), nodes AS (
+    SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(above) AS above, any_value(bytes) AS bytes, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM keyed GROUP BY node
+), children AS (
+    SELECT above AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above
+), counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (node)
+), subtree AS (
+    SELECT k.node, sum(CASE WHEN c.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((c.n_convs - 1) * c.bytes) AS saved_tokens
+    FROM counted c JOIN keyed k ON k.conv_id = c.conv_id AND k.depth <= c.depth GROUP BY k.node
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, CASE WHEN c.depth > 0 THEN p.conv_id END AS parent_conv_id, c.n_convs, c.n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtree USING (node) LEFT JOIN nodes p ON p.node = c.above AND p.depth = c.depth - 1
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt: its first h turns are those of the conversation whose id is the next lower
+    multiple of 5, with h from the crc32 of its own id."""
+    own = trie.sequences(table(spark, folder, "conversations"))
+    head = own.select(F.col("id").alias("head_id"), F.col("turns").alias("head"))
+    shared = F.crc32(F.col("id").cast("string").cast("binary")) % 9
+    both = own.join(head, F.col("id") - F.col("id") % 5 == F.col("head_id"), "left")
+    none = F.slice("turns", 1, 0)
+    turns = F.concat(F.coalesce(F.slice("head", F.lit(1), shared.cast("int")), none), F.slice("turns", (shared + 1).cast("int"), F.greatest(F.size("turns") - shared, F.lit(0)).cast("int")))
+    nodes, ends = trie.prefix_trie(both.select("id", turns.alias("turns")))
+    digests = trie.ends_digest(ends)
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return nodes.join(digests, ["conv_id", "depth"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", nothing))

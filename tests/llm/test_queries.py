@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="supplied tabl
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
