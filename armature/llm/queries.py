@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from armature.llm import chat, decontaminate, langid, lexical, mixing, quality, rollups, rules, simhash, textkit, toxicity, trie, warc
+from armature.llm import chat, decontaminate, langid, lexical, mixing, pii, quality, rollups, rules, simhash, textkit, toxicity, trie, warc
 from armature.sources.sinks import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -280,3 +280,13 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     digests = trie.ends_digest(ends)
     nothing = F.sha2(F.lit("").cast("binary"), 256)
     return nodes.join(digests, ["conv_id", "depth"], "left").withColumn("ends_sha256", F.coalesce("ends_sha256", nothing))
+
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: strict spans, and those that the trees add."""
+    docs = table(spark, folder, "documents")
+    found = pii.detect(docs, pii.train(docs), keep=["doc_id"], redact=False)
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s, k=kind: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
