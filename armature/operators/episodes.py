@@ -6,7 +6,8 @@ to cross a segment border does so explicitly:
 
 * `with_neighbours` copies the few rows next to a border into the adjacent segment (lag / lead by a constant);
 * `fill_from_previous` / `fill_from_next` exchange one summary row per segment (unbounded scans);
-* `with_episode_facts` does the same for whole-episode aggregates, and joins them on (episode, segment).
+* `with_episode_facts` does the same for whole-episode aggregates, and joins them on (episode, segment);
+* `with_scans` does all of these in one pass, with one shuffle of the rows.
 
 There is one plan for every size: a short episode is an episode of one segment.
 """
@@ -151,6 +152,83 @@ def with_episode_facts(
     return df.withColumn("__segment", seg).join(table, [*keys, "__segment"]).drop("__segment")
 
 
+def with_scans(
+    df: DataFrame,
+    order: Sequence[str] = ("timestep",),
+    block: Column | None = None,
+    *,
+    forward: Mapping[str, Column] | None = None,
+    backward: Mapping[str, Column] | None = None,
+    following: Mapping[str, Column] | None = None,
+    preceding: Mapping[str, Column] | None = None,
+    first: Mapping[str, Column] | None = None,
+    final: Mapping[str, Column] | None = None,
+    position: str | None = None,
+    length: str | None = None,
+    keys: Sequence[str] = EPISODE,
+    rows: int = SEGMENT_ROWS,
+) -> DataFrame:
+    """Several scans of each episode at once: rows are shuffled once, by (episode, block), whatever is asked for.
+
+    For each name: `forward` is the last non-null value at or before a step, `backward` the first one at or after it, `following`
+    and `preceding` the values of the next step and of the one before (null at the ends), `first` the first non-null value of the episode, `final` the value of its last
+    step. `position` counts steps from 0 and `length` is their number. `order` must be unique in an episode and `block` must not
+    decrease along it (default: segments of `timestep`). What crosses a block border comes from one narrow row per block.
+    """
+    forward, backward, following, preceding, first, final = (dict(x or {}) for x in (forward, backward, following, preceding, first, final))
+    at = F.struct(*order)
+    named = df.withColumns(
+        {
+            "__block": segment_of(F.col("timestep"), rows) if block is None else block,
+            **{f"__{kind}_{n}": c for kind, asked in (("f", forward), ("b", backward), ("n", following), ("p", preceding), ("o", first), ("l", final)) for n, c in asked.items()},
+        }
+    )
+    up = Window.partitionBy(*keys, "__block").orderBy(*order)
+    down = Window.partitionBy(*keys, "__block").orderBy(*[F.desc(c) for c in order])
+    until = (Window.unboundedPreceding, 0)
+    local = named.select("*", F.row_number().over(up).alias("__row"), *[F.last(f"__f_{n}", ignorenulls=True).over(up.rowsBetween(*until)).alias(f"__fi_{n}") for n in forward], *[F.lead(f"__n_{n}", 1).over(up).alias(f"__ni_{n}") for n in following], *[F.lag(f"__p_{n}", 1).over(up).alias(f"__pi_{n}") for n in preceding])
+    if backward:
+        local = local.select("*", *[F.last(f"__b_{n}", ignorenulls=True).over(down.rowsBetween(*until)).alias(f"__bi_{n}") for n in backward])
+
+    def when_known(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), at)
+
+    # a value that may be null is wrapped, so that null is told from none
+    whole = lambda c: F.struct(F.col(c).alias("v"))
+    summary = named.groupBy(*keys, "__block").agg(
+        F.count(F.lit(1)).alias("__size"),
+        *[F.max_by(f"__f_{n}", when_known(f"__f_{n}")).alias(f"__fs_{n}") for n in forward],
+        *[F.min_by(f"__b_{n}", when_known(f"__b_{n}")).alias(f"__bs_{n}") for n in backward],
+        *[F.min_by(whole(f"__n_{n}"), at).alias(f"__ns_{n}") for n in following],
+        *[F.max_by(whole(f"__p_{n}"), at).alias(f"__ps_{n}") for n in preceding],
+        *[F.min_by(f"__o_{n}", when_known(f"__o_{n}")).alias(f"__os_{n}") for n in first],
+        *[F.max_by(whole(f"__l_{n}"), at).alias(f"__ls_{n}") for n in final],
+    )
+    rise, fall = Window.partitionBy(*keys).orderBy("__block"), Window.partitionBy(*keys).orderBy(F.desc("__block"))
+    before, all_ = rise.rowsBetween(Window.unboundedPreceding, -1), rise.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = summary.select(
+        *keys, "__block", "__size",
+        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+        F.sum("__size").over(all_).alias("__all"),
+        *[F.last(f"__fs_{n}", ignorenulls=True).over(before).alias(f"__fo_{n}") for n in forward],
+        *[F.last(f"__bs_{n}", ignorenulls=True).over(fall.rowsBetween(Window.unboundedPreceding, -1)).alias(f"__bo_{n}") for n in backward],
+        *[F.lead(f"__ns_{n}", 1).over(rise)["v"].alias(f"__no_{n}") for n in following],
+        *[F.lag(f"__ps_{n}", 1).over(rise)["v"].alias(f"__po_{n}") for n in preceding],
+        *[F.first(f"__os_{n}", ignorenulls=True).over(all_).alias(f"__oo_{n}") for n in first],
+        *[F.last(f"__ls_{n}").over(all_)["v"].alias(f"__lo_{n}") for n in final],
+    )
+    out = {n: F.coalesce(f"__fi_{n}", f"__fo_{n}") for n in forward} | {n: F.coalesce(f"__bi_{n}", f"__bo_{n}") for n in backward}
+    out |= {n: F.when(F.col("__row") == F.col("__size"), F.col(f"__no_{n}")).otherwise(F.col(f"__ni_{n}")) for n in following}
+    out |= {n: F.when(F.col("__row") == 1, F.col(f"__po_{n}")).otherwise(F.col(f"__pi_{n}")) for n in preceding}
+    out |= {n: F.col(f"__oo_{n}") for n in first} | {n: F.col(f"__lo_{n}") for n in final}
+    if position:
+        out[position] = (F.col("__before") + F.col("__row") - 1).cast("int")
+    if length:
+        out[length] = F.col("__all").cast("int")
+    joined = local.join(carried, [*keys, "__block"])
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in out], *[c.alias(n) for n, c in out.items()])
+
+
 def with_length(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     if "episode_len" in df.columns:
         return df

@@ -12,11 +12,8 @@ from armature.functions import vectors as V
 from armature.operators.episodes import (
     EPISODE,
     SEGMENT_ROWS,
-    fill_from_next,
-    fill_from_previous,
     segment_of,
-    with_episode_facts,
-    with_neighbours,
+    with_scans,
     with_timestep,
 )
 from armature.operators.ordering import with_position
@@ -25,19 +22,16 @@ from armature.operators.ordering import with_position
 def binarize_gripper(df: DataFrame, gripper: Column, name: str = "gripper", keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """In-between values take the open / closed state reached after them; a trailing run keeps the raw last value.
 
-    Both cases are one backward scan: the last step contributes its state or, failing that, its raw value.
+    Both come from one backward scan and the raw value of the last step.
     """
-    last = with_episode_facts(df, {"__last": (F.max("timestep"), "max")}, keys, rows)
-    tail = F.when(F.col("timestep") == F.col("__last"), gripper)
-    return fill_from_next(last, {name: F.coalesce(A.gripper_state(gripper), tail)}, keys, rows).drop("__last")
+    found = with_scans(df, backward={"__state": A.gripper_state(gripper)}, final={"__raw": gripper}, keys=keys, rows=rows)
+    return found.withColumn(name, F.coalesce("__state", "__raw")).drop("__state", "__raw")
 
 
 def absolute_gripper(df: DataFrame, relative: Column, name: str = "gripper", keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Relative open / close commands -> 1 open, 0 closed. Before the first command the state is its opposite."""
     motion = A.gripper_motion(relative)
-    first = F.min_by(motion, F.when(motion.isNotNull(), F.col("timestep")))
-    known = with_episode_facts(df, {"__first": (first, "first")}, keys, rows)
-    held = fill_from_previous(known, {"__held": motion}, keys, rows)
+    held = with_scans(df, forward={"__held": motion}, first={"__first": motion}, keys=keys, rows=rows)
     state = F.coalesce(F.col("__held"), -F.col("__first"), F.lit(1.0))
     return held.withColumn(name, state / 2.0 + 0.5).drop("__held", "__first")
 
@@ -52,7 +46,7 @@ def relabel_by_reached_state(
 ) -> DataFrame:
     """Replace the motion part of the action by the state change that followed; the last step has none and is dropped."""
     named = df.withColumn("__state", V.doubles(state))
-    ahead = with_neighbours(named, {"__next": ("__state", 1)}, keys, rows).filter(F.col("__next").isNotNull())
+    ahead = with_scans(named, following={"__next": F.col("__state")}, keys=keys, rows=rows).filter(F.col("__next").isNotNull())
     moved = [F.col("__next")[i] - F.col("__state")[i] for i in range(moves)]
     return ahead.withColumn(action, F.array(*moved, V.at(action, -1))).drop("__state", "__next")
 
@@ -65,12 +59,12 @@ def mark_noops(
     Dropped steps share the gripper of the kept step before them, so the raw predecessor's gripper is the kept one's;
     before the first real motion nothing is kept and only the motion counts.
     """
+    # the first real motion is at or before a step if a scan so far has met one
     marked = df.withColumn("__small", small)
-    start = F.min(F.when(~F.col("__small"), F.col("timestep")))
-    facts = with_episode_facts(marked, {"__start": (start, "min")}, keys, rows)
-    near = with_neighbours(facts, {"__before": (gripper, -1)}, keys, rows)
-    changed = (F.col("timestep") > F.col("__start")) & (F.col(gripper) != F.col("__before"))
-    return near.withColumn("is_noop", F.col("__small") & ~F.coalesce(changed, F.lit(False))).drop("__small", "__start", "__before")
+    met = F.when(~F.col("__small"), F.col("timestep"))
+    found = with_scans(marked, forward={"__met": met}, preceding={"__before": F.col(gripper)}, keys=keys, rows=rows)
+    changed = (F.col("__met") < F.col("timestep")) & (F.col(gripper) != F.col("__before"))
+    return found.withColumn("is_noop", F.col("__small") & ~F.coalesce(changed, F.lit(False))).drop("__small", "__met", "__before")
 
 
 def without_noops(df: DataFrame, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:

@@ -10,6 +10,7 @@ from armature.functions import vectors as V
 from armature.operators import layout as L
 from armature.operators import motion
 from armature.operators import standardize as S
+from armature.operators.ordering import time_block
 from armature.plans import views as W
 from armature.plans.jobs_sources import ACTIONS, NOOP_SQL, STATES, noop_marked
 from armature.plans.registry import job, r6, sql_r6, sql_wide, text_of, wide
@@ -607,22 +608,95 @@ def standardize_state_only_family(spark, d):
     return a.unionByName(b)
 
 
+# Every registered dataset in one table: an episode belongs to dataset number (user modulo 73), in registry order.
+NAMES = list(S.registry())
+#: Raw fields of a step, as elements of the view's action (a0..a6) and state (s0..s7), `g` for the relative gripper command and q0..q3
+#: for a unit quaternion. Fields that are not listed are the whole state, and `action` is a0..a6 unless a layout says otherwise.
+RAW_FIELDS = {
+    "action": "a0 a1 a2 a3 a4 a5 a6", "action.world_vector": "a0 a1 a2", "action.rotation_delta": "a3 a4 a5", "action.open_gripper": "a6", "action.gripper_closedness_action": "g",
+    "action.rel_actions_world": "a0 a1 a2 a3 a4 a5 a6", "action.future/xyz_residual": "a0 a1 a2 s0", "action.future/axis_angle_residual": "a3 a4 a5 s1", "action.future/target_close": "a6",
+    "action_dict.cartesian_velocity": "a0 a1 a2 a3 a4 a5", "action_dict.gripper_position": "a6", "action.tcp_base": "a0 a1 a2 a3 a4 a5", "action.gripper": "a6",
+}
+LONG, TURNED = "a0 a1 a2 a3 a4 a5 a6 s0", "a0 a1 a2 q0 q1 q2 q3 a6"
+RAW_ACTIONS = {"language_table": "a0 a1", "gnm": "a0 a1", "d3field": "a0 a1 a2", "fanuc": "a0 a1 a2 a3 a4 a5"}
+RAW_ACTIONS |= dict.fromkeys(["without_last", "joints_without_last", "eef_without_last", "stretch", "franka_play", "roboset"], LONG) | dict.fromkeys(["furniture", "iamlab", "food"], TURNED)
+# what each layout makes of them, in SQL; the others leave a0..a6 as they are
+MOVED, CLIPPED, GRASP = "a0 a1 a2 a3 a4 a5", "greatest(0e0,least(1e0,a6))", "greatest(0e0,least(1e0,grip_rel))"
+SHORT, TURN = "a0 a1 a2 0e0 0e0 0e0", "a0 a1 a2 e0 e1 e2"
+MADE = {
+    "bridge_split": "m0 m1 m2 m3 m4 m5 a6", "bridge": "m0 m1 m2 m3 m4 m5 settled", "teleop": f"{MOVED} settled", "relative": f"{MOVED} commanded", "taco": f"{MOVED} {CLIPPED}",
+    "jaco": f"{SHORT} commanded", "cable": f"{MOVED} 0e0", "roboturk": f"{MOVED} 1-{GRASP}", "viola": f"{MOVED} 1-{GRASP}", "autolab": f"{MOVED} commanded",
+    "language_table": "a0 a1 0e0 0e0 0e0 0e0 1e0", "pusht": f"{MOVED} grip_rel", "kuka_multimodal": f"{SHORT} a6", "hydra": f"{MOVED} 1-a6", "state8": f"{MOVED} 1-{CLIPPED}",
+    "franka_play": f"{MOVED} {CLIPPED}", "furniture": f"{TURN} 1-{CLIPPED}", "pick_place": f"{SHORT} a6", "clipped_flipped": f"{MOVED} 1-{CLIPPED}", "bc_z": f"{MOVED} 1-a6",
+    "robo_net": "a0 a1 a2 a3 0e0 0e0 a6", "kaist": f"{MOVED} 0e0", "mask_vit": "a0 a1 a2 a3 0e0 0e0 a6", "flipped": f"{MOVED} 1-a6", "iamlab": f"{TURN} a6",
+    "d3field": "a0 a1 a2 0e0 0e0 0e0 0e0", "fanuc": f"{MOVED} 1-s6", "food": f"{TURN} a6", "gnm": "a0 a1 0e0 0e0 0e0 0e0 0e0", "droid": f"{MOVED} 1-a6",
+    "droid_single": f"{MOVED} 1-a6", "roboset": f"{MOVED} a6 1-greatest(0e0,least(1e0,s0))", "libero": f"{MOVED} 1-{CLIPPED}",
+}
+# observation fields checked: the first numbers of the first field of each layout, where it has one
+FIELD = {
+    "bridge_split": "s0 s1", "bridge": "s0 s1", "teleop": "s0 s1", "taco": "s0 s1", "jaco": "s0 s1", "autolab": "s6 s7", "nyu_rot": "s0 s1", "hydra": "s0 s1", "state8": "s0 s1",
+    "franka_play": "s2 s3", "maniskill": "s7 NULL", "furniture": "s0 s1", "joints_without_last": "s0 s1", "pick_place": "s0 s1", "eef_without_last": "s0 s1", "robo_net": "s0 s1", "kaist": "s1 s2",
+    "mask_vit": "s0 s1", "eef_only": "s0 s1", "state6": "s0 s1", "asu": "s0 s1", "iamlab": "s0 s1", "fanuc": "s0 s1", "stretch": "s0 s1", "gnm": "s0 s1", "droid": "s0 s1", "droid_single": "s0 s1",
+    "fmb": "s0 s1", "dobbe": "s0 s1", "roboset": "s0 s1", "rh20t": "s0 s1", "libero": "s0 s1",
+}
+LAYOUT_OF = [next(n for n, r in S.LAYOUTS.items() if r is S.registry()[name]) for name in NAMES]
+
+
+def chosen_sql(made: dict[str, str], i: int, default: str) -> str:
+    """CASE over the layouts: expression i of each."""
+    ways = {}
+    for layout, row in made.items():
+        parts = row.split()
+        if layout in LAYOUT_OF and i < len(parts) and parts[i] != default:
+            ways.setdefault(parts[i], []).append(layout)
+    cases = " ".join(f"WHEN layout IN ({', '.join(repr(x) for x in of)}) THEN {e}" for e, of in ways.items())
+    return f"CASE {cases} ELSE {default} END" if cases else default
+
+
+MIXED_VALUES = ", ".join(
+    [
+        *[sql_r6(chosen_sql(MADE, i, f"a{i}" if i < 7 else "NULL"), f"a{i}") for i in range(8)],
+        *[sql_r6(chosen_sql(FIELD, i, "NULL"), f"f{i}") for i in range(2)],
+    ]
+)
+MIXED_SQL = {
+    "named": f"SELECT *, [{', '.join(repr(n) for n in NAMES)}][CAST(episode_id % 73 AS INT) + 1] AS dataset, [{', '.join(repr(n) for n in LAYOUT_OF)}][CAST(episode_id % 73 AS INT) + 1] AS layout, 0.6e0 * sin(a1) AS x, 0.8e0 * sin(a1) AS y, 0e0 AS z, cos(a1) AS w FROM v_steps",
+    "turned": f"SELECT *, {', '.join(f'{e} AS e{i}' for i, e in enumerate(EULER))} FROM named",
+    "b": BINARY_SQL.format(p="episode_id", t="turned").replace(" AS gripper", " AS settled"),
+    "r": RELATIVE_SQL.replace("FROM v_steps", "FROM b").replace(" AS gripper", " AS commanded"),
+    "m": REACHED_SQL.format(t="r"),
+}
+
+
+def mixed_steps(spark, d):
+    """All steps in the common slots; which field stands in a slot depends on the dataset of the row."""
+    rows = W.step_rows(spark, d)
+    turn = F.col("action")[1]
+    value = {f"a{i}": F.col("action")[i] for i in range(7)} | {f"s{i}": F.col("state")[i] for i in range(8)} | {"g": F.col("grip_rel")}
+    value |= {"q0": 0.6 * F.sin(turn), "q1": 0.8 * F.sin(turn), "q2": F.lit(0.0), "q3": F.cos(turn)}
+    slots: dict[str, dict[str, list[str]]] = {}  # slot -> elements -> layouts
+    for layout in dict.fromkeys(LAYOUT_OF):
+        for path, slot in S.slots_of(S.LAYOUTS[layout]).items():
+            made = RAW_ACTIONS.get(layout, RAW_FIELDS["action"]) if path == "action" else RAW_FIELDS.get(path, "s0 s1 s2 s3 s4 s5 s6 s7")
+            slots.setdefault(slot, {}).setdefault(made, []).append(layout)
+    number = F.col("episode_id") % len(NAMES)
+    nth = lambda names: F.element_at(F.split(F.lit(",".join(names)), ","), (number + 1).cast("int"))
+    named = rows.select(nth(NAMES).alias("dataset_name"), nth(LAYOUT_OF).alias("layout"), "episode_id", "ts", "event_id", "language_instruction", "action", "state", "grip_rel")
+    columns = []
+    for i in range(S.slot_count()):
+        found = None
+        for made, of in slots[f"slot{i}"].items():
+            way = F.expr(f"layout IN ({', '.join(repr(x) for x in of)})"), F.array(*[value[e] for e in made.split()])
+            found = F.when(*way) if found is None else found.when(*way)
+        columns.append(found.alias(f"slot{i}"))
+    return named.select("dataset_name", "episode_id", "ts", "event_id", "language_instruction", F.col("language_instruction").alias("slot_text"), *columns)
+
+
 @job(
     "standardize_dispatch",
-    W.sql(
-        "v_steps",
-        f"""SELECT {KEY}, language_instruction, {sql_wide([f'm{i}' for i in range(6)] + ['gripper'], 'a')} FROM m WHERE m0 IS NOT NULL AND dataset_name = 'ds_a'
-        UNION ALL SELECT {KEY}, language_instruction, {sql_wide([*ACTIONS[:6], 'gripper'], 'a')} FROM r WHERE dataset_name = 'ds_b'
-        UNION ALL SELECT {KEY}, language_instruction, {sql_wide([*ACTIONS[:6], f'1 - {CLIP4}'], 'a')} FROM v_steps WHERE dataset_name = 'ds_c'""",
-        **BRIDGE_CTES,
-        r=RELATIVE_SQL,
-    ),
+    W.sql("v_steps", f"SELECT dataset AS dataset_name, episode_id, CAST(timestep - CASE WHEN layout LIKE 'bridge%' THEN 1 ELSE 0 END AS INT) AS timestep, language_instruction, {MIXED_VALUES} FROM m WHERE layout NOT LIKE 'bridge%' OR (timestep > 0 AND m0 IS NOT NULL)", **MIXED_SQL),
 )
 def standardize_dispatch(spark, d):
-    plain = observed(W.steps(spark, d))
-    raw = {
-        "bridge_orig": plain.filter("dataset_name = 'ds_a'"),
-        "fractal20220817_data": relative_raw(spark, d).filter("dataset_name = 'ds_b'"),
-        "libero_spatial_no_noops": plain.filter("dataset_name = 'ds_c'"),
-    }
-    return S.standardize_each(raw).select(*KEYS, "language_instruction", *wide("action", "a", 7))
+    out = S.standardize_mixed(mixed_steps(spark, d), order=["ts", "event_id"], block=time_block(F.col("ts")))
+    field = F.get(F.map_values("observation"), F.lit(0))
+    return out.select(*KEYS, "language_instruction", *[r6(F.get("action", F.lit(i))).alias(f"a{i}") for i in range(8)], *[r6(F.get(field, F.lit(i))).alias(f"f{i}") for i in range(2)])

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,3 +217,24 @@ def test_goal_is_later_and_carries_its_observation(spark):
         for t, (g, image, said) in enumerate(goals):
             assert image == f"i{g}" and said == "go"
             assert t < g < len(goals) or (t == len(goals) - 1 == g)
+
+
+def test_scans_equal_plain_loops_over_tiny_blocks(spark):
+    draw = np.random.default_rng(9)
+    rows = []
+    for episode, n in enumerate([1, 2, 3, 7, 20, 33]):
+        for t in range(n):
+            rows.append(("d", episode, t, None if draw.random() < 0.6 else float(draw.integers(0, 9)), float(draw.integers(0, 9))))
+    df = spark.createDataFrame(rows, "dataset_name string, episode_id long, timestep int, v double, w double")
+    v, w = F.col("v"), F.col("w")
+    got = E.with_scans(df, forward={"f": v}, backward={"b": v}, following={"n": v, "m": w}, preceding={"p": v}, first={"o": v}, final={"l": v}, position="at", length="size", rows=3)
+    assert got.columns == [*df.columns, "f", "b", "n", "m", "p", "o", "l", "at", "size"]
+    found = {(r.episode_id, r.timestep): r for r in got.collect()}
+    assert len(found) == len(rows)
+    known = lambda xs: next((x for x in xs if x is not None), None)
+    for (episode, t), r in found.items():
+        vs = [x[3] for x in rows if x[1] == episode]
+        ws = [x[4] for x in rows if x[1] == episode]
+        end = t == len(vs) - 1
+        want = (known(vs[t::-1]), known(vs[t:]), None if end else vs[t + 1], None if end else ws[t + 1], vs[t - 1] if t else None, known(vs), vs[-1], t, len(vs))
+        assert (r.f, r.b, r.n, r.m, r.p, r.o, r.l, r.at, r["size"]) == want

@@ -201,3 +201,33 @@ def test_short_bridge_episodes(spark, length):
     raw, *_ = CASES["bridge_orig"]
     got = S.standardize(raw_table(spark, raw).filter(F.col("timestep") < length), "bridge_orig").count()
     assert got == max(0, length - 2)
+
+
+def test_many_datasets_at_once(spark):
+    """One call for all layouts gives what the recipe of each dataset gives, over blocks of two steps."""
+    parts = []
+    for number, (dataset, (raw, *_)) in enumerate(CASES.items()):
+        parts.append(S.to_slots(raw_table(spark, raw).withColumn("episode_id", F.lit(number).cast("long")), dataset))
+    steps = parts[0]
+    for p in parts[1:]:
+        steps = steps.unionByName(p)
+    rows = S.standardize_mixed(steps, rows=2).collect()
+    assert len(steps.columns) == len(S.SLOT_KEYS) + 1 + S.slot_count()
+    for dataset, (raw, action, fields) in CASES.items():
+        got = sorted((r for r in rows if r["dataset_name"] == dataset), key=lambda r: r["timestep"])
+        if action is not None:
+            assert np.allclose([r["action"] for r in got], action), dataset
+        assert [r["timestep"] for r in got] == list(range(len(got))), dataset
+        recipe = S.registry()[dataset]
+        assert {n for r in got for n in r["observation"]} == set(recipe.fields)
+        for name in recipe.fields:
+            if name in fields:
+                assert np.allclose([r["observation"][name] for r in got], fields[name]), (dataset, name)
+        assert {r["language_instruction"] for r in got} == {"hi" if dataset == "language_table" else "say it" if recipe.language is not None else "given"}
+
+
+def test_unregistered_datasets_are_an_error(spark):
+    raw, *_ = CASES["bridge_orig"]
+    steps = S.to_slots(raw_table(spark, raw), "bridge_orig").withColumn("dataset_name", F.lit("unknown"))
+    with pytest.raises(Exception, match="no recipe"):
+        S.standardize_mixed(steps).collect()
