@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from armature.functions.chance import uniform
@@ -142,10 +142,49 @@ def sample_frames(
     return located.join(epoch_orders(frames, key, epochs, seed), ["dataset_name", "epoch", "idx"])
 
 
+def least_draws(frames: DataFrame, key: Sequence[str], size: int, seed: int, bins: int = 1 << 16) -> DataFrame:
+    """The `size` frames whose draw is least (then by `key`), without ordering more than a sliver of them.
+
+    A histogram of the draws, at most `bins` counts, says below which draw everything is taken; the bin on the border is cut finer
+    until it holds few frames, and only those are put in order. Frames of equal keys draw alike and cannot be told apart.
+    """
+    drawn = frames.withColumn("__u", uniform(seed, *key))
+    low, high, left = 0.0, 1.0, size
+    while True:
+        width = (high - low) / bins
+        slot = F.least(F.floor((F.col("__u") - low) / width).cast("long"), F.lit(bins - 1))
+        counts = dict(drawn.filter((F.col("__u") >= low) & (F.col("__u") < high)).groupBy(slot.alias("slot")).count().collect())
+        taken, border = 0, None
+        for b in sorted(counts):
+            if taken + counts[b] > left:
+                border = b
+                break
+            taken += counts[b]
+        left -= taken
+        if border is None:  # there are no more frames than wanted
+            return drawn.filter(F.col("__u") < high).drop("__u")
+        low, high = low + border * width, low + (border + 1) * width
+        if counts[border] <= bins or width <= 2.0**-52:
+            break
+    edge = drawn.filter((F.col("__u") >= low) & (F.col("__u") < high)).orderBy("__u", *key).limit(left)
+    return drawn.filter(F.col("__u") < low).unionByName(edge).drop("__u")
+
+
 def fixed_buffer(frames: DataFrame, key: Sequence[str], size: int, seed: int) -> DataFrame:
     """The first `size` frames of a shuffle, kept on shared storage so that every later pass sees the same ones."""
-    drawn = frames.withColumn("__u", uniform(seed, *key))
-    return cut_lineage(drawn.orderBy("__u", *key).limit(size).drop("__u"))
+    return cut_lineage(least_draws(frames, key, size, seed))
+
+
+def kept_version(spark: SparkSession, folder: str, version: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What was kept under `version` of `folder`; if nothing was yet, `build()` is written there first, once.
+
+    Every later pass, in this session or another, reads the same rows. A write that failed leaves no version behind it.
+    """
+    path = f"{folder.rstrip('/')}/{version}"
+    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(home):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def buffered_order(frames: DataFrame, stored: str, buffer: int, seed: int, key: Sequence[str]) -> DataFrame:

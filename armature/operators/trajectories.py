@@ -65,19 +65,26 @@ def add_pad_masks(df: DataFrame) -> DataFrame:
     return df.withColumns(marks)
 
 
+def uniform_goal(seed: int = 0, keys: Sequence[str] = EPISODE) -> Column:
+    """The number of a uniformly chosen later step, from `timestep` and `episode_len`; the last step is its own goal."""
+    t = F.col("timestep")
+    u = uniform(seed, *keys, "timestep")
+    return F.least(F.floor(u * (F.col("episode_len") - (t + 1)) + t + 1).cast("int"), F.col("episode_len") - 1)
+
+
+def with_observed_time(df: DataFrame) -> DataFrame:
+    if "timestep" in _fields(df, "observation"):
+        return df
+    return df.withColumn("observation", F.col("observation").withField("timestep", F.col("timestep")))
+
+
 def goal_uniform(df: DataFrame, seed: int = 0, keys: Sequence[str] = EPISODE, rows: int = SEGMENT_ROWS) -> DataFrame:
     """Give each step a uniformly chosen later step as goal and merge that step's observation into `task`.
 
     The gather is an equi-join on (episode, goal step): its key is unique per step, so no episode is a hot key.
     """
-    timed = df if "timestep" in _fields(df, "observation") else df.withColumn(
-        "observation", F.col("observation").withField("timestep", F.col("timestep"))
-    )
-    sized = with_length(timed, keys, rows)
-    t = F.col("timestep")
-    u = uniform(seed, *keys, "timestep")
-    goal = F.least(F.floor(u * (F.col("episode_len") - (t + 1)) + t + 1).cast("int"), F.col("episode_len") - 1)
-    left = sized.withColumn("__goal", goal)
+    timed = with_observed_time(df)
+    left = with_length(timed, keys, rows).withColumn("__goal", uniform_goal(seed, keys))
     left = left if "episode_len" in df.columns else left.drop("episode_len")
     right = timed.select(*keys, F.col("timestep").alias("__goal"), F.col("observation").alias("__seen"))
     joined = left.join(right, [*keys, "__goal"])
@@ -126,6 +133,13 @@ def chunk(
     has_goal = "timestep" in _fields(df, "task")
     base = df if has_goal else with_length(df, keys, rows)
     near = with_neighbours(base, shifts, keys, rows) if shifts else base
+    return _chunked(near, window, future, action_dim)
+
+
+def _chunked(near: DataFrame, window: int, future: int, action_dim: int) -> DataFrame:
+    """Windows from the neighbours that stand in the row already: __o1, __p1, ... before it and __n1, ... after it."""
+    shifts = [*[f"__{kind}{k}" for k in range(1, window) for kind in "op"], *[f"__n{k}" for k in range(1, future + 1)]]
+    has_goal = "timestep" in _fields(near, "task")
     t = F.col("timestep")
     goal = F.col("task.timestep") if has_goal else F.col("episode_len") - 1
 
@@ -135,7 +149,7 @@ def chunk(
     observations = [past("__o", "observation", k) for k in range(window - 1, 0, -1)] + [F.col("observation")]
     actions = [past("__p", "action", k) for k in range(window - 1, 0, -1)] + [F.col("action")]
     ahead = F.array(F.col("action"), *[F.col(f"__n{k}") for k in range(1, future + 1)])
-    absolute = F.col("absolute_action_mask") if "absolute_action_mask" in df.columns else None
+    absolute = F.col("absolute_action_mask") if "absolute_action_mask" in near.columns else None
     for k in range(1, future + 1):
         reached = F.element_at(ahead, F.least(F.lit(k), goal - t).cast("int") + 1)
         still = [
@@ -163,7 +177,7 @@ def subsample(df: DataFrame, n: int, seed: int = 0, keys: Sequence[str] = EPISOD
 
 
 #: Goal relabeling and task augmentation are chosen by name.
-GOAL_STRATEGIES: dict[str, Callable[..., DataFrame]] = {"uniform": goal_uniform}
+GOAL_STEPS: dict[str, Callable[..., Column]] = {"uniform": uniform_goal}
 TASK_STRATEGIES: dict[str, Callable[..., DataFrame]] = {"delete_task_conditioning": delete_task_conditioning}
 
 
@@ -183,12 +197,8 @@ class TrajectoryOptions:
     subsample_seed: int = 0
 
 
-def transform(steps: DataFrame, options: TrajectoryOptions, train: bool = True) -> DataFrame:
-    """Filters, masks, goals, augmentation, chunks, subsample: in this order.
-
-    What is asked of whole episodes, by the filters and by the stages that need their length, is gathered in one pass.
-    """
-    o, tests = options, {}
+def _episode_tests(steps: DataFrame, o: TrajectoryOptions) -> dict[str, tuple]:
+    tests = {}
     if o.skip_unlabeled:
         if "language_instruction" not in _fields(steps, "task"):
             raise ValueError("skip_unlabeled needs task.language_instruction")
@@ -197,9 +207,70 @@ def transform(steps: DataFrame, options: TrajectoryOptions, train: bool = True)
         tests["__action"] = (F.min, lambda: within(F.col("action"), o.max_action), "min")
     if o.max_proprio is not None and "proprio" in _fields(steps, "observation"):
         tests["__proprio"] = (F.min, lambda: within(F.col("observation.proprio"), o.max_proprio), "min")
-    df = add_pad_masks(_whole_episodes(steps, tests, EPISODE, SEGMENT_ROWS, length=True))
-    if o.goal_strategy is not None:
-        df = GOAL_STRATEGIES[o.goal_strategy](df, **o.goal_kwargs)
+    return tests
+
+
+def plan_frames(steps: DataFrame, options: TrajectoryOptions, train: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """The frames that `transform` gives, as step numbers: episode, `timestep`, `episode_len`, `goal_step` if there are goals, `draw`
+    if episodes are subsampled, and the columns `carry`.
+
+    Narrow rows: of the observations only what the filters look at is read, and nothing of them is shuffled.
+    """
+    plan = _whole_episodes(steps, _episode_tests(steps, options), EPISODE, SEGMENT_ROWS, length=True)
+    plan = plan.select(*EPISODE, "timestep", "episode_len", *carry)
+    if options.goal_strategy is not None:
+        plan = plan.withColumn("goal_step", GOAL_STEPS[options.goal_strategy](**options.goal_kwargs))
+    if train and options.subsample is not None:
+        plan = subsample(plan, options.subsample, options.subsample_seed)
+    return plan
+
+
+def gather_frames(plan: DataFrame, steps: DataFrame, options: TrajectoryOptions, train: bool = True) -> DataFrame:
+    """The frames of a plan with what they carry: every step that a frame needs (itself, its goal, its window) is fetched once, by
+    (episode, step), and the rest is arithmetic inside a row.
+
+    A plan may name a frame several times if a further column of it tells these apart; its rows must differ.
+    """
+    o = options
+    masked = add_pad_masks(steps)
+    has_goal = o.goal_strategy is not None
+    masked = with_observed_time(masked) if has_goal else masked
+    t, last = F.col("timestep"), F.col("episode_len") - 1
+    wanted = [t, *[F.greatest(t - k, F.lit(0)) for k in range(1, o.window)], *[F.least(t + k, last) for k in range(1, o.future + 1)]]
+    wanted += [F.col("goal_step")] if has_goal else []
+    carried = [c for c in masked.columns if c not in (*EPISODE, "timestep")]
+    own = [c for c in carried if c not in ("observation", "action") and c not in plan.columns]
+    row = lambda is_own: F.struct("observation", "action", *[F.when(is_own, F.col(c)).alias(c) for c in own])
+    seen = masked.select(*EPISODE, F.col("timestep").alias("__step"), *["observation", "action", *own])
+    if len(wanted) == 1:
+        frames = plan.join(seen.withColumnRenamed("__step", "timestep"), [*EPISODE, "timestep"])
+    else:
+        asked = plan.withColumn("__step", F.explode(F.array_distinct(F.array(*wanted))))
+        found = asked.join(seen, [*EPISODE, "__step"])
+        rows = found.groupBy(*plan.columns).agg(F.map_from_entries(F.collect_list(F.struct("__step", row(F.col("__step") == t).alias("row")))).alias("__rows"))
+        at = lambda step, name: F.element_at("__rows", step)[name]
+        near = {f"__{kind}{k}": F.when(t >= k, at(t - k, name)) for k in range(1, o.window) for kind, name in (("o", "observation"), ("p", "action"))}
+        near |= {f"__n{k}": F.when(t + k <= last, at(t + k, "action")) for k in range(1, o.future + 1)}
+        near |= {"__seen": at(F.col("goal_step"), "observation")} if has_goal else {}
+        frames = rows.select(*plan.columns, *[at(t, c).alias(c) for c in ("observation", "action", *own)], *[c.alias(n) for n, c in near.items()])
+    if has_goal:
+        frames = frames.withColumn("task", layout.merge_trees(F.col("task"), masked.schema["task"].dataType, F.col("__seen"), masked.schema["observation"].dataType))
+        frames = frames.drop("__seen")
+    if train and o.task_strategy is not None:
+        frames = TASK_STRATEGIES[o.task_strategy](frames, **o.task_kwargs)
+    return _chunked(frames, o.window, o.future, o.action_dim).drop("goal_step")
+
+
+def transform(steps: DataFrame, options: TrajectoryOptions, train: bool = True) -> DataFrame:
+    """Filters, masks, goals, augmentation, chunks, subsample: in this order.
+
+    What is asked of whole episodes, by the filters and by the stages that need their length, is gathered in one pass. Where
+    frames need other steps, they are planned as step numbers first (`plan_frames`) and fetched once (`gather_frames`).
+    """
+    o = options
+    if o.goal_strategy is not None or o.window > 1 or o.future > 0:
+        return gather_frames(plan_frames(steps, o, train), steps, o, train)
+    df = add_pad_masks(_whole_episodes(steps, _episode_tests(steps, o), EPISODE, SEGMENT_ROWS, length=True))
     if train and o.task_strategy is not None:
         df = TASK_STRATEGIES[o.task_strategy](df, **o.task_kwargs)
     df = chunk(df, o.window, o.future, o.action_dim)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from armature.operators import batching as B
@@ -14,6 +16,7 @@ from armature.plans import views as W
 from armature.plans.jobs_sources import ACTIONS
 from armature.plans.jobs_trajectories import GRIPPER_MASK, WIDE_STATS, normalized_sql
 from armature.plans.registry import job, r6, sql_r6, sql_wide, wide
+from armature.sources.sinks import scratch
 from armature.sources.tables import table
 
 KEYS = ["dataset_name", "episode_id", "timestep"]
@@ -158,6 +161,12 @@ def seeded_epochs(spark, d):
     return one(0).unionByName(one(1))
 
 
+def frame_keys(standard, options):
+    """Narrow plan of all frames that may be drawn, written once."""
+    plan = J.plan_frames(standard, options, carry=["event_id", "action"])
+    return cut_lineage(J.filter_frames(plan.withColumn("action", F.array("action"))).drop("action"))
+
+
 @job(
     "interleaved_mixture",
     W.sql(
@@ -172,9 +181,9 @@ def seeded_epochs(spark, d):
     ),
 )
 def interleaved_mixture(spark, d):
-    """Statistics -> weights -> trajectory transforms -> sample -> shuffle -> batch.
+    """Statistics -> weights -> filters -> sample -> shuffle -> goals of the drawn frames -> batch.
 
-    The epoch is planned on narrow keys; frames, with all they carry, are joined once at the end.
+    The epoch is planned on narrow keys; frames, with all they carry, are fetched once at the end.
     """
     steps = W.steps(spark, d)
     stats = pin_small(T.dataset_statistics(steps.withColumnRenamed("state", "proprio")))
@@ -187,14 +196,12 @@ def interleaved_mixture(spark, d):
         F.struct("language_instruction").alias("task"),
         "action",
     )
-    labeled = J.TrajectoryOptions(skip_unlabeled=True)
     options = J.TrajectoryOptions(skip_unlabeled=True, goal_strategy="uniform", goal_kwargs={"seed": 21})
-    frames = J.filter_frames(J.transform(standard, options))
-    keys = cut_lineage(J.filter_frames(J.transform(standard, labeled)).select("dataset_name", "event_id"))
+    keys = frame_keys(standard, options)
     total = M.effective_length(weights).first()[0]
     sampled = M.sample_frames(keys, ["event_id"], weights, total, 48, sizes=M.sizes_by_name(keys))
-    placed = with_random_position(sampled, [], ["p"], 49)
-    out = placed.join(frames, ["dataset_name", "event_id"])
+    placed = with_random_position(sampled.drop("k", "idx"), [], ["p"], 49)
+    out = J.gather_frames(placed, standard, options)
     return out.select(
         "position",
         F.floor(F.col("position") / 256).cast("long").alias("batch_no"),
@@ -205,3 +212,50 @@ def interleaved_mixture(spark, d):
         F.col("task.timestep").alias("goal"),
         *wide(F.col("action")[0], "a", 7),
     )
+
+
+HELD_OUT = "episode_id % 10 = 3"  # episodes of the validation split
+BUFFER, PASSES = 500, 2
+
+
+def side_ctes(side: str, frames: str, n: str, seed: int) -> dict[str, str]:
+    """`pick_ctes` under names of one side of an epoch."""
+    own = ("frame_sizes", "positions", "located", "ranked")
+    renamed = lambda text: re.sub(rf"\b({'|'.join(own)})\b", rf"{side}_\1", text)
+    return {renamed(k): renamed(v) for k, v in pick_ctes(frames, n, seed).items()}
+
+
+@job(
+    "interleaved_validation",
+    W.sql(
+        "v_steps v_mixture",
+        f"""SELECT 'train' AS side, 0 AS pass, row_number() OVER (ORDER BY {W.draw(53, 'p')}, p) - 1 AS position, p, dataset_name, event_id
+        FROM train_located JOIN train_ranked USING (dataset_name, epoch, idx)
+        UNION ALL """
+        + " UNION ALL ".join(
+            f"SELECT 'val', {i}, row_number() OVER (ORDER BY {W.draw(60 + i, 'p')}, p) - 1, p, dataset_name, event_id FROM val_located JOIN val_ranked USING (dataset_name, epoch, idx)"
+            for i in range(PASSES)
+        ),
+        labeled="SELECT * FROM (SELECT *, bool_or(language_instruction <> '') OVER (PARTITION BY episode_id) AS keep FROM v_steps) WHERE keep",
+        train_frames=f"SELECT * FROM labeled WHERE NOT ({HELD_OUT})",
+        val_frames=f"SELECT * FROM labeled WHERE {HELD_OUT}",
+        **side_ctes("train", "train_frames", "SELECT count(*) FROM train_frames", 51) | side_ctes("val", "val_frames", str(BUFFER), 52),
+    ),
+)
+def interleaved_validation(spark, d):
+    """One epoch of the training split beside passes over a validation buffer: the first frames of the interleaved validation
+    split, kept under a version, so that every pass has the same frames in another order."""
+    steps = W.steps(spark, d)
+    weights = weights_of(spark, d)
+    standard = steps.select(*KEYS, "event_id", F.struct("image_primary").alias("observation"), F.struct("language_instruction").alias("task"), "action")
+    keys = frame_keys(standard, J.TrajectoryOptions(skip_unlabeled=True)).select("dataset_name", "episode_id", "event_id")
+    train, held = keys.filter(f"NOT ({HELD_OUT})"), keys.filter(HELD_OUT)
+    names = ["p", "dataset_name", "event_id"]
+    sample = lambda frames, n, seed: M.sample_frames(frames, ["event_id"], weights, n, seed, sizes=M.sizes_by_name(frames)).select(*names)
+    folder = scratch(spark, "validation")
+    out = with_random_position(sample(train, train.count(), 51), [], ["p"], 53).select(F.lit("train").alias("side"), F.lit(0).alias("pass"), "position", *names)
+    for i in range(PASSES):
+        kept = M.kept_version(spark, folder, "buffer-1", lambda: sample(held, BUFFER, 52))
+        one = with_random_position(kept, [], ["p"], 60 + i).select(F.lit("val").alias("side"), F.lit(i).alias("pass"), "position", *names)
+        out = out.unionByName(one)
+    return out
