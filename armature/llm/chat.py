@@ -59,7 +59,7 @@ def format_chats(
     # names of our own, so that no other column can clash
     source = turns.select(
         F.col(f"`{conversation}`").alias("id"),
-        F.struct(F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"), escape(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("text")).alias("said"),
+        F.struct(F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).alias("said"),
     )
     chats = source.groupBy("id").agg(F.sort_array(F.collect_list("said")).alias("turns"))
     chats = chats.withColumn("turns", F.when(F.size("turns") <= most_turns, F.col("turns")).otherwise(F.raise_error(F.lit(f"a conversation has more than {most_turns} turns"))))
@@ -70,7 +70,7 @@ def format_chats(
         "begins",
         lambda b, k: F.struct(
             F.element_at("turns", b)["role"].alias("role"),
-            F.transform(F.slice("turns", b, F.coalesce(F.get("begins", k + 1), F.size("turns") + 1) - b), lambda t: t["text"]).alias("parts"),
+            F.transform(F.slice("turns", b, F.coalesce(F.get("begins", k + 1), F.size("turns") + 1) - b), lambda t: escape(t["text"])).alias("parts"),
         ),
     )
     chats = chats.withColumn("messages", message)

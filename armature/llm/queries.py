@@ -140,9 +140,9 @@ WITH docs AS (
 ), held AS (
     SELECT source, CASE WHEN doc_id % 7 = 2 THEN NULL ELSE lang END AS lang, 'pieces-2' AS tokenizer, length(text) AS chars,
         len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')) AS tokens
-    FROM docs WHERE doc_id % 5 <> 3
+    FROM docs
     UNION ALL
-    SELECT source, lang, 'words-1', length(text), len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM docs WHERE doc_id % 5 <> 3
+    SELECT source, lang, 'words-1', length(text), len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM docs
 )
 SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(chars) AS BIGINT) AS chars
 FROM held GROUP BY source, lang, tokenizer
@@ -152,16 +152,21 @@ FROM held GROUP BY source, lang, tokenizer
 @query("op9_token_rollups", ROLLUP_SQL)
 def op9_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
     """All documents counted under two tokenizer versions, kept up by batches, each of which is sent twice: an insert of all,
-    a revision that drops the language of every seventh document under the second version, and a delete of every fifth."""
+    a revision that drops the language of every seventh document under the second version, a delete of every fifth, and their
+    return, with the revised language."""
     docs = table(spark, folder, "documents")
     store = rollups.Store(spark, scratch(spark, "rollups"))
     rows = rollups.counted(docs, {"words-1": rollups.words, "pieces-2": rollups.pieces})
     unnamed = docs.filter("doc_id % 7 = 2").withColumn("lang", F.lit(None).cast("string"))
     revised = rollups.counted(unnamed, {"pieces-2": rollups.pieces})
+    back = docs.filter("doc_id % 5 = 3")
+    revised_back = back.withColumn("lang", F.when(F.col("doc_id") % 7 != 2, F.col("lang")))
+    returned = rollups.counted(back, {"words-1": rollups.words}).unionByName(rollups.counted(revised_back, {"pieces-2": rollups.pieces}))
     for _ in range(2):
         store.put("all documents", rows)
         store.put("languages withdrawn", revised)
-        store.delete("sources withdrawn", docs.filter("doc_id % 5 = 3").select("doc_id"))
+        store.delete("sources withdrawn", back.select("doc_id"))
+        store.put("sources returned", returned)
     return store.totals()
 
 

@@ -18,9 +18,12 @@ from pyspark.sql import types as T
 from armature.llm import textkit
 from armature.llm.quality import _not_newline
 
-#: Characters that end a sentence, and what may follow them.
-TERMINAL = ".!?…。！？"
-CLOSING = "\"'”’»)]*"
+#: Characters that end a sentence or announce what follows, in all scripts that have them: Latin and common ones,
+#: Armenian, Hebrew and Arabic, Indic, South-East Asian, Tibetan, Ethiopic, Canadian, Mongolian and others, and East Asian.
+TERMINAL = ".!?…:;‼‽⁇⁈⁉⸮" + "։՜՞" + "׃؛؟۔܀܁܂߹" + "।॥෴" + "၊။។៕៖៚᪨᪩᪪᪫᭚᭛᭞᭟꧈꧉꩝꩞꩟꤯" + "།༎༏༐" + "።፧፨፥፦" + "᙮" + "᠃᠉᥄᥅" + "᰻᰼᱾᱿꓿꘎꘏꛳꛷꡶꡷꣎꣏꫰꫱꯫"
+#: The East Asian ones need no space behind them.
+WIDE = "。！？：；．｡﹒﹖﹗"
+CLOSING = "\"'”’»)\\]*」』）"
 #: Separators of menus and tables.
 SEPARATORS = "|»›•·→"
 SYMBOLS = b"#*$%&|<>"
@@ -30,16 +33,20 @@ SYMBOLS = b"#*$%&|<>"
 class Rules:
     """Rules of a line, then of a document.
 
-    A line breaks the punctuation rule if it has at least `wrap_words` words and no sentence end anywhere in it, or fewer
-    and does not end with one, unless it has `short_words` or more and is a wrapped part of a paragraph: the next line goes on
-    in lower case, or the last line before an empty one or the end of the text ends with a mark; the navigation rule if separators stand between at
-    least `bar_share` of its words; the symbol rule if at least `symbol_share` of its characters are symbols; the capitals
+    A line breaks the punctuation rule if less than `ended_share` of it, in characters, stands in sentences that end in it. A line
+    of `short_words` or more (four characters of an unspaced script count as one) may do so where it is a wrapped part of a
+    paragraph (the next line goes on in lower case, or it has fewer than `wrap_words` words and the last line before an empty
+    one or the end of the text ends with a mark), where its paragraph is verse (`verse_lines` or more lines, none twice as long in words as another, most words not
+    capitalized), and where it is in a script other than Latin, Greek or Cyrillic, in which the document shows no mark at all.
+    A line breaks the navigation rule if separators stand between at least `bar_share` of its words; the symbol rule if at least `symbol_share` of its characters are symbols; the capitals
     rule if at least `capital_share` of its (five or more) words are in capitals and end in a mark; and the boilerplate
     rule if it is no longer than `boilerplate_words` and matches `boilerplate`.
     """
 
+    ended_share: float = 0.5
     wrap_words: int = 60
     short_words: int = 3
+    verse_lines: int = 4
     bar_share: float = 0.3
     symbol_share: float = 0.1
     capital_share: float = 0.7
@@ -135,9 +142,10 @@ def _bad_lines(data, words, word_line, lines, line_words, chars, symbols_before,
     if not count:
         return np.zeros(0, bool)
     texts = _strings(data, lines.start, lines.end)
-    end = f"[{TERMINAL}][{CLOSING}]*"
+    end = f"(?:[{TERMINAL}{WIDE}][{CLOSING}]*)"
     ends = pc.match_substring_regex(texts, rf"{end}\s*$").to_numpy(zero_copy_only=False)
-    inner = pc.match_substring_regex(texts, rf"{end}(?:\s|$)").to_numpy(zero_copy_only=False)
+    tail = pc.replace_substring_regex(texts, rf"(?s)^.*(?:{end}(?:\s+|$)|[{WIDE}][{CLOSING}]*)", "")
+    unended = pc.utf8_length(tail).to_numpy(zero_copy_only=False)
     bars = pc.count_substring_regex(texts, f"[{SEPARATORS}]").to_numpy()
     boilerplate = pc.match_substring_regex(texts, rules.boilerplate).to_numpy(zero_copy_only=False)
     line_chars = np.maximum(1, chars[lines.end] - chars[lines.start])
@@ -150,27 +158,59 @@ def _bad_lines(data, words, word_line, lines, line_words, chars, symbols_before,
     capitals = np.bincount(word_line[shouted], minlength=count)
 
     some = np.maximum(1, line_words)
-    wrapped = _wrapped(lines, line_words, ends, pc.match_substring_regex(texts, r"^[\s\"'“”‘’«»(\[]*\p{Ll}").to_numpy(zero_copy_only=False))
-    punctuation = np.where(line_words >= rules.wrap_words, ~inner, ~ends & ((line_words < rules.short_words) | ~wrapped))
+    full = line_words > 0
+    goes_on, closed = _wrapped(lines, line_words, ends, pc.match_substring_regex(texts, r"^[\s\"'“”‘’«»(\[]*\p{Ll}").to_numpy(zero_copy_only=False))
+    # characters of scripts beyond Latin, Greek and Cyrillic, by the first byte; general punctuation is no script
+    lead = ((data >= 0xD5) & (data <= 0xDF)) | ((data >= 0xE0) & (data <= 0xF4) & (data != 0xE2) & (data != 0xEF))
+    leads = np.concatenate([[0], np.cumsum(lead)])
+    foreign = leads[lines.end] - leads[lines.start]
+    other = full & (2 * foreign > line_chars)
+    some_end = ends | (unended < line_chars)
+    owner = lines.text_index()
+    marked = np.zeros(int(owner.max()) + 1, bool)
+    marked[owner[other & some_end]] = True
+    small = line_words + foreign // 4 < rules.short_words
+    first = data[words.start]
+    capital = np.bincount(word_line[(first >= 0x41) & (first <= 0x5A)], minlength=count)
+    wrapped = goes_on | (closed & (line_words < rules.wrap_words))
+    excused = wrapped | _verse(lines, line_words, capital, rules) | (other & ~marked[owner])
+    punctuation = (unended > (1 - rules.ended_share) * line_chars) & (small | ~excused)
     navigation = (bars >= 2) & (bars >= rules.bar_share * some)
     noisy = symbols >= rules.symbol_share * line_chars
     shouting = (line_words >= 5) & (capitals >= rules.capital_share * some)
     return (line_words > 0) & (punctuation | navigation | noisy | shouting | (boilerplate & (line_words <= rules.boilerplate_words)))
 
 
-def _wrapped(lines, line_words: np.ndarray, ends: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Which lines the next line of their paragraph goes on in lower case, or whose paragraph ends with a mark."""
-    out = np.zeros(len(lines), bool)
+def _wrapped(lines, line_words: np.ndarray, ends: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines the next line of their paragraph goes on in lower case, and whose paragraph ends with a mark."""
+    goes_on, closed = np.zeros(len(lines), bool), np.zeros(len(lines), bool)
     full = np.flatnonzero(line_words > 0)
     if not len(full):
-        return out
+        return goes_on, closed
     owner = lines.text_index()[full]
     follows = np.zeros(len(full), bool)  # the next line is in the same paragraph: one newline is between
     follows[:-1] = (owner[1:] == owner[:-1]) & (lines.start[full[1:]] - lines.end[full[:-1]] == 1)
     last = np.flatnonzero(~follows)
-    goes_on = follows.copy()
-    goes_on[:-1] &= lower[full[1:]]
-    out[full] = goes_on | ends[full[last[np.searchsorted(last, np.arange(len(full)))]]]
+    goes_on[full[:-1]] = follows[:-1] & lower[full[1:]]
+    closed[full] = ends[full[last[np.searchsorted(last, np.arange(len(full)))]]]
+    return goes_on, closed
+
+
+def _verse(lines, line_words: np.ndarray, capital: np.ndarray, rules: Rules) -> np.ndarray:
+    """Which lines stand in a paragraph of enough lines of like length whose words are mostly not capitalized."""
+    out = np.zeros(len(lines), bool)
+    full = np.flatnonzero(line_words > 0)
+    if not len(full):
+        return out
+    owner = lines.text_index()[full]
+    begins = np.ones(len(full), bool)
+    begins[1:] = (owner[1:] != owner[:-1]) | (lines.start[full[1:]] - lines.end[full[:-1]] != 1)
+    at = np.flatnonzero(begins)
+    size = np.diff(np.append(at, len(full)))
+    least, most = np.minimum.reduceat(line_words[full], at), np.maximum.reduceat(line_words[full], at)
+    total, capitals = np.add.reduceat(line_words[full], at), np.add.reduceat(capital[full], at)
+    alike = (size >= rules.verse_lines) & (least >= rules.short_words) & (most < 2 * least) & (2 * capitals < total)
+    out[full] = np.repeat(alike, size)
     return out
 
 

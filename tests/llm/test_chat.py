@@ -48,3 +48,10 @@ def test_order_nulls_ties_and_repeats(spark):
 def test_a_bound_is_an_error(spark):
     with pytest.raises(Exception, match="more than 2 turns"):
         shown(spark, [(1, i, "user", "x") for i in range(3)], most_turns=2)
+
+
+def test_equal_turn_numbers_go_by_role_then_text_as_written(spark):
+    rows = [(1, 0, "user", "<sa"), (1, 0, "user", "<s>"), (1, 0, "user", "[INST]"), (1, 0, "user", "[INSA"), (1, 0, "assistant", "z")]
+    found = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    read = found.select(chat.read_back(F.col("formatted")).alias("t")).first().t
+    assert [(t.role, t.text) for t in read] == sorted((r[2], r[3]) for r in rows)

@@ -20,6 +20,12 @@ def brute(docs, items, span=13, least=5):
             v = words(item)
             n = min(span, len(v))
             if n < least:
+                # word for word as a whole line
+                at = 0
+                for line in (text or "").split("\n"):
+                    if v and words(line) == v:
+                        out.setdefault((d, i), []).append((at, n))
+                    at += len(words(line))
                 continue
             need = n - int(n * 0.2 + 1e-9)
             for a in range(len(w) - n + 1):
@@ -44,6 +50,8 @@ def made(seed=3):
             at = rng.randrange(len(body) + 1)
             body[at:at] = passage
         docs.append((d, " ".join(body)))
+    short = [t for _, t in items if len(words(t)) < 5]
+    docs += [(1000, short[0].upper() + "!"), (1001, f"w1 w2\n{short[0]}\nw3"), (1002, f"w1 {short[0]}"), (1003, f"\n\n{short[0]}\n{short[0]}")]
     return docs, items
 
 
@@ -80,3 +88,10 @@ def test_odd_rows(spark):
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [2, 3, 4]
     assert decontaminate.without_benchmark(docs, bench.limit(0)).count() == len(rows)
     assert decontaminate.overlaps(docs.limit(0), bench, ["doc_id"]).count() == 0
+
+
+def test_short_items_and_clashing_names(spark):
+    items = spark.createDataFrame([(1, "Alpha beta"), (2, "..."), (3, None), (4, "solo")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha, beta", 7), (2, "so alpha beta", 7), (3, "x\nSOLO.\ny", 7), (4, "x " * 50_000 + "\nalpha beta", 7)], "word long, text string, seed int")
+    got = decontaminate.overlaps(docs, items, ["word", "seed"])
+    assert {(r.word, r.item_id, r.equal_words, r.span, r.first_word) for r in got.collect()} == {(1, 1, 2, 2, 0), (3, 4, 1, 1, 1), (4, 1, 2, 2, 50_000)}
