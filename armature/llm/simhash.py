@@ -359,6 +359,10 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first())
 
 
+#: Copies of a component's row that its values are dealt among.
+SHARES = 16
+
+
 def _groups(docs: DataFrame, id_column: str, text: str, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Every row as (row_id, text_key, f), and for every fingerprint f the `first` row of its group."""
     read = docs.select(F.col(f"`{id_column}`").alias("row_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").alias("text_of_row"))
@@ -367,10 +371,14 @@ def _groups(docs: DataFrame, id_column: str, text: str, shingle: int, bits: int)
     first = F.struct(F.col("row_id").isNull().alias("no_id"), "row_id", "text_key", "rows")
     groups = cut_lineage(rows.groupBy("f").agg(F.min(first).alias("first")))
     roots = components(links(groups, bits))
-    rooted = groups.join(roots.withColumnRenamed("node", "f"), "f", "left").withColumn("root", F.coalesce("root", "f"))
-    # written, so that both sides of the join are plain exchanges and a very large component can be split
-    whole = cut_lineage(rooted.groupBy("root").agg(F.min("first").alias("first")))
-    return printed, rooted.select("f", "root").join(whole, "root").select("f", "root", "first")
+    rooted = groups.join(roots.withColumnRenamed("node", "f"), "f", "left")
+    alone = rooted.filter(F.col("root").isNull()).select("f", F.col("f").alias("root"), "first")
+    # a very large component is dealt out: each of its values meets one of `SHARES` copies of the component's row
+    linked = rooted.filter(F.col("root").isNotNull()).select("f", "root", "first", F.pmod(F.xxhash64("f"), F.lit(SHARES)).cast("int").alias("share"))
+    parts = linked.groupBy("root", "share").agg(F.min("first").alias("first"))
+    whole = cut_lineage(parts.groupBy("root").agg(F.min("first").alias("first")))
+    copies = whole.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    return printed, alone.unionByName(linked.select("f", "root", "share").join(copies, ["root", "share"]).select("f", "root", "first"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 4, bits: int = MAX_BITS) -> DataFrame:
