@@ -49,6 +49,7 @@ CONTRACT = {
     "op5_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op6_source_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op7_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op13_personal_data": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op8_quality_gam": "doc_id bigint, held_out boolean, score double, predicted int",
 }
 
