@@ -68,7 +68,10 @@ ROLLING = f"""SELECT run_id, batch_idx, {over('loss', 20)} AS loss_smooth, {over
   (SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY batch_idx)) / 1e6 AS step_time FROM v_metrics)"""
 
 
-@job("rolling_metrics", W.sql("v_metrics", "SELECT run_id, batch_idx, " + ", ".join(sql_r6(c, c, 9) for c in SMOOTH) + " FROM r", r=ROLLING))
+ROLLED_SQL = W.sql("v_metrics", "SELECT run_id, batch_idx, " + ", ".join(sql_r6(c, c, 9) for c in SMOOTH) + " FROM r", r=ROLLING)
+
+
+@job("rolling_metrics", ROLLED_SQL)
 def rolling_metrics(spark, d):
     out = V.rolling_metrics(W.metrics(spark, d), 20, 4)
     return out.select("run_id", F.col("timestep").alias("batch_idx"), *[r6(c, 9).alias(c) for c in SMOOTH])

@@ -8,13 +8,18 @@ from armature.operators import gating
 from armature.operators import statistics as T
 from armature.operators.smallside import pin_small
 from armature.plans import views as W
+from armature.plans.jobs_evaluation import ROLLED_SQL, SMOOTH
 from armature.plans.jobs_sources import ACTIONS
 from armature.plans.jobs_tokens import example_ctes, labels_sql
 from armature.plans.jobs_trajectories import GRIPPER_MASK, WIDE_STATS, normalized_sql
-from armature.plans.registry import job, r6, sql_r6, text_of
+from armature.plans.registry import job, r6, text_of
 from armature.sources import sinks, tables
+from armature.streaming import ordered as O
 from armature.streaming import streams as S
 
+#: How long events are waited for, in seconds.
+DELAY = 86_400
+
 
 def arriving(spark, d, name):
     return S.file_stream(spark, d, tables.table(spark, d, name).schema, f"{name}.parquet")
@@ -42,23 +47,14 @@ def stream_frames(spark, d):
     )
 
 
-@job(
-    "stream_metrics",
-    W.sql(
-        "v_metrics",
-        f"""SELECT run_id, epoch_us(date_trunc('day', ts)) AS window_start_us, count(*) AS n, {sql_r6('avg(loss)', 'loss')}, {sql_r6('avg(l1_loss)', 'l1_loss', 9)},
-        {sql_r6('avg(action_accuracy)', 'action_accuracy')} FROM v_metrics GROUP BY ALL""",
-    ),
-)
+@job("stream_metrics", ROLLED_SQL)
 def stream_metrics(spark, d):
-    path = sinks.scratch(spark, "stream-metrics")
-    log = W.metric_values(arriving(spark, d, "events"))
-    S.run_to_end(S.windowed_metrics(log), S.append_batches(path), "update")
-    out = S.newest(spark.read.parquet(path), ["run_id", "window"])
-    return out.select(
-        "run_id", F.unix_micros("window.start").alias("window_start_us"), "n", r6("loss").alias("loss"), r6("l1_loss", 9).alias("l1_loss"),
-        r6("action_accuracy").alias("action_accuracy"),
-    )
+    log = W.metric_values(arriving(spark, d, "events")).withColumn("at_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    log = log.withColumn("timestep", F.lit(None).cast("long"))
+    fields = W.metric_rows(spark, d).schema
+    sink = O.InOrder(spark, sinks.scratch(spark, "stream-metrics"), O.rolling(fields, 20, 4, delay_seconds=DELAY))
+    S.run_to_end(log, sink.write)
+    return sink.answer().select("run_id", F.col("timestep").cast("int").alias("batch_idx"), *[r6(c, 9).alias(c) for c in SMOOTH])
 
 
 @job("stream_success", W.sql("v_rollouts", "SELECT task, count(*) AS n_episodes, CAST(sum(CASE WHEN success THEN 1 ELSE 0 END) AS BIGINT) AS n_successes FROM v_rollouts GROUP BY 1"))
@@ -89,6 +85,8 @@ def rate_gate(spark, d):
 
 @job("stream_rate_gate", GATE_SQL)
 def stream_rate_gate(spark, d):
-    path = sinks.scratch(spark, "stream-gate")
-    S.run_to_end(S.rate_gate(ticks(arriving(spark, d, "events")), "user_id", GATE_HERTZ), S.append_batches(path))
-    return spark.read.parquet(path).drop("batch")
+    key = tables.table(spark, d, "events").schema["user_id"]
+    order = O.gate(key, GATE_HERTZ, delay_seconds=DELAY, slot_seconds=5 * 86_400)
+    sink = O.InOrder(spark, sinks.scratch(spark, "stream-gate"), order)
+    S.run_to_end(ticks(arriving(spark, d, "events")).withColumn("at_us", F.unix_micros("at")), sink.write)
+    return sink.answer()

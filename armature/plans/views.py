@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armature.operators.episodes import add_timestep
-from armature.operators.ordering import counter_block, time_block, with_position
+from armature.operators.ordering import counter_block, time_block, with_position, with_running_totals
 from armature.sources.tables import table
 
 ACTION_DIM = 7
@@ -84,22 +84,30 @@ def mixture(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "pos int, dataset_name string, weight double")
 
 
-def turns(spark: SparkSession, d: str) -> DataFrame:
-    """Chat turns: what a system turn says opens the first turn that follows."""
-    said = table(spark, d, "conversations")
-    rows = with_position(said.filter(F.col("role") != "system"), ["conv_id"], ["turn"], counter_block(F.col("turn"), 1024), "turn_idx")
-    told = said.filter(F.col("role") == "system").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("told"))
-    opening = F.concat(F.array_join("told.text", "\n"), F.lit("\n"))
-    first = F.when(F.col("turn_idx") == 0, F.concat(F.coalesce(opening, F.lit("")), F.col("text"))).otherwise(F.col("text"))
-    return rows.join(told, "conv_id", "left").select(
-        "conv_id",
-        F.col("turn_idx").cast("int").alias("turn_idx"),
-        F.when(F.col("role") == "user", "human").otherwise("gpt").alias("role"),
-        first.alias("text"),
-        F.when(F.col("conv_id") % 3 == 0, None).otherwise(F.concat(F.col("conv_id").cast("string"), F.lit(".jpg"))).alias("image"),
+def turns_of(said: DataFrame) -> DataFrame:
+    """(conv_id, turn_idx, role, text): what system turns say opens the next turn of somebody else.
+
+    System turns with nothing after them are a last turn of the human side, so a conversation of system turns only is one
+    turn. A null role counts as the model's, a null text as empty, a null turn number comes first; equal numbers go by role
+    and text. Rows without a conv_id belong to no conversation and are left out.
+    """
+    spoken = ~F.col("role").eqNullSafe("system")
+    block = F.coalesce(counter_block(F.col("turn"), 1024), F.lit(-(1 << 62)))
+    counts = {"__nth": F.lit(1), "__spoken": spoken.cast("long")}
+    rows = with_running_totals(said.select("conv_id", "turn", "role", "text"), ["conv_id"], ["turn", "role", "text"], block, counts)
+    piece = F.struct("__nth", F.coalesce("text", F.lit("")).alias("text"))
+    whose = F.max(F.when(spoken, F.when(F.col("role") == "user", "human").otherwise("gpt")))
+    return rows.groupBy("conv_id", (F.col("__spoken") - spoken.cast("long")).cast("int").alias("turn_idx")).agg(
+        F.coalesce(whose, F.lit("human")).alias("role"),
+        F.array_join(F.sort_array(F.collect_list(piece)).getField("text"), "\n").alias("text"),
     )
 
 
+def turns(spark: SparkSession, d: str) -> DataFrame:
+    image = F.when(F.col("conv_id") % 3 == 0, None).otherwise(F.concat(F.col("conv_id").cast("string"), F.lit(".jpg")))
+    return turns_of(table(spark, d, "conversations")).withColumn("image", image)
+
+
 def examples(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id", F.lit(True).alias("labeled"))
     return docs.join(labels, "doc_id", "left").select(
@@ -200,11 +208,13 @@ FROM v_steps""",
     "v_mixture": """
 SELECT * FROM (VALUES (0, 'ds_a', 1e0), (1, 'ds_b', 5e-1), (2, 'ds_c', 2e0), (3, 'ds_a', 9e0)) t(pos, dataset_name, weight)""",
     "v_turns": """
-SELECT conv_id, turn_idx, role, CASE WHEN turn_idx = 0 THEN coalesce(told || chr(10), '') || text ELSE text END AS text,
-       CASE WHEN conv_id % 3 = 0 THEN NULL ELSE concat(CAST(conv_id AS STRING), '.jpg') END AS image
-FROM (SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS turn_idx,
-             CASE role WHEN 'user' THEN 'human' ELSE 'gpt' END AS role, text FROM conversations WHERE role <> 'system')
-LEFT JOIN (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS told FROM conversations WHERE role = 'system' GROUP BY 1) USING (conv_id)""",
+SELECT conv_id, turn_idx, CASE max(CASE WHEN role = 'system' THEN 0 WHEN role = 'user' THEN 1 ELSE 2 END) WHEN 2 THEN 'gpt' ELSE 'human' END AS role,
+       string_agg(coalesce(text, ''), chr(10) ORDER BY nth) AS text, CASE WHEN conv_id % 3 = 0 THEN NULL ELSE concat(CAST(conv_id AS STRING), '.jpg') END AS image
+FROM (SELECT *, row_number() OVER w AS nth,
+             CAST(sum(CASE WHEN role IS DISTINCT FROM 'system' THEN 1 ELSE 0 END) OVER w - CASE WHEN role IS DISTINCT FROM 'system' THEN 1 ELSE 0 END AS INT) AS turn_idx
+      FROM conversations WHERE conv_id IS NOT NULL
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+GROUP BY conv_id, turn_idx""",
     "v_examples": """
 SELECT d.doc_id AS example_id, d.lang AS source, l.doc_id IS NOT NULL AS is_multimodal,
        CAST(1 + floor(d.n_chars / 6e0) AS BIGINT) AS n_words

@@ -1,14 +1,12 @@
-"""Streams: training frames as step files arrive, metric logs, success counters, a control-rate gate."""
+"""Streams: training frames as step files arrive, success counters. What needs time order is in `ordered`."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from armature.functions import vectors as V
 from armature.operators import tokens as K
@@ -67,53 +65,7 @@ def token_frames(steps: DataFrame, stats: DataFrame, how: str, action_dim: int,
     return K.action_examples(frames, keys, action_dim)
 
 
-def windowed_metrics(log: DataFrame, window: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Means per run and tumbling window. In update mode the watermark ends windows and frees their state."""
-    timed = log.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
-    return timed.groupBy("run_id", F.window("at", window)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("loss").alias("loss"),
-        F.avg("l1_loss").alias("l1_loss"),
-        F.avg("action_accuracy").alias("action_accuracy"),
-    )
-
-
 def success_counters(rollouts: DataFrame) -> DataFrame:
     return rollouts.groupBy("task").agg(
         F.count(F.lit(1)).alias("n_episodes"), F.sum(F.col("success").cast("long")).alias("n_successes")
     )
-
-
-def gate_times(micros: list[int], last: int | None, step: int) -> tuple[list[bool], int | None]:
-    """Keep a tick when it is more than `step` after the last kept one. Ticks come in order."""
-    kept = []
-    for now in micros:
-        take = last is None or now > last + step
-        kept.append(take)
-        if take:
-            last = now
-    return kept, last
-
-
-def rate_gate(events: DataFrame, key: str, hertz: float) -> DataFrame:
-    """Thin each key's events to a control frequency.
-
-    Whether an event passes depends on the last one that passed, so the state of a key is that one time. Events must
-    arrive in time order per key; within a micro-batch they are sorted, and what is older than the state is dropped.
-    Columns: key, at (timestamp), event_id.
-    """
-    step = int(round(1e6 / hertz))
-    kind = events.schema[key].dataType.simpleString()
-
-    def gate(keys: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(chunks)).sort_values(["at_us", "event_id"])  # one key's share of one micro-batch
-        kept, last = gate_times(rows["at_us"].tolist(), last, step)
-        if last is not None:
-            state.update((last,))
-        yield rows[pd.Series(kept, index=rows.index)][[key, "event_id", "at_us"]]
-
-    narrow = events.select(key, "event_id", F.unix_micros("at").alias("at_us"))
-    return narrow.groupBy(key).applyInPandasWithState(
-        gate, f"{key} {kind}, event_id long, at_us long", "last long", "append", GroupStateTimeout.NoTimeout
-    )
