@@ -47,21 +47,29 @@ def split_episodes(spark, d):
     return M.split_by_episode(steps, 95, stored="stored").select("dataset_name", "episode_id", "event_id", "split")
 
 
+#: The arrays of the supplied tables are small: a range of a quarter megabyte still cuts them.
+ARRAY_RANGE = 1 << 18
+
+
 @job(
     "chat_source",
     W.sql("v_turns", 'SELECT CAST(conv_id AS VARCHAR) AS id, image, turn_idx, role AS "from", text AS "value" FROM v_turns'),
 )
 def chat_source(spark, d):
+    """Examples written as JSON arrays and read back by byte ranges."""
     path = sinks.scratch(spark, "chat")
     said = W.turns(spark, d).select("conv_id", "image", "turn_idx", F.col("role").alias("from"), F.col("text").alias("value"))
     parts = E.in_parts(said, ["from", "value"], ["conv_id", "image"], "turn_idx")
-    parts.select(
+    examples = parts.select(
+        "conv_id",
         F.col("conv_id").cast("string").alias("id"),
         "part",
         "image",
         F.transform("steps", lambda s: F.struct(s["from"].alias("from"), s["value"].alias("value"))).alias("conversations"),
-    ).write.json(path)
-    read = tables.chat_examples(spark, path, json_array=False)
+    )
+    numbered = ordering.with_random_position(examples, [], ["conv_id", "part"], 5).drop("conv_id")
+    sinks.write_json_arrays(numbered, path, 100_000)
+    read = tables.chat_examples(spark, path, range_bytes=ARRAY_RANGE)
     return read.select("id", "part", "image", F.posexplode("conversations").alias("pos", "turn")).select(
         "id",
         "image",
@@ -270,7 +278,7 @@ def synthetic_source(spark, d):
     "frame_shards_sink",
     W.sql(
         "v_steps",
-        """SELECT CAST(floor(position / 1000) AS BIGINT) AS shard, count(*) AS n_rows, min(position) AS first_position,
+        """SELECT CAST(floor(position / 1000) AS BIGINT) AS shard, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, min(position) AS first_position,
         max(position) AS last_position, CAST(sum(event_id) AS BIGINT) AS id_sum FROM p GROUP BY 1""",
         p=f"SELECT event_id, row_number() OVER (ORDER BY {W.draw(3, 'event_id')}, event_id) - 1 AS position FROM v_steps",
     ),
@@ -279,9 +287,11 @@ def frame_shards_sink(spark, d):
     path = sinks.scratch(spark, "shards")
     frames = W.step_rows(spark, d).select("event_id", V.each("action", 7, lambda x, i: x).alias("action"))
     sinks.write_frame_shards(ordering.with_random_position(frames, [], ["event_id"], 3), path, 1000)
-    return spark.read.parquet(path).groupBy("shard").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("position").alias("first_position"),
-        F.max("position").alias("last_position"),
-        F.sum("event_id").alias("id_sum"),
+    files = sinks.shard_manifest(spark, path).groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("n_rows").alias("n_rows"),
+        F.min("first_position").alias("first_position"),
+        F.max("last_position").alias("last_position"),
     )
+    sums = spark.read.parquet(f"{path}/shards").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.sum("event_id").alias("id_sum"))
+    return files.join(sums, "shard")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from armature.sources.jsonarray import RANGE_BYTES, array_objects
+
 CHAT_EXAMPLE = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -34,11 +36,12 @@ def episodes(spark: SparkSession, path: str, dataset: str | None = None, schema:
     return steps if dataset is None else steps.filter(steps.dataset_name == dataset)
 
 
-def chat_examples(spark: SparkSession, path: str, json_array: bool = True) -> DataFrame:
-    """Annotation JSON. One array per file is the interchange format; JSON lines split across tasks, so large corpora
-    should be kept that way (`json_array=False`)."""
-    reader = spark.read.schema(CHAT_EXAMPLE)
-    return (reader.option("multiLine", True) if json_array else reader).json(path)
+def chat_examples(spark: SparkSession, path: str, json_array: bool = True, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Annotation JSON: files of one array each, the interchange format, cut into byte ranges; or JSON lines."""
+    if not json_array:
+        return spark.read.schema(CHAT_EXAMPLE).json(path)
+    found = array_objects(spark, path, range_bytes=range_bytes)
+    return found.select(F.from_json("value", CHAT_EXAMPLE).alias("e")).select("e.*")
 
 
 _NUMBERS = "mean: array<double>, std: array<double>, min: array<double>, max: array<double>, q01: array<double>, q99: array<double>"

@@ -3,10 +3,11 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from armature.operators import corpus, statcache
-from armature.sources import sinks, tables
+from armature.sources import jsonarray, sinks, tables
 
 
 def test_corpus_files_keep_the_shuffled_order(spark, tmp_path):
@@ -29,6 +30,53 @@ def test_chat_examples_read_arrays_and_lines(spark, tmp_path):
         assert [(r["id"], r["image"], len(r["conversations"])) for r in got] == [("1", "a.jpg", 1), ("2", None, 0)]
 
 
+NASTY = ['plain', 'a "quoted" {brace} [x]', 'ends in \\', '\\\\" ] } , {', 'é漢😀', '', '\n\t"', '\\' * 50, '{"id": "fake"}', 'x' * 700]
+
+
+@pytest.mark.parametrize("range_bytes", [1, 7, 64, 1 << 20])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_array_files_are_cut_at_any_byte(spark, tmp_path, range_bytes, indent):
+    if range_bytes == 1:
+        examples = [{"id": "1", "conversations": [{"from": 'a"b', "value": "}\\"}]}]
+    else:
+        examples = [{"id": str(i), "note": {"deep": [[i], {"x": NASTY[-1 - i % 10]}]}, "conversations": [{"from": "human", "value": t}]} for i, t in enumerate(NASTY * 3)]
+    (tmp_path / "a.json").write_text(json.dumps(examples, indent=indent, ensure_ascii=False))
+    (tmp_path / "b.json").write_text(" [ ]\n")
+    (tmp_path / "c.json").write_text("")
+    (tmp_path / "d.json").write_text('[1, "{", [{"id": "inner"}], {"id": "last"}]')
+    if range_bytes == 7:
+        range_bytes = 701 if indent else 97
+    found = jsonarray.array_objects(spark, str(tmp_path), range_bytes=range_bytes).collect()
+    got = [json.loads(r["value"]) for r in sorted(found, key=lambda r: (r["path"], r["at"]))]
+    assert got == [*examples, {"id": "last"}]
+
+
+def test_a_broken_array_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": "1"}, {"id": "2"}')
+    with pytest.raises(Exception, match="not one closed JSON array"):
+        jsonarray.array_objects(spark, str(tmp_path)).collect()
+
+
+def test_written_arrays_are_json(spark, tmp_path):
+    rows = spark.createDataFrame([(i, str(i), NASTY[i % 10]) for i in range(25)], "position long, id string, text string")
+    sinks.write_json_arrays(rows, str(tmp_path / "out"), 10)
+    files = sorted(Path(tmp_path / "out").glob("shard=*/part-*"))
+    got = [json.loads(f.read_text()) for f in files]
+    assert [len(g) for g in got] == [10, 10, 5]
+    assert [e for g in got for e in g] == [{"id": str(i), "text": NASTY[i % 10]} for i in range(25)]
+
+
+def test_a_file_per_shard_and_its_manifest(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    sinks.write_frame_shards(spark.range(1050).withColumnRenamed("id", "position"), path, 100)
+    files = {f"{f.parent.name}/{f.name}" for f in Path(path).glob("shards/shard=*/*.parquet")}
+    manifest = sinks.shard_manifest(spark, path).orderBy("shard").collect()
+    assert [(r["shard"], r["n_rows"], r["first_position"], r["last_position"]) for r in manifest] == [
+        (i, min(100, 1050 - 100 * i), 100 * i, min(1049, 100 * i + 99)) for i in range(11)
+    ]
+    assert len(files) == 11 and {r["file"] for r in manifest} == files
+
+
 def test_statistics_are_computed_once_per_spec(spark):
     path = sinks.scratch(spark, "cache")
     steps = spark.createDataFrame([("a", 1, [1.0, 2.0]), ("b", 1, [3.0, 4.0])], "dataset_name string, episode_id int, action array<double>")
