@@ -94,13 +94,17 @@ def pixel_job(
     brightness: float = 0.0,
     contrast: float = 1.0,
     normalize: bool = True,
+    precision: str = "float32",
 ) -> DataFrame:
     """Crop (top, left, height, width), pad, rotate by 180 degrees, change brightness and contrast, normalize channels.
 
     Input columns: key, height, width, data (height * width * 3 bytes). One streaming pass, Arrow batch by Arrow batch;
-    images of equal shape in a batch are handled as one array. Output: key, height, width, pixels.
+    images of equal shape in a batch are handled as one array. Output: key, height, width, pixels, in `precision` ("float32" or
+    "float64").
     """
-    mean, std = np.array(MEAN, "float32"), np.array(STD, "float32")
+    real = {"float32": np.float32, "float64": np.float64}[precision]
+    kind = {"float32": "float", "float64": "double"}[precision]
+    mean, std = np.array(MEAN, precision), np.array(STD, precision)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -113,17 +117,17 @@ def pixel_job(
                     x = np.pad(x, ((0, 0), (pad, pad), (pad, pad), (0, 0)), constant_values=fill)
                 if rotate:
                     x = x[:, ::-1, ::-1]
-                y = x.astype("float32") / np.float32(255)
+                y = x.astype(precision) / real(255)
                 if brightness:
-                    y = np.clip(y + np.float32(brightness), 0, 1)
+                    y = np.clip(y + real(brightness), 0, 1)
                 if contrast != 1.0:
                     middle = y.mean(axis=(1, 2), keepdims=True)
-                    y = np.clip((y - middle) * np.float32(contrast) + middle, 0, 1)
+                    y = np.clip((y - middle) * real(contrast) + middle, 0, 1)
                 if normalize:
                     y = (y - mean) / std
                 yield pd.DataFrame(
                     {key: part[key].to_numpy(), "height": y.shape[1], "width": y.shape[2], "pixels": list(y.reshape(len(part), -1))}
                 )
 
-    schema = f"{key} {images.schema[key].dataType.simpleString()}, height int, width int, pixels array<float>"
+    schema = f"{key} {images.schema[key].dataType.simpleString()}, height int, width int, pixels array<{kind}>"
     return images.select(key, "height", "width", "data").mapInPandas(run, schema)

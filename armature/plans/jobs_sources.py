@@ -8,7 +8,7 @@ from armature.functions import vectors as V
 from armature.functions.chance import uniform
 from armature.operators import episodes as E
 from armature.operators import mixtures as M
-from armature.operators import motion, ordering, statcache, statistics
+from armature.operators import growing, motion, ordering, statcache, statistics
 from armature.operators.smallside import pin_small
 from armature.plans import views as W
 from armature.plans.registry import job, r6, sql_r6, sql_wide, text_of, wide
@@ -149,6 +149,31 @@ def stats_cache(spark, d):
     return found.select("dataset_name", "cache_key", "was_cached", "num_transitions", r6(F.col("action.q99")[0]).alias("a0_q99"))
 
 
+@job(
+    "stats_growing",
+    W.sql(
+        "v_steps",
+        f"""SELECT dataset_name, key, dim, num_transitions, num_trajectories, {', '.join(sql_r6(s, s) for s in ('mean', 'std', 'min', 'max'))},
+        TRUE AS q01_in_bounds, TRUE AS q99_in_bounds FROM st JOIN
+        (SELECT dataset_name, count(*) AS num_transitions, count(DISTINCT episode_id) AS num_trajectories FROM v_steps GROUP BY 1) n USING (dataset_name)""",
+        long=LONG_STEPS,
+        st=STATS_SQL,
+    ),
+)
+def stats_growing(spark, d):
+    """Three batches of new episodes, one of them added twice; ranks are checked against all rows."""
+    path = sinks.scratch(spark, "stats-growing")
+    steps = W.steps(spark, d).withColumnRenamed("state", "proprio")
+    for batch in (0, 1, 2, 1):
+        growing.add_episodes(steps.filter(F.floor(F.col("episode_id") / 3) % 3 == batch), path, str(batch), {"action": 7, "proprio": 8})
+    found = growing.grown_statistics(spark, path).drop("n", "sketch")
+    ranks = statistics.quantile_ranks(statistics.long_values(with_state(spark, d)), found, round(1 / growing.RANK_SLACK))
+    numbers = [r6(c).alias(c) for c in ("mean", "std", "min", "max")]
+    return ranks.join(growing.grown_sizes(spark, path), "dataset_name").select(
+        "dataset_name", "key", "dim", "num_transitions", "num_trajectories", *numbers, "q01_in_bounds", "q99_in_bounds"
+    )
+
+
 NOOP_SQL = """SELECT *, sm AND NOT coalesce(start_t < timestep AND grip <> before, FALSE) AS is_noop FROM (
   SELECT *, sqrt(a0 * a0 + a1 * a1) < 1e-4 AS sm, lag(grip) OVER w AS before,
     min(CASE WHEN sqrt(a0 * a0 + a1 * a1) >= 1e-4 THEN timestep END) OVER (PARTITION BY episode_id) AS start_t

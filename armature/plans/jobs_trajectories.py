@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from armature.functions import actions as A
@@ -547,20 +545,56 @@ def letterbox_geometry(spark, d):
 
 
 def raw_images(spark, d):
-    """The bytes of every page as 8x6 raw images, one after the other; a last piece too short for an image is left out."""
+    """The bytes of every page as 8x6 raw images, one after the other; the last one is filled up with zeros."""
     size = 8 * 6 * 3
-    pages = tables.table(spark, d, "pages").select("page_id", F.encode("html", "UTF-8").alias("bytes"))
-    cut = pages.select("page_id", "bytes", F.explode(F.sequence(F.lit(0), F.floor(F.octet_length("bytes") / size).cast("int"))).alias("part"))
-    whole = cut.filter((F.col("part") + 1) * size <= F.octet_length("bytes"))
-    return whole.select(
+    pages = tables.table(spark, d, "pages").filter("html IS NOT NULL").select("page_id", F.encode("html", "UTF-8").alias("bytes"))
+    last = F.greatest(F.ceil(F.octet_length("bytes") / size) - 1, F.lit(0)).cast("int")
+    cut = pages.select("page_id", "bytes", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    piece = F.substring("bytes", F.col("part") * size + 1, F.lit(size))
+    return cut.select(
         F.concat_ws("/", "page_id", "part").alias("image_id"), F.lit(8).alias("height"), F.lit(6).alias("width"),
-        F.substring("bytes", F.col("part") * size + 1, F.lit(size)).alias("data"),
+        F.rpad(piece, size, F.lit(b"\0")).alias("data"),
     )
 
 
-@job("pixel_batch_job")
+def pixels_sql(top: int, left: int, height: int, width: int, pad: int, fill: int, brightness: float, contrast: float) -> dict[str, str]:
+    """Subqueries: the bytes inside the crop, one row each, then each value after padding, turning, brightness and contrast.
+
+    A position is that in the result: turned by 180 degrees, the crop starts `pad` from the other corner.
+    """
+    across = width + 2 * pad
+    border = 2 * pad * (across + height)
+    lit = lambda v: f"least(1e0, greatest(0e0, {v} / 255e0 + {brightness}))"
+    inside = f"y >= {top} AND y < {top + height} AND x >= {left} AND x < {left + width}"
+    return {
+        "raw": """SELECT page_id, part, CAST(i // 18 AS INT) AS y, CAST(i % 18 // 3 AS INT) AS x, CAST(i % 3 AS INT) AS c,
+          CASE WHEN 2 * (144 * part + i) < length(h) THEN CAST('0x' || substr(h, CAST(2 * (144 * part + i) + 1 AS BIGINT), 2) AS INT) ELSE 0 END AS b
+          FROM (SELECT page_id, h, unnest(range(greatest(1, CAST(ceil(length(h) / 288e0) AS BIGINT)))) AS part FROM (SELECT page_id, hex(encode(html)) AS h FROM pages WHERE html IS NOT NULL)), range(144) r(i)""",
+        "bright": f"SELECT page_id, part, c, {height + pad - 1} + {top} - y AS y, {width + pad - 1} + {left} - x AS x, {lit('b')} AS v FROM raw WHERE {inside}",
+        "middles": f"SELECT page_id, part, c, (sum(v) + {border} * {lit(fill)}) / {(height + 2 * pad) * across} AS m FROM bright GROUP BY ALL",
+        "strong": f"SELECT page_id, part, c, y, x, least(1e0, greatest(0e0, (v - m) * {contrast} + m)) AS v FROM bright JOIN middles USING (page_id, part, c)",
+        "edges": f"SELECT page_id, part, c, least(1e0, greatest(0e0, ({lit(fill)} - m) * {contrast} + m)) AS v FROM middles",
+    }
+
+
+PIXEL_SQL = "WITH " + ", ".join(f"{n} AS ({q})" for n, q in pixels_sql(1, 1, 6, 4, 1, 127, 0.1, 1.1).items()) + f"""
+  SELECT concat_ws('/', page_id, part) AS image_id, CAST(8 AS INT) AS height, CAST(6 AS INT) AS width, CAST(144 AS INT) AS n_values,
+    {', '.join(sql_r6(f"(sum(CASE WHEN s.c = {c} THEN s.v END) + 24 * max(CASE WHEN s.c = {c} THEN e.v END)) / 48 / {G.STD[c]} - {G.MEAN[c]} / {G.STD[c]}", f"mean{c}") for c in range(3))},
+    {', '.join(sql_r6(f"(max(CASE WHEN s.c = {c} AND y = 2 AND x = 3 THEN s.v END) - {G.MEAN[c]}) / {G.STD[c]}", f"at{c}") for c in range(3))},
+    {sql_r6(f"(max(CASE WHEN s.c = 0 THEN e.v END) - {G.MEAN[0]}) / {G.STD[0]}", "corner")}
+  FROM strong s JOIN edges e USING (page_id, part, c) GROUP BY page_id, part"""
+
+
+@job("pixel_batch_job", PIXEL_SQL)
 def pixel_batch_job(spark, d):
-    """Crop, pad, rotate, brighten and normalize; one row per image with channel means of the result."""
-    out = G.pixel_job(raw_images(spark, d), "image_id", crop=(1, 1, 6, 4), pad=1, fill=127, rotate=True, brightness=0.1, contrast=1.1)
-    total = reduce(lambda a, b: a + b, [F.col("pixels")[i] for i in range(3)])
-    return out.select("image_id", "height", "width", F.size("pixels").alias("n_values"), F.round(total, 4).alias("corner"))
+    """Crop, pad, rotate, brighten and normalize; one row per image with channel means, a pixel inside and one of the border."""
+    out = G.pixel_job(
+        raw_images(spark, d), "image_id", crop=(1, 1, 6, 4), pad=1, fill=127, rotate=True, brightness=0.1, contrast=1.1, precision="float64"
+    )
+
+    def mean(c):
+        return F.aggregate(F.filter("pixels", lambda _, i: i % 3 == c), F.lit(0.0), lambda a, v: a + v) / 48
+
+    means = [r6(mean(c)).alias(f"mean{c}") for c in range(3)]
+    inside = [r6(F.col("pixels")[(2 * 6 + 3) * 3 + c]).alias(f"at{c}") for c in range(3)]
+    return out.select("image_id", "height", "width", F.size("pixels").alias("n_values"), *means, *inside, r6(F.col("pixels")[0]).alias("corner"))

@@ -139,7 +139,7 @@ def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     yield frame(path, rows)
 
 
-def array_objects(spark: SparkSession, path: str, glob: str = "*.json", range_bytes: int = RANGE_BYTES) -> DataFrame:
+def array_objects(spark: SparkSession, path: str, glob: str = "*", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, at, value): the text of every object of the array files at `path`, with its file and byte position.
 
     Elements that are no objects are left out; empty files and empty arrays have no rows. A file that is not one closed array

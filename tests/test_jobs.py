@@ -50,7 +50,7 @@ def test_job_equals_sql(spark, duck, name):
 def test_names():
     assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"pixel_batch_job"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

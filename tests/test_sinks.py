@@ -1,12 +1,14 @@
 """What is written is what is read back."""
 
 import json
+import random
+from functools import reduce
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from armature.operators import corpus, statcache
+from armature.operators import corpus, growing, statcache, statistics
 from armature.sources import jsonarray, sinks, tables
 
 
@@ -116,3 +118,35 @@ def test_a_stored_validation_split_is_kept(spark):
     got = {(r["dataset_name"], r["episode_id"]): r["split"] for r in mixtures.split_by_episode(steps, 95, stored="stored").collect()}
     assert {e for (d, e), s in got.items() if d == "own" and s == "val"} == {3}
     assert {e for (d, e), s in got.items() if d == "cut" and s == "val"} == set(range(95, 100))
+
+
+def test_statistics_grow_with_new_episodes(spark, tmp_path):
+    rnd = random.Random(2)
+    rows = []
+    for e in range(30):
+        wide = e % 2 == 0  # dataset "b" has narrower actions
+        rows += [("a" if wide else "b", e, t, [1e9 + rnd.gauss(e, 1)] + ([rnd.random()] if wide else []), [float(t)]) for t in range(50)]
+    steps = spark.createDataFrame(rows, "dataset_name string, episode_id int, timestep int, action array<double>, proprio array<double>")
+    path, widths = str(tmp_path / "grown"), {"action": 2, "proprio": 1}
+    for name, low, high in (("0", 0, 10), ("1", 10, 11), ("2", 11, 30), ("1", 10, 11)):
+        growing.add_episodes(steps.filter((steps.episode_id >= low) & (steps.episode_id < high)), path, name, widths)
+    growing.compact(spark, path, str(tmp_path / "small"))
+    want = {(r["dataset_name"], r["key"], r["dim"]): r for r in statistics.dimension_statistics(steps).collect()}
+    for folder in (path, str(tmp_path / "small")):
+        got = {(r["dataset_name"], r["key"], r["dim"]): r for r in growing.grown_statistics(spark, folder).collect()}
+        assert set(got) == set(want) and len(got) == 5
+        for g, w in got.items():
+            assert w["n"] == 750 and all(abs(w[c] - want[g][c]) < 1e-5 for c in ("mean", "std", "min", "max"))
+        sizes = {r["dataset_name"]: (r["num_transitions"], r["num_trajectories"]) for r in growing.grown_sizes(spark, folder).collect()}
+        assert sizes == {"a": (750, 15), "b": (750, 15)}
+    values = sorted(r[3][0] for r in rows if r[0] == "a")
+    first = {(r["dataset_name"], r["key"], r["dim"]): r for r in growing.grown_statistics(spark, path).collect()}["a", "action", 0]
+    assert abs(values.index(first["q01"]) - 7.5) <= 1 and abs(values.index(first["q99"]) - 742) <= 1
+
+
+def test_growing_sketches_keep_their_rank_error(spark):
+    rows = spark.range(200_000).selectExpr("'a' AS dataset_name", "CAST(id AS INT) AS timestep", "array(CAST(id * 7919 % 200000 AS DOUBLE)) AS action", "CAST(id % 20 AS INT) AS batch")
+    parts = [growing.partial_statistics(rows.filter(F.col("batch") == b), {"action": 1}) for b in range(20)]
+    row = growing.merged(reduce(lambda x, y: x.unionByName(y), parts)).first()
+    for q, p in (("q01", 0.01), ("q99", 0.99)):
+        assert abs(row[q] / 200_000 - p) <= growing.RANK_SLACK
