@@ -1,32 +1,43 @@
 """Token totals by source, language and tokenizer version, kept up to date by signed changes.
 
-A store is a folder of three tables, each only ever appended to:
+A store is a folder of three parts:
 
-* `changes`: signed rows of documents: +1 with the counts that hold from now on, -1 with those that no longer do;
-* `deltas`: the changes of a batch added up by source, language and tokenizer;
-* `commits`: which attempt of which batch counts.
+* `changes`: signed rows of documents, by attempt and bucket of the id: +1 with the counts that hold from now on, -1 with those
+  that no longer do;
+* `deltas`: the changes of an attempt added up by source, language and tokenizer;
+* `commits`: one small file per version, which names the batch and the attempt that counts.
 
-A batch is worked out against the committed state, written under an attempt name of its own, and committed by one row. Rows of
-attempts without a commit are never read, so a job that died leaves nothing to undo, and a batch whose name is committed is
-not applied again: replays are free. If two attempts of a batch commit, the one with the least name counts for every reader.
-Totals are the sum of committed deltas: an update touches only the documents that it names.
+A batch is worked out against a committed version, written under an attempt name of its own, and committed as the next version.
+A version can be made only once: of two batches that started from the same version the second is worked out again, so none
+takes out counts that the other has taken out before. Attempts without a commit are never read, so a job that died leaves
+nothing to undo, and a batch whose name is committed is not applied again: replays are free.
+
+Totals are the sum of committed deltas. An update reads the buckets of the documents that it names, in the changes since the
+last `compact`, which brings all that holds into one attempt.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from armature.llm import textkit
 
 KEYS = ("source", "lang", "tokenizer")
-CHANGES = "doc_id long, source string, lang string, tokenizer string, tokens long, chars long, sign int, batch string, attempt string"
-DELTAS = "source string, lang string, tokenizer string, docs long, tokens long, chars long, batch string, attempt string"
-COMMITS = "batch string, attempt string"
+ROW = "doc_id long, source string, lang string, tokenizer string, tokens long, chars long, sign int"
+CHANGES = ROW + ", attempt string, bucket int"
+DELTAS = "source string, lang string, tokenizer string, docs long, tokens long, chars long, attempt string"
+COMMITS = "version long, batch string, attempt string, base boolean, buckets int"
+#: Buckets of a new store. Take more for a large one: an update of a few documents reads one part in so many for each.
+BUCKETS = 64
+#: How often a batch is worked out again because another was committed first.
+RETRIES = 10
 
 
 # ---- counters -------------------------------------------------------------------------------------------------------
@@ -79,34 +90,87 @@ def counted(docs: DataFrame, counters: Mapping[str, Callable[[Column], Column]],
 
 
 class Store:
-    def __init__(self, spark: SparkSession, folder: str):
+    """The number of buckets is fixed when the folder is first used."""
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
         self.spark, self.folder = spark, folder.rstrip("/")
-        for name, schema in (("changes", CHANGES), ("deltas", DELTAS), ("commits", COMMITS)):
-            spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.folder}/{name}")
+        if not self._commit(0, {"base": True, "buckets": buckets}):
+            (made,) = self._log().filter("version = 0").collect()
+            buckets = made["buckets"]
+        self.buckets = buckets
+
+    # ---- versions
+
+    def _commit(self, version: int, line: Mapping) -> bool:
+        """Makes a version, unless it is there: a whole file takes its name, and the file system gives a name only once."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        hadoop = jvm.org.apache.hadoop.fs
+        made, name = hadoop.Path(f"{self.folder}/commits/.{uuid.uuid4().hex}"), hadoop.Path(f"{self.folder}/commits/{version:012d}.json")
+        files = made.getFileSystem(conf)
+        out = files.create(made, False)
+        out.write(bytearray(json.dumps({"version": version, **line}).encode()))
+        out.close()
+        rename = getattr(hadoop, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.NONE
+        try:
+            hadoop.FileContext.getFileContext(files.getUri(), conf).rename(made, name, how)
+        except Py4JJavaError:
+            if files.exists(made) and files.exists(name):
+                files.delete(made, False)
+                return False
+            raise
+        return True
 
-    def _read(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(COMMITS).json(f"{self.folder}/commits").filter("version IS NOT NULL")
 
     def commits(self) -> DataFrame:
-        """One attempt per batch."""
-        return self._read("commits", COMMITS).groupBy("batch").agg(F.min("attempt").alias("attempt"))
-
-    def _committed(self, name: str, schema: str) -> DataFrame:
-        return self._read(name, schema).join(self.commits(), ["batch", "attempt"], "left_semi")
+        """(version, batch, attempt) of the batches."""
+        return self._log().filter("batch IS NOT NULL").select("version", "batch", "attempt")
 
     def holds(self, batch: str) -> bool:
-        return not self._read("commits", COMMITS).filter(F.col("batch") == batch).isEmpty()
+        return not self._log().filter(F.col("batch") == batch).isEmpty()
+
+    def _newest(self) -> tuple[int, list[str]]:
+        """The newest version, and the attempts to read for it: the last compacted one and those since."""
+        log = self._log()
+        version, base = log.agg(F.max("version"), F.max(F.when(F.col("base"), F.col("version")))).first()
+        live = log.filter((F.col("version") >= base) & (F.col("version") <= version) & F.col("attempt").isNotNull())
+        return version, [r["attempt"] for r in live.select("attempt").distinct().collect()]
+
+    def _attempts(self, name: str, schema: str, attempts: Sequence[str]) -> DataFrame:
+        if not attempts:
+            return self.spark.createDataFrame([], schema)
+        folder = f"{self.folder}/{name}"
+        return self.spark.read.schema(schema).option("basePath", folder).parquet(*[f"{folder}/attempt={a}" for a in attempts])
+
+    # ---- what holds
+
+    def bucket(self, doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(self.buckets)).cast("int")
+
+    def _current(self, attempts: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
+        changes = self._attempts("changes", CHANGES, attempts)
+        if buckets is not None:
+            changes = changes.filter(F.col("bucket").isin(list(buckets)))
+        net = changes.groupBy("doc_id", *KEYS, "tokens", "chars").agg(F.sum("sign").alias("copies"))
+        return net.filter(F.col("copies") > 0)
 
     def current(self) -> DataFrame:
         """The counts that hold: signed rows that do not cancel out. Added up before the shuffle."""
-        net = self._committed("changes", CHANGES).groupBy("doc_id", *KEYS, "tokens", "chars").agg(F.sum("sign").alias("copies"))
-        return net.filter(F.col("copies") > 0)
+        return self._current(self._newest()[1])
 
     def totals(self) -> DataFrame:
         """(source, lang, tokenizer, docs, tokens, chars); groups that no document is in are left out."""
-        sums = self._committed("deltas", DELTAS).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "chars")])
+        return self._totals(self._newest()[1])
+
+    def _totals(self, attempts: Sequence[str]) -> DataFrame:
+        sums = self._attempts("deltas", DELTAS, attempts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "chars")])
         return sums.filter((F.col("docs") != 0) | (F.col("tokens") != 0) | (F.col("chars") != 0))
 
+    # ---- updates
+
     def put(self, batch: str, rows: DataFrame) -> bool:
         """Adds counts; they replace those of the same document and tokenizer version, if there are any."""
         return self.apply(batch, rows, None)
@@ -115,6 +179,15 @@ class Store:
         """Takes out all counts of the documents `ids.doc_id`."""
         return self.apply(batch, None, ids)
 
+    def _write_changes(self, rows: DataFrame, attempt: str) -> None:
+        # rows without an id are never named again: they are dealt by what they hold
+        bucket = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64(*KEYS, "tokens", "chars"), F.lit(self.buckets)).cast("int"))
+        dealt = rows.withColumn("bucket", bucket.otherwise(self.bucket(F.col("doc_id")))).repartition("bucket")
+        dealt.write.mode("append").partitionBy("bucket").parquet(f"{self.folder}/changes/attempt={attempt}")
+
+    def _write_deltas(self, deltas: DataFrame, attempt: str) -> None:
+        deltas.write.mode("append").parquet(f"{self.folder}/deltas/attempt={attempt}")
+
     def apply(self, batch: str, rows: DataFrame | None, gone: DataFrame | None) -> bool:
         """One batch: take out `gone` (doc_id), put in `rows` as `counted` gives them. False if the batch was applied before.
 
@@ -122,33 +195,60 @@ class Store:
         tokenizer the one with the most tokens, then characters, source and language holds. A document both put in and taken
         out holds its new counts. Unknown ids in `gone` change nothing.
         """
-        if self.holds(batch):
-            return False
-        attempt, parts = uuid.uuid4().hex, []
+        put = None
+        for tries in range(RETRIES):
+            version, live = self._newest()
+            if self.holds(batch):
+                return False
+            if put is None:  # what is put in does not depend on what was there: texts are counted once
+                put = uuid.uuid4().hex
+                self._write_changes(self._best(rows) if rows is not None else self.spark.createDataFrame([], ROW), put)
+            attempt = self._worked_out(put, live, gone, tries == 0)
+            if self._commit(version + 1, {"batch": batch, "attempt": attempt}):
+                return True
+        raise RuntimeError(f"{RETRIES} other batches were committed while {batch} was worked out")
+
+    @staticmethod
+    def _best(rows: DataFrame) -> DataFrame:
+        """One row for a document and tokenizer, to be put in."""
+        best = F.max(F.struct("tokens", "chars", F.coalesce("source", F.lit("")).alias("s"), F.coalesce("lang", F.lit("")).alias("l"), "source", "lang"))
+        named = rows.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "tokenizer").agg(best.alias("b"))
+        one = named.select("doc_id", "b.source", "b.lang", "tokenizer", "b.tokens", "b.chars")
+        return one.unionByName(rows.filter(F.col("doc_id").isNull()).select(one.columns)).withColumn("sign", F.lit(1))
+
+    def _worked_out(self, put: str, live: Sequence[str], gone: DataFrame | None, first: bool) -> str:
+        """An attempt with what was put in and, against the state of `live`, what that and `gone` take out."""
         columns = ["doc_id", *KEYS, "tokens", "chars", "sign"]
-        first = self._read("commits", COMMITS).isEmpty()
-        if rows is not None:
-            named = rows.filter(F.col("doc_id").isNotNull())
-            best = F.max(F.struct("tokens", "chars", F.coalesce("source", F.lit("")).alias("s"), F.coalesce("lang", F.lit("")).alias("l"), "source", "lang"))
-            one = named.groupBy("doc_id", "tokenizer").agg(best.alias("b")).select("doc_id", "b.source", "b.lang", "tokenizer", "b.tokens", "b.chars")
-            new = one.unionByName(rows.filter(F.col("doc_id").isNull()).select(one.columns))
-            parts.append(new.withColumn("sign", F.lit(1)).select(columns))
+        new = self._attempts("changes", CHANGES, [put]).filter("sign > 0")
+        attempt = put
         if not first:
-            was = self.current().filter(F.col("doc_id").isNotNull())
+            attempt = uuid.uuid4().hex
+            self._write_changes(new.select(columns), attempt)
+        if live:
+            keys = new.filter(F.col("doc_id").isNotNull()).select("doc_id", "tokenizer")
+            ids = self.spark.createDataFrame([], "doc_id long") if gone is None else gone.select(F.col("doc_id").cast("long")).distinct()
+            ids = ids.filter(F.col("doc_id").isNotNull())
+            touched = keys.select("doc_id").unionByName(ids).select(self.bucket(F.col("doc_id")).alias("bucket")).distinct()
+            was = self._current(live, [r["bucket"] for r in touched.collect()]).filter(F.col("doc_id").isNotNull())
+            out = was.join(ids, "doc_id", "left_anti").join(keys, ["doc_id", "tokenizer"], "left_semi")
             if gone is not None:
-                parts.append(was.join(gone.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("sign", -F.col("copies").cast("int")).select(columns))
-            if rows is not None:
-                kept = was if gone is None else was.join(gone.select("doc_id").distinct(), "doc_id", "left_anti")
-                parts.append(kept.join(named.select("doc_id", "tokenizer").distinct(), ["doc_id", "tokenizer"], "left_semi").withColumn("sign", -F.col("copies").cast("int")).select(columns))
-        if parts:
-            changes = parts[0]
-            for p in parts[1:]:
-                changes = changes.unionByName(p)
-            mark = {"batch": F.lit(batch), "attempt": F.lit(attempt)}
-            changes.withColumns(mark).write.mode("append").parquet(f"{self.folder}/changes")
-            written = self._read("changes", CHANGES).filter((F.col("batch") == batch) & (F.col("attempt") == attempt))
-            signed = lambda c: F.sum(F.col("sign") * c)
-            deltas = written.groupBy(*KEYS).agg(signed(F.lit(1)).cast("long").alias("docs"), signed(F.col("tokens")).alias("tokens"), signed(F.col("chars")).alias("chars"))
-            deltas.withColumns(mark).write.mode("append").parquet(f"{self.folder}/deltas")
-        self.spark.createDataFrame([(batch, attempt)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
-        return True
+                out = out.unionByName(was.join(ids, "doc_id", "left_semi").select(out.columns))
+            self._write_changes(out.withColumn("sign", -F.col("copies").cast("int")).select(columns), attempt)
+        signed = lambda c: F.sum(F.col("sign") * c)
+        written = self._attempts("changes", CHANGES, [attempt])
+        self._write_deltas(
+            written.groupBy(*KEYS).agg(signed(F.lit(1)).cast("long").alias("docs"), signed(F.col("tokens")).alias("tokens"), signed(F.col("chars")).alias("chars")),
+            attempt,
+        )
+        return attempt
+
+    def compact(self) -> None:
+        """Everything that holds as one attempt, from which later updates start. Totals stay as they are."""
+        for _ in range(RETRIES):
+            version, live = self._newest()
+            attempt = uuid.uuid4().hex
+            self._write_changes(self._current(live).withColumn("sign", F.col("copies").cast("int")).drop("copies"), attempt)
+            self._write_deltas(self._totals(live), attempt)
+            if self._commit(version + 1, {"attempt": attempt, "base": True}):
+                return
+        raise RuntimeError(f"{RETRIES} batches were committed while the store was compacted")

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from armature.llm import rollups
 from armature.sources.sinks import scratch
@@ -45,13 +46,59 @@ def test_attempts_without_a_commit_do_not_count(spark):
     store = rollups.Store(spark, scratch(spark, "test-rollups"))
     row = spark.createDataFrame([(1, "s", "en", "v1", 5, 9)], SCHEMA)
     store.put("one", row)
-    lost = store._read("changes", rollups.CHANGES).selectExpr("doc_id", "source", "lang", "tokenizer", "tokens", "chars", "sign", "'two' AS batch", "'died' AS attempt")
-    lost.write.mode("append").parquet(f"{store.folder}/changes")
-    store._read("deltas", rollups.DELTAS).selectExpr("source", "lang", "tokenizer", "docs", "tokens", "chars", "'two' AS batch", "'died' AS attempt").write.mode("append").parquet(f"{store.folder}/deltas")
+    for name in ("changes", "deltas"):
+        attempt = store.commits().first()["attempt"]
+        spark.read.parquet(f"{store.folder}/{name}/attempt={attempt}").write.parquet(f"{store.folder}/{name}/attempt=died")
     assert totals(store) == {("s", "en", "v1"): (1, 5, 9)}
-    store.put("two", row)  # the retry; a second commit of a batch, by another writer, changes nothing either
-    spark.createDataFrame([("two", "zzz")], rollups.COMMITS).write.mode("append").parquet(f"{store.folder}/commits")
+    store.put("two", row)  # the retry
     assert totals(store) == {("s", "en", "v1"): (1, 5, 9)}
+    assert not store._commit(2, {"batch": "two", "attempt": "died"})  # a second writer of a version
+    assert totals(store) == {("s", "en", "v1"): (1, 5, 9)} and store.commits().count() == 2
+
+
+def test_of_two_batches_at_once_the_second_starts_again(spark):
+    """Both take document 1 out: the one that commits second must see that it is gone."""
+    folder = scratch(spark, "test-rollups")
+    store, other = rollups.Store(spark, folder), rollups.Store(spark, folder, buckets=3)
+    assert other.buckets == rollups.BUCKETS
+    store.put("one", spark.createDataFrame([(1, "s", "en", "v1", 5, 9), (2, "s", "en", "v1", 7, 9)], SCHEMA))
+    worked_out, raced = store._worked_out, []
+
+    def slow(*arguments):
+        attempt = worked_out(*arguments)
+        if not raced:
+            raced.append(other.delete("theirs", spark.createDataFrame([(1,)], "doc_id long")))
+        return attempt
+
+    store._worked_out = slow
+    assert store.apply("ours", spark.createDataFrame([(3, "t", "en", "v1", 4, 4)], SCHEMA), spark.createDataFrame([(1,)], "doc_id int"))
+    assert raced == [True] and totals(store) == {("s", "en", "v1"): (1, 7, 9), ("t", "en", "v1"): (1, 4, 4)}
+    assert [r["batch"] for r in store.commits().orderBy("version").collect()] == ["one", "theirs", "ours"]
+
+
+def test_compacted_stores_go_on(spark):
+    store = rollups.Store(spark, scratch(spark, "test-rollups"), buckets=8)
+    rows = lambda ids, tokens: spark.createDataFrame([(i, "s", "en", "v1", tokens, 1) for i in ids], SCHEMA)
+    store.put("one", rows([*range(40), None, None], 1))
+    store.put("two", rows(range(20), 5))
+    store.delete("three", spark.createDataFrame([(i,) for i in range(30, 40)], "doc_id long"))
+    before = totals(store)
+    assert before == {("s", "en", "v1"): (32, 100 + 10 + 2, 32)}
+    store.compact()
+    assert totals(store) == before and len(store._newest()[1]) == 1 and not store.put("two", rows(range(20), 9))
+    store.delete("four", spark.createDataFrame([(0,), (35,)], "doc_id long"))
+    assert totals(store) == {("s", "en", "v1"): (31, 107, 31)}
+    assert {(r["doc_id"], r["copies"]) for r in store.current().collect()} == {(i, 1) for i in range(1, 30)} | {(None, 2)}
+
+
+def test_an_update_reads_only_its_buckets(spark):
+    store = rollups.Store(spark, scratch(spark, "test-rollups"), buckets=16)
+    store.put("one", spark.createDataFrame([(i, "s", "en", "v1", 1, 1) for i in range(400)], SCHEMA))
+    (bucket,) = spark.createDataFrame([(7,)], "doc_id int").select(store.bucket(F.col("doc_id"))).first()
+    read = store._current(store._newest()[1], [bucket])
+    assert 0 < read.count() < 60 and read.filter("doc_id = 7").count() == 1
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_odd_rows(spark):
