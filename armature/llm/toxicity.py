@@ -2,13 +2,14 @@
 
 Token weights are log-odds of the toxic against the clean labelled texts, shrunk by a Dirichlet prior: a base for every token
 and a part in proportion to its counts in both. A token counts once per text and a copied text once, so that no single text
-makes a term. Only tokens whose weight is so many standard errors above zero that chance
-would give `false_terms` of them are terms, and a drift is taken from every token so that clean text scores negative on average. A linear scan finds all maximal segments of positive score (Ruzzo and
-Tompa). Scores of segments in random clean text follow an extreme-value law: an S in a text of n tokens is expected
+makes a term. Tokens whose weight is so many standard errors from zero that chance would give `false_terms` of them count with
+it, positive or negative; the others count zero. From which weight on positive ones count is settled on the sample itself: terms
+of one half are judged by the other. A drift is taken from every token so that clean text scores negative on average. A linear
+scan finds all maximal segments of positive score (Ruzzo and Tompa). Scores of segments in random clean text follow an extreme-value law: an S in a text of n tokens is expected
 K n exp(-lambda S) times by chance, with lambda from the clean token frequencies and K from clean texts. The segments of a
 text are put together by the sum statistic of that law, and a logistic curve on the sample makes it a probability.
 
-Between two terms the score only falls, so the scan walks over the terms of a text; terms are found for a whole batch.
+Between two gains the score only falls, so the scan walks over the gains of a text; sums and terms are found for a whole batch.
 """
 
 from __future__ import annotations
@@ -41,12 +42,16 @@ class Settings:
     prior: float = 200.0
     base: float = 0.5
     false_terms: float = 50.0
-    least_weight: float = 3.0
+    least_weight: float | None = None  # of positive terms; None: the one of BARS that judges the other half of the sample best
     highest_weight: float = 8.0
     drift: float = 0.3
     significant: float = 0.05
 
 
+#: Log-odds that a positive term may be asked to have.
+BARS = (0.0, 1.0, 2.0, 3.0, 4.0)
+
+
 @dataclass(frozen=True)
 class Model:
     hashes: np.ndarray  # sorted token hashes
@@ -64,15 +69,10 @@ def maximal_segments(place: np.ndarray, gain: np.ndarray, drift: float) -> list[
     `place` are the positions of the terms and `gain` their scores; every other token scores -drift.
     """
     segments: list[list] = []  # first, last, sum before it, sum up to its end, next segment to the left with a smaller start
-    total, at = 0.0, -1
-    for p, g in zip(place.tolist(), gain.tolist(), strict=True):
-        total -= drift * (p - at - 1)
-        at = p
-        if g <= 0:
-            total += g
-            continue
-        left, right, first = total, total + g, p
-        total = right
+    before = np.cumsum(gain) - gain - drift * (place - np.arange(len(place)))
+    up = np.flatnonzero(gain > 0)  # between two gains the sum only falls
+    for p, left, right in zip(place[up].tolist(), before[up].tolist(), (before + gain)[up].tolist(), strict=True):
+        first = p
         k = len(segments) - 1
         while True:
             while k >= 0 and segments[k][2] >= left:
@@ -140,36 +140,85 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str
     known = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
     chosen = one.join(known.select("id").distinct(), "id").orderBy(draw, "id").limit(bounds.rows)
     sampled = known.join(F.broadcast(chosen), "id").groupBy(F.xxhash64("text").alias("copy")).agg(F.max("label").alias("label"), F.first("text").alias("text"))
-    sample = cut_lineage(sampled.select(F.greatest(F.lit(0), F.least(F.lit(1), "label")).cast("int").alias("label"), "text"))
+    sample = cut_lineage(
+        sampled.select(F.greatest(F.lit(0), F.least(F.lit(1), "label")).cast("int").alias("label"), "text", F.pmod("copy", F.lit(2)).alias("half"))
+    )
+    texts = sample.select("label", "text")
+    clean, toxic, terms = _terms(texts, bounds, settings)
+    rate = (toxic + 0.5) / (clean + toxic + 1)
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), settings.drift, 1.0, 0.0, 1.0, math.log(rate / (1 - rate)))
+    bar = _bar(sample, bounds, settings) if settings.least_weight is None else settings.least_weight
+    found = None if terms is None else terms.above(bar, settings)
+    return nothing if found is None else _fitted(found, _sample_evidence(texts, *found[:2], found[3]))
 
-    counted = token_counts(sample)
+
+@dataclass(frozen=True)
+class Terms:
+    """Tokens whose log-odds are surely not zero: weight, and share of the clean tokens that they are."""
+
+    hashes: np.ndarray
+    weights: np.ndarray
+    share: np.ndarray
+
+    def above(self, bar: float, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | None:
+        """Hashes, weights, shares and drift with the positive terms of at least `bar` and all negative ones."""
+        taken = (self.weights < 0) | (self.weights >= bar)
+        if not taken.any():
+            return None
+        weights, share = self.weights[taken], self.share[taken]
+        drift = max(settings.drift, 2.0 * float((share * weights).sum()))
+        return (self.hashes[taken], weights, share, drift) if weights.max() > drift else None
+
+
+def _terms(texts: DataFrame, bounds: Bounds, settings: Settings) -> tuple[int, int, Terms | None]:
+    """Clean texts, toxic texts, and the terms of both; none if there is one class only."""
+    counted = token_counts(texts)
     rows = {r["label"]: (r["n"], r["t"]) for r in counted.groupBy("label").agg(F.sum("texts").alias("n"), F.sum("n").alias("t")).collect()}
     clean, toxic = rows.get(0, (0, 0)), rows.get(1, (0, 0))
-    rate = (toxic[0] + 0.5) / (clean[0] + toxic[0] + 1)
-    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), settings.drift, 1.0, 0.0, 1.0, math.log(rate / (1 - rate)))
     if not clean[1] or not toxic[1]:
-        return nothing
+        return clean[0], toxic[0], None
     counts = counted.filter("token is not null").groupBy("token").pivot("label", [0, 1]).sum("n").na.fill(0).select("token", F.col("0").cast("double").alias("c"), F.col("1").cast("double").alias("t"))
     both = float(clean[1] + toxic[1])
     prior = settings.base + settings.prior * (F.col("c") + F.col("t")) / both
     odds = lambda n, total: F.log((F.col(n) + prior) / (F.lit(float(total) + settings.prior) - F.col(n) - prior))
     weighed = counts.withColumn("w", odds("t", toxic[1]) - odds("c", clean[1])).withColumn("z", F.col("w") / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior)))
     least = NormalDist().inv_cdf(max(0.5, 1 - settings.false_terms / max(1, counts.count())))
-    terms = weighed.filter((F.col("z") >= least) & (F.col("w") >= settings.least_weight)).orderBy(F.desc("z"), "token").limit(bounds.terms).toPandas()
-    if not len(terms):
-        return nothing
+    terms = weighed.filter(F.abs("z") >= least).orderBy(F.desc(F.abs("z")), "token").limit(bounds.terms).toPandas()
     hashes = terms["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    hashes, weights = hashes[order], np.minimum(terms["w"].to_numpy(float), settings.highest_weight)[order]
-    share = (terms["c"].to_numpy(float)[order] + 0.5) / (clean[1] + 0.5 * len(terms))
-    drift = max(settings.drift, 2.0 * float((share * weights).sum()))
+    weights = np.clip(terms["w"].to_numpy(float), -settings.highest_weight, settings.highest_weight)
+    share = (terms["c"].to_numpy(float) + 0.5) / (clean[1] + 0.5 * max(1, len(terms)))
+    return clean[0], toxic[0], Terms(hashes[order], weights[order], share[order])
+
+
+def _fitted(terms: tuple[np.ndarray, np.ndarray, np.ndarray, float], found: list[tuple[int, int, list[float]]]) -> Model:
+    """The extreme-value law and the logistic curve of these terms on texts with known labels."""
+    hashes, weights, share, drift = terms
     decay = _decay(share, weights - drift, drift)
-    found = _sample_evidence(sample, hashes, weights, drift)
     log_k = _log_k(found, decay)
     slope, offset = _logistic(np.array([evidence(n, s, decay, log_k) for _, n, s in found]), np.array([x for x, _, _ in found], float))
     return Model(hashes, weights, drift, decay, log_k, slope, offset)
 
 
+def _bar(sample: DataFrame, bounds: Bounds, settings: Settings) -> float:
+    """The bar whose model of one half of the sample has the least log loss on the other half; the lowest of equals."""
+    learnt, judged = (sample.filter(F.col("half") == h).select("label", "text") for h in (0, 1))
+    _, _, terms = _terms(learnt, bounds, settings)
+    best, least = BARS[0], math.inf
+    for bar in BARS:
+        found = None if terms is None else terms.above(bar, settings)
+        if found is None:
+            continue
+        model = _fitted(found, _sample_evidence(learnt, *found[:2], found[3]))
+        rows = _sample_evidence(judged, *found[:2], found[3])
+        score = np.clip(score_of(model, np.array([n for _, n, _ in rows]), [[(0, 0, x) for x in s] for _, _, s in rows]), 1e-6, 1 - 1e-6)
+        label = np.array([x for x, _, _ in rows], float)
+        loss = float(-(label * np.log(score) + (1 - label) * np.log(1 - score)).mean()) if len(rows) else 0.0
+        if loss < least - 1e-12:
+            best, least = bar, loss
+    return best
+
+
 def _arrow_rows(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 

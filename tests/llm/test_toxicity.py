@@ -97,3 +97,32 @@ def test_tokens_are_found_in_any_script():
     words, data = toxicity.tokens(pa.array(["Été, été! x-ray", "", "日本 語"], pa.large_string()))
     assert [bytes(data[a:b]).decode() for a, b in zip(words.start, words.end)] == ["Été", "été", "x", "ray", "日本", "語"]
     assert np.diff(words.first).tolist() == [4, 0, 2]
+
+
+def test_the_bar_is_settled_on_the_other_half(spark):
+    """Mild words that are not toxic but come along by chance are left out; mild words that make a passage toxic stay."""
+    rng = random.Random(5)
+    plain = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(600):
+        words = rng.choices(plain, k=60)
+        toxic = i % 6 == 0
+        if toxic:
+            words[20:32] = rng.choices([f"mild{j}" for j in range(12)], k=12)
+        elif i % 6 == 1:
+            words[rng.randrange(60)] = f"mild{rng.randrange(12)}"
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels.filter("doc_id < 400"))
+    assert 0 < len(model.hashes) and model.weights.max() < 8
+    found = {r.doc_id: r for r in toxicity.detect(docs, model, keep=["doc_id"]).collect()}
+    assert all(found[i].predicted == t for i, _, t in rows if i >= 400)
+    again = toxicity.train(docs, labels.filter("doc_id < 400"))
+    assert (again.hashes == model.hashes).all() and again.slope == model.slope
+
+
+def test_negative_terms_break_segments():
+    place, gain = np.array([0, 1, 2, 5]), np.array([2.0, -3.0, 2.5, 1.0])
+    assert toxicity.maximal_segments(place, gain, 0.25) == [(0, 0, 2.0), (2, 5, 3.0)]
+    assert toxicity.maximal_segments(place, np.array([2.0, -1.0, 2.5, 1.0]), 0.25) == [(0, 5, 4.0)]
