@@ -34,14 +34,25 @@ def byte_encoder() -> Callable[[Column], Column]:
     return ids
 
 
-def encoder(encode: Callable[[str], Sequence[int]] | None = None) -> Callable[[Column], Column]:
-    """Column -> token ids with a pluggable tokenizer, one Arrow batch at a time. The default is a token per byte."""
-    if encode is None:
+def encoder(
+    encode: Callable[[str], Sequence[int]] | None = None, batch: Callable[[list[str]], Sequence[Sequence[int]]] | None = None
+) -> Callable[[Column], Column]:
+    """Column -> token ids with a pluggable tokenizer, one Arrow batch at a time. The default is a token per byte.
+
+    `batch` takes all texts of an Arrow batch in one call, which is how tokenizer libraries use their threads; `encode` takes one.
+    A null text has null ids.
+    """
+    if batch is None and encode is None:
         return byte_encoder()
+    many = batch or (lambda texts: [encode(t) for t in texts])
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else encode(t))
+        known = texts.notna().to_numpy()
+        out = np.full(len(texts), None, object)
+        for i, found in zip(np.flatnonzero(known), many(texts[known].tolist()), strict=True):
+            out[i] = list(found)
+        return pd.Series(out)
 
     return ids
 

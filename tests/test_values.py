@@ -259,6 +259,10 @@ def test_default_tokens_are_bytes_of_whole_batches(spark):
     assert got == {i: None if s is None else [b + 3 for b in s.encode()] for i, s in enumerate(said)}
     plugged = {r["i"]: r["ids"] for r in df.select("i", K.encoder(lambda t: [len(t)])(F.col("s")).alias("ids")).collect()}
     assert plugged == {i: None if s is None else [len(s)] for i, s in enumerate(said)}
+    whole = K.encoder(batch=lambda texts: [[len(texts), len(t)] for t in texts])  # one call for the four texts that are there
+    assert {r["i"]: r["ids"] for r in df.select("i", whole(F.col("s")).alias("ids")).collect()} == {i: None if s is None else [4, len(s)] for i, s in enumerate(said)}
+    none = df.filter("s IS NULL").select(whole(F.col("s")).alias("ids")).collect()
+    assert [r["ids"] for r in none] == [None]
 
 
 def test_tokenizers_without_a_first_token(spark):
