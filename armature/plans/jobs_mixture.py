@@ -50,16 +50,21 @@ def effective_length(spark, d):
 
 
 def pick_ctes(frames: str, n: str, seed: int) -> dict[str, str]:
-    """picks: p, dataset_name, k, size; located: with epoch and idx; ranked: frames in their epoch orders."""
+    """drawn_from: the interval of each dataset that has frames, which share the draws of those without; located: picks with epoch
+    and idx; ranked: frames in their epoch orders."""
     return {
         "sizes": SIZES,
         "w": WEIGHTS,
         "cum": CUMULATIVE,
         "frame_sizes": f"SELECT dataset_name, count(*) AS size FROM {frames} GROUP BY 1",
         "positions": f"SELECT p, {W.draw(seed, 'p')} AS u FROM (SELECT unnest(range(0, ({n}))) AS p)",
+        "drawn_from": """SELECT dataset_name, size, pos = max(pos) OVER () AS is_last,
+            CASE WHEN n_left = n_all THEN lo ELSE coalesce(lag(upto) OVER (ORDER BY pos), 0) / kept * total END AS lo, CASE WHEN n_left = n_all THEN hi ELSE upto / kept * total END AS hi
+          FROM (SELECT c.dataset_name, pos, lo, hi, size, sum(hi - lo) OVER (ORDER BY pos) AS upto, sum(hi - lo) OVER () AS kept, count(*) OVER () AS n_left,
+                  (SELECT count(*) FROM cum) AS n_all, (SELECT max(hi) FROM cum) AS total FROM cum c JOIN frame_sizes f ON f.dataset_name = c.dataset_name)""",
         "located": """SELECT p, dataset_name, k, k // size AS epoch, k % size AS idx FROM
           (SELECT p, c.dataset_name, size, row_number() OVER (PARTITION BY c.dataset_name ORDER BY p) - 1 AS k
-           FROM positions JOIN cum c ON u >= lo AND (u < hi OR pos = last_pos) JOIN frame_sizes f ON f.dataset_name = c.dataset_name)""",
+           FROM positions JOIN drawn_from c ON u >= lo AND (u < hi OR is_last))""",
         "ranked": f"""SELECT f.*, epoch, row_number() OVER (PARTITION BY dataset_name, epoch ORDER BY {W.draw(seed, 'dataset_name', 'epoch', 'event_id')}, event_id) - 1 AS idx
           FROM {frames} f JOIN (SELECT DISTINCT dataset_name, epoch FROM located) USING (dataset_name)""",
     }
@@ -220,7 +225,7 @@ BUFFER, PASSES = 500, 2
 
 def side_ctes(side: str, frames: str, n: str, seed: int) -> dict[str, str]:
     """`pick_ctes` under names of one side of an epoch."""
-    own = ("frame_sizes", "positions", "located", "ranked")
+    own = ("frame_sizes", "positions", "drawn_from", "located", "ranked")
     renamed = lambda text: re.sub(rf"\b({'|'.join(own)})\b", rf"{side}_\1", text)
     return {renamed(k): renamed(v) for k, v in pick_ctes(frames, n, seed).items()}
 
