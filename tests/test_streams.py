@@ -44,6 +44,22 @@ def test_gate_on_tables(spark, seed, slot_seconds):
     assert {r["event_id"] for r in out.collect()} == kept(rows, 5.0)
 
 
+def test_gate_takes_many_short_slots_at_once(spark):
+    """Slots go to Python by Arrow batches, not one by one; slots that batches cut, equal times and missing values."""
+    rows = [(k, i, now - dt.timedelta(days=40 * 365 * (k % 2) + 20 * 365)) for k, i, now in clock(7, n=600, keys=60)]
+    rows += [(k, i + 1000, now) for k, i, now in rows[::7]]
+    df = spark.createDataFrame([*rows, (None, 5000, START), (1, 5001, None)], "key long, event_id long, at timestamp")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = gating.rate_gate(df, "key", 5.0, slot_seconds=2)
+        got = sorted(r["event_id"] for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(kept(rows, 5.0))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
 def arrivals(spark, folder, schema, files):
     """A stream that takes one file per micro-batch, in the order they are given."""
     for rows in files:
