@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +17,8 @@ from armature.operators import prompts as P
 
 # Fixed values of the default byte tokenizer: id = UTF-8 byte + 3.
 PAD, BOS, EOS, FIRST_BYTE = 0, 1, 2, 3
+#: Bytes of text that a plugged-in tokenizer gets in one call.
+PIECE_BYTES = 1 << 20
 
 
 def byte_encoder() -> Callable[[Column], Column]:
@@ -37,22 +39,29 @@ def byte_encoder() -> Callable[[Column], Column]:
 def encoder(
     encode: Callable[[str], Sequence[int]] | None = None, batch: Callable[[list[str]], Sequence[Sequence[int]]] | None = None
 ) -> Callable[[Column], Column]:
-    """Column -> token ids with a pluggable tokenizer, one Arrow batch at a time. The default is a token per byte.
+    """Column -> token ids with a pluggable tokenizer. The default is a token per byte.
 
-    `batch` takes all texts of an Arrow batch in one call, which is how tokenizer libraries use their threads; `encode` takes one.
-    A null text has null ids.
+    `batch` takes many texts in one call, which is how tokenizer libraries use their threads; `encode` takes one. A call gets
+    the texts of an Arrow batch in pieces of about `PIECE_BYTES`, a longer text alone or last, and their ids become Arrow
+    values before the next call: Python lists of a whole batch are never held. A null text has null ids.
     """
     if batch is None and encode is None:
         return byte_encoder()
     many = batch or (lambda texts: [encode(t) for t in texts])
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
-        known = texts.notna().to_numpy()
-        out = np.full(len(texts), None, object)
-        for i, found in zip(np.flatnonzero(known), many(texts[known].tolist()), strict=True):
+    def piece_ids(texts: pa.Array) -> pa.Array:
+        out = texts.to_pylist()
+        known = [i for i, t in enumerate(out) if t is not None]
+        for i, found in zip(known, many([out[i] for i in known]), strict=True):
             out[i] = list(found)
-        return pd.Series(out)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)
+        piece = (np.cumsum(sizes) - sizes) // PIECE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+        return pa.concat_arrays([piece_ids(texts.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
 
     return ids
 

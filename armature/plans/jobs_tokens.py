@@ -182,7 +182,7 @@ PHI_TOKENS = {**CHAT_TOKENS, "tok": f"SELECT conv_id, image, turn_idx, {byte_sql
 
 @job("turn_tokens_without_first", W.sql("v_turns", "SELECT conv_id, image, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels FROM ex", **PHI_TOKENS))
 def turn_tokens_without_first(spark, d):
-    """A tokenizer that puts nothing in front of a text, called once for all texts of an Arrow batch."""
+    """A tokenizer that puts nothing in front of a text, called with many texts at once."""
     encode = K.encoder(batch=lambda texts: [[b + K.FIRST_BYTE for b in t.encode()] for t in texts])
     out = K.chat_examples(W.turns(spark, d), "phi", CHAT_LENGTH, encode=encode, bos=None)
     return out.select("conv_id", "image", text_of(F.col("input_ids")).alias("input_ids"), text_of(F.col("labels")).alias("labels"))

@@ -265,6 +265,16 @@ def test_default_tokens_are_bytes_of_whole_batches(spark):
     assert [r["ids"] for r in none] == [None]
 
 
+def test_tokenizers_get_texts_in_bounded_pieces(spark):
+    """Three MB of texts in one Arrow batch, a long one and a null one among them."""
+    said = ["x" * 10_000] * 150 + [None, "y" * 1_500_000] + ["z" * 10_000] * 150
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i long, s string").coalesce(1)
+    ids = K.encoder(batch=lambda texts: [[len(t), sum(map(len, texts))] for t in texts])(F.col("s"))
+    got = {r["i"]: r["ids"] for r in df.select("i", ids.alias("ids")).collect()}
+    assert {i: x and x[0] for i, x in got.items()} == {i: s and len(s) for i, s in enumerate(said)}
+    assert max(x[1] for x in got.values() if x) < (1 << 20) + 1_500_000 and got[0][1] < (1 << 20) + 10_000
+
+
 def test_tokenizers_without_a_first_token(spark):
     got = {r["conv_id"]: r for r in K.chat_examples(turns(spark), "phi", 10_000, bos=None).collect()}
     for c, messages in CHATS.items():
